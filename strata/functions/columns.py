@@ -123,7 +123,7 @@ def bits_of_dates(dates, snapshot, width: int = 32) -> Column:
         col_(dates), F.lit(0).cast("bigint"),
         lambda acc, d: F.when(
             (F.datediff(snap, d) >= 0) & (F.datediff(snap, d) < width),
-            acc.bitwiseOR(F.shiftleft(F.lit(1).cast("bigint"), (width - 1) - F.datediff(snap, d))),
+            acc.bitwiseOR(F.pow(F.lit(2.0), (width - 1) - F.datediff(snap, d)).cast("bigint")),
         ).otherwise(acc))
 
 

@@ -1,7 +1,7 @@
 """Imports every query module so the registry is complete."""
 
 from strata.plans import registry
-from strata.plans import dim_queries, growth_queries  # noqa: F401
+from strata.plans import dim_queries, fact_queries, growth_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE
