@@ -123,3 +123,28 @@ def sort_within(df: DataFrame, cols: Sequence[str], n: int | None = None,
         df = df.repartition(n, *by) if (n is not None and by) else (
             df.repartition(*by) if by else df.repartition(n))
     return df.sortWithinPartitions(*cols)
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
+                dense: bool = False) -> DataFrame:
+    """``RANK() OVER (ORDER BY ...)`` over a large table without pulling
+    every row into one task.
+
+    The table is range-partitioned and sorted by the order keys (equal keys
+    always land in the same range partition), checkpointed so both uses below
+    read identical partitions, ranked inside each partition, and shifted by
+    the number of rows in all earlier partitions (a table of one row per
+    partition).  Uses the shared checkpoint folder of the session.
+    """
+    s = df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
+    s = s.checkpoint(eager=True)
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    offs = counts.select("_pid", (F.sum("_cnt").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
+    local = (F.dense_rank() if dense else F.rank()).over(
+        Window.partitionBy("_pid").orderBy(*order))
+    out = s.withColumn("_local", local).join(F.broadcast(offs), "_pid")
+    if dense:
+        raise NotImplementedError("dense global rank needs distinct-key offsets")
+    return out.withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("int")) \
+              .drop("_pid", "_local", "_off")

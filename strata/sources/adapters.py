@@ -190,3 +190,32 @@ def maps(t: Tables) -> DataFrame:
     n = t.nation
     return n.select(F.concat(F.lit("map_"), _s(n.n_nationkey)).alias("mapid"),
                     n.n_name.alias("name"))
+
+
+IP_BASE = 167772160   # 10.0.0.0
+
+
+def web_events_ip(t: Tables) -> DataFrame:
+    """Web events with a client IP: 10.x.y.z where x.y encode the device and z
+    the event's props.k (so one device uses up to 256 addresses)."""
+    e = t.events
+    k = _k(e.props)
+    dev = e.user_id
+    ip = F.concat_ws(".", F.lit("10"), _s(F.floor(dev / 256) % 256), _s(dev % 256), _s(k % 256))
+    return e.select(
+        F.when(e.event_type == "view", F.lit("/"))
+         .otherwise(F.concat(F.lit("/"), e.event_type)).alias("url"),
+        F.concat(F.lit("h"), _s(k % 5), F.lit(".example")).alias("host"),
+        ip.alias("ip"),
+        e.ts.alias("event_time"))
+
+
+def ip_ranges(t: Tables) -> DataFrame:
+    """ip_start, ip_end, country, state, city: one /24 block per customer."""
+    c, n = t.customer, t.nation
+    start = F.lit(IP_BASE) + c.c_custkey * 256
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+             .select(start.alias("ip_start"), (start + 255).alias("ip_end"),
+                     n.n_name.alias("country"),
+                     F.concat(F.lit("state_"), _s(c.c_custkey % 50)).alias("state"),
+                     F.concat(F.lit("city_"), _s(c.c_custkey % 500)).alias("city")))
