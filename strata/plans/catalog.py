@@ -1,7 +1,8 @@
 """Imports every query module so the registry is complete."""
 
 from strata.plans import registry
-from strata.plans import dim_queries, fact_queries, growth_queries, olap_queries  # noqa: F401
+from strata.plans import (dim_queries, fact_queries, growth_queries,  # noqa: F401
+                          job_queries, olap_queries)
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE
