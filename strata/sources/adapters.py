@@ -210,6 +210,26 @@ def web_events_ip(t: Tables) -> DataFrame:
         e.ts.alias("event_time"))
 
 
+def web_stream_events(t: Tables) -> DataFrame:
+    """The web stream's message fields (all text, event time formatted as
+    ``yyyy-MM-dd'T'HH:mm:ss.SSS'Z'``) derived from the events table."""
+    e = t.events
+    k = _k(e.props)
+    ref = F.lit(None).cast("string")
+    for m in sorted(REFERRERS, reverse=True):
+        ref = F.when(k % 7 == m, F.lit(REFERRERS[m])).otherwise(ref)
+    return e.select(
+        F.when(e.event_type == "view", F.lit("/"))
+         .otherwise(F.concat(F.lit("/"), e.event_type)).alias("url"),
+        ref.alias("referrer"),
+        F.lit("strata-test-agent").alias("user_agent"),
+        F.concat(F.lit("h"), _s(k % 5), F.lit(".example")).alias("host"),
+        F.concat_ws(".", F.lit("10"), _s(F.floor(e.user_id / 256) % 256), _s(e.user_id % 256),
+                    _s(k % 256)).alias("ip"),
+        F.lit("{}").alias("headers"),
+        F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"))
+
+
 def ip_ranges(t: Tables) -> DataFrame:
     """ip_start, ip_end, country, state, city: one /24 block per customer."""
     c, n = t.customer, t.nation
