@@ -81,9 +81,10 @@ game_details AS (
 games AS (
   SELECT o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS game_date_est,
          CAST(year(o_orderdate) AS BIGINT) AS season,
-         o_custkey % 30 AS home_team_id, (o_custkey + 7) % 30 AS visitor_team_id,
-         (o_orderkey % 3 <> 0) AS home_team_wins
-  FROM orders)""",
+         g.home_team_id, g.visitor_team_id, (o_orderkey % 3 <> 0) AS home_team_wins
+  FROM orders JOIN (SELECT l_orderkey, MIN(l_suppkey) AS home_team_id,
+                           MAX(l_suppkey) AS visitor_team_id
+                    FROM lineitem GROUP BY l_orderkey) g ON o_orderkey = g.l_orderkey)""",
     "teams": """
 teams AS (
   WITH base AS (

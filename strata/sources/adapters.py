@@ -124,14 +124,17 @@ def game_details(t: Tables) -> DataFrame:
 
 
 def games(t: Tables) -> DataFrame:
-    """games(game_id, game_date_est, season, home_team_id, visitor_team_id, home_team_wins)."""
-    o = t.orders
-    return o.select(o.o_orderkey.alias("game_id"),
-                    F.to_date(o.o_orderdate).alias("game_date_est"),
-                    F.year(o.o_orderdate).cast("bigint").alias("season"),
-                    (o.o_custkey % 30).alias("home_team_id"),
-                    ((o.o_custkey + 7) % 30).alias("visitor_team_id"),
-                    (o.o_orderkey % 3 != 0).alias("home_team_wins"))
+    """games(game_id, game_date_est, season, home_team_id, visitor_team_id,
+    home_team_wins): home/visitor are the lowest/highest team of the game."""
+    l, o = t.lineitem, t.orders
+    teams_of = l.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("home_team_id"),
+                                           F.max("l_suppkey").alias("visitor_team_id"))
+    return o.join(teams_of, o.o_orderkey == teams_of.l_orderkey).select(
+        o.o_orderkey.alias("game_id"),
+        F.to_date(o.o_orderdate).alias("game_date_est"),
+        F.year(o.o_orderdate).cast("bigint").alias("season"),
+        "home_team_id", "visitor_team_id",
+        (o.o_orderkey % 3 != 0).alias("home_team_wins"))
 
 
 def teams(t: Tables) -> DataFrame:
