@@ -109,11 +109,22 @@ def yearly_dimension(films: DataFrame, key: str = "actorid", year: str = "year",
                       F.count(F.lit(1)).alias("num_films")))
 
 
-def actor_history(films: DataFrame, end_year: int) -> DataFrame:
+def actor_history(films: DataFrame, end_year: int, with_films: bool = True) -> DataFrame:
     """D4 in backfill form: per actor and year, the films so far (as yearly
-    structs), quality class of the latest active year, active flag."""
-    yearly = yearly_dimension(films)
+    structs), quality class of the latest active year, active flag.
+
+    ``with_films=False`` keeps only the yearly averages and counts in the
+    history -- what SCD and state tracking need -- so the running array does
+    not copy every film of every earlier year into every snapshot row."""
+    if with_films:
+        yearly = yearly_dimension(films)
+        stats = ["avg_rating", "num_films", "films"]
+    else:
+        yearly = (films.groupBy("actorid", "year")
+                       .agg(F.max("actor").alias("actor"), F.avg("rating").alias("avg_rating"),
+                            F.count(F.lit(1)).alias("num_films")))
+        stats = ["avg_rating", "num_films"]
     return cumulative_history(yearly, "actorid", "year", end_year,
-                              stats=["avg_rating", "num_films", "films"], static=["actor"],
+                              stats=stats, static=["actor"],
                               classify=quality_class, class_name="quality_class",
                               history_name="film_years")

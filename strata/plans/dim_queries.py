@@ -143,9 +143,9 @@ actors AS (
 """
 
 
-def actor_history(t, end=END_SEASON):
+def actor_history(t, end=END_SEASON, with_films=False):
     films = A.actor_films(t).where(F.col("year") <= end)
-    return dims.actor_history(films, end)
+    return dims.actor_history(films, end, with_films=with_films)
 
 
 def _actor_out(df):
@@ -175,7 +175,7 @@ def d03_yearly_dimension(t):
 @query("d04_cumulative_actors", oracle=_ACTORS_SQL.format(end=END_SEASON) + "SELECT * FROM actors")
 def d04_cumulative_actors(t):
     """Cumulative actors table: films accumulate, inactive years carried."""
-    return _actor_out(actor_history(t))
+    return _actor_out(actor_history(t, with_films=True))
 
 
 _SCD_ACTORS_SQL = _ACTORS_SQL.format(end=END_SEASON) + """,
