@@ -110,30 +110,58 @@ def positional_sums(df: DataFrame, name: str, n: int, labels: Sequence[str],
         for i in range(n)])
 
 
+def _host_daily(events: DataFrame, lo, hi, host: str, user: str, ts: str) -> DataFrame:
+    """Hits and distinct visitors per (host, day) in one aggregation."""
+    e = events.where(F.col(user).isNotNull() & F.col(host).isNotNull()
+                     & (F.col(ts) >= lo.cast("timestamp_ntz")) & (F.col(ts) < hi.cast("timestamp_ntz")))
+    return (e.groupBy(host, F.dayofmonth(F.col(ts)).alias("_d"))
+             .agg(F.count(F.lit(1)).alias("_h"), F.count_distinct(F.col(user)).alias("_u")))
+
+
 def host_reduced_month(events: DataFrame, end_ds, host: str = "host", user: str = "user_id",
                        ts: str = "event_time") -> DataFrame:
     """D22 backfill form: per (month_start, host) two NULL-padded day arrays,
     hits (events) and unique visitors (distinct users), user and host not
-    NULL."""
-    e = events.where(F.col(user).isNotNull())
-    hits = metric_month(e, [host], end_ds, None, ts, name="hit_array")
-    uv = metric_month(e, [host], end_ds, None, ts, metric=F.count_distinct(F.col(user)),
-                      name="unique_visitors_array")
-    return hits.join(uv.drop("first_found_date"), [host, "month_start"])
+    NULL.  One scan and one (host, day) aggregate feed both arrays; each
+    array is assembled from at most 31 entries per host."""
+    end = as_date(end_ds)
+    month = F.trunc(end, "month")
+    daily = _host_daily(events, month, F.date_add(end, 1), host, user, ts)
+    per = daily.groupBy(host).agg(
+        F.map_from_entries(F.collect_list(F.struct("_d", "_h"))).alias("_mh"),
+        F.map_from_entries(F.collect_list(F.struct("_d", "_u"))).alias("_mu"),
+        F.min("_d").alias("_first"))
+    days = F.sequence(F.lit(1), F.dayofmonth(end))
+    return per.select(host, month.alias("month_start"),
+                      F.transform(days, lambda d: F.col("_mh")[d]).alias("hit_array"),
+                      F.transform(days, lambda d: F.col("_mu")[d]).alias("unique_visitors_array"),
+                      F.make_date(F.year(end), F.month(end), F.col("_first")).alias("first_found_date"))
 
 
 def host_reduced_step(prev: DataFrame | None, events: DataFrame, ds, host: str = "host",
                       user: str = "user_id", ts: str = "event_time") -> DataFrame:
-    """D22 daily step (upsert of today's position in both arrays)."""
-    e = events.where(F.col(user).isNotNull())
-    ph = prev.select(host, "month_start", F.col("hit_array").alias("m"), "first_found_date") \
-        if prev is not None else None
-    pu = prev.select(host, "month_start", F.col("unique_visitors_array").alias("m"),
-                     "first_found_date") if prev is not None else None
-    h = metric_step(ph, e, [host], ds, None, ts, name="m").withColumnRenamed("m", "hit_array")
-    u = metric_step(pu, e, [host], ds, None, ts, metric=F.count_distinct(F.col(user)),
-                    name="m").withColumnRenamed("m", "unique_visitors_array")
-    return h.join(u.drop("first_found_date"), [host, "month_start"])
+    """D22 daily step: today's hits and visitors (one aggregate) set at the
+    day-of-month position of both arrays; hosts absent today get NULL."""
+    day = as_date(ds)
+    month = F.trunc(day, "month")
+    dom = F.dayofmonth(day)
+    t = _host_daily(events, day, F.date_add(day, 1), host, user, ts).drop("_d")
+    if prev is None:
+        y = t.sparkSession.createDataFrame([], t.select(host).schema) \
+             .withColumn("hit_array", F.array().cast("array<bigint>")) \
+             .withColumn("unique_visitors_array", F.array().cast("array<bigint>")) \
+             .withColumn("first_found_date", F.lit(None).cast("date"))
+    else:
+        y = prev.where(F.col("month_start") == month).select(
+            host, "hit_array", "unique_visitors_array", "first_found_date")
+    j = t.join(y, host, "full")
+    return j.select(host, month.alias("month_start"),
+                    _pad_and_set(F.col("hit_array"), dom, F.col("_h").cast("bigint"), None)
+                    .alias("hit_array"),
+                    _pad_and_set(F.col("unique_visitors_array"), dom, F.col("_u").cast("bigint"), None)
+                    .alias("unique_visitors_array"),
+                    F.least(F.col("first_found_date"), F.when(F.col("_h").isNotNull(), day))
+                    .alias("first_found_date"))
 
 
 def host_reduced_report(df: DataFrame, host: str = "host") -> DataFrame:

@@ -204,7 +204,7 @@ def actor_scd(t, end=END_SEASON):
                              extra=["actor"])
 
 
-@query("d06_scd2_backfill", oracle=_SCD_ACTORS_SQL + "SELECT * FROM hist")
+@query("d06_scd2_backfill", headline=True, oracle=_SCD_ACTORS_SQL + "SELECT * FROM hist")
 def d06_scd2_backfill(t):
     """Dated SCD2 history of actors (quality class, activity)."""
     return actor_scd(t)

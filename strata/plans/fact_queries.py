@@ -54,7 +54,7 @@ def d11_player_game_edges(t):
                                    ["start_position", "pts", "team_id", "team_abbreviation"]])
 
 
-@query("d12_player_player_edges", oracle=_DEDUP_SQL + """
+@query("d12_player_player_edges", headline=True, oracle=_DEDUP_SQL + """
 SELECT a.player_id AS subject_player_id, a.player_name AS subject_player_name,
        b.player_id AS object_player_id, b.player_name AS object_player_name,
        CASE WHEN a.team_abbreviation = b.team_abbreviation THEN 'shares_team'
@@ -283,7 +283,7 @@ def _host_month(t):
     return arrays.host_reduced_month(A.web_events(t), END_DS)
 
 
-@query("d22_host_reduced", oracle=_HOST_SQL
+@query("d22_host_reduced", headline=True, oracle=_HOST_SQL
        + "SELECT host, month_start, pos, hits, uv AS unique_visitors FROM hr")
 def d22_host_reduced(t):
     """Per (month, host): daily hits and unique visitors arrays (flattened)."""

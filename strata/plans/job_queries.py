@@ -176,7 +176,7 @@ def d43_business_metrics(t):
                     "cumulative_customers", r6("orders_per_customer").alias("orders_per_customer"))
 
 
-@query("d33_geo_enrich", oracle="""
+@query("d33_geo_enrich", headline=True, oracle="""
 WITH ev AS (
   SELECT CASE WHEN event_type = 'view' THEN '/' ELSE '/' || event_type END AS url,
          'h' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 AS VARCHAR)
