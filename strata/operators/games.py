@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators.graph import dedupe_details
+from strata.operators.relational import keyed_sequence
 
 
 def team_games(details: DataFrame, games: DataFrame) -> DataFrame:
@@ -37,12 +38,20 @@ def game_grouping_sets(details: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def most_wins_in_stretch(details: DataFrame, games: DataFrame, n: int = 90) -> DataFrame:
-    """Per team, the most wins in any ``n`` consecutive games (a ROWS
-    frame over the team's games, one row per game)."""
-    tg = team_games(details, games)
-    w = Window.partitionBy("team_id").orderBy("game_date_est", "game_id")
-    x = tg.withColumn("_wins", F.sum(F.col("won").cast("int")).over(w.rowsBetween(-(n - 1), 0)))
-    return x.groupBy("team_id").agg(F.max("_wins").cast("bigint").alias(f"max_wins_in_{n}"),
+    """Per team, the most wins in any ``n`` consecutive games (the ROWS
+    ``n-1`` PRECEDING frame, partial at the start).
+
+    Wins in the stretch ending at game s = C(s) - C(s - n), with C the running
+    win count in game order.  C and s come from ``keyed_sequence`` (spread
+    over tasks even for a team with a huge schedule) and C(s - n) is an equi
+    join on (team, s - n) -- no window holds a whole team."""
+    tg = team_games(details, games).withColumn("_w", F.col("won").cast("bigint"))
+    c = keyed_sequence(tg, ["team_id"], [F.col("game_date_est"), F.col("game_id")], "_s",
+                       running="_w").select("team_id", "_s", F.col("_w_cum").alias("_c"))
+    back = c.select("team_id", (F.col("_s") + n).alias("_s"), F.col("_c").alias("_c_back"))
+    x = c.join(back, ["team_id", "_s"], "left")
+    stretch = F.col("_c") - F.coalesce("_c_back", F.lit(0))
+    return x.groupBy("team_id").agg(F.max(stretch).cast("bigint").alias(f"max_wins_in_{n}"),
                                     F.count(F.lit(1)).alias("games"))
 
 
@@ -50,10 +59,10 @@ def longest_scoring_run(details: DataFrame, games: DataFrame, min_pts: int = 10)
     """Per player, the most consecutive games (by date) scoring more
     than ``min_pts`` (islands by difference of row numbers)."""
     d = dedupe_details(details).join(games.select("game_id", "game_date_est"), "game_id")
-    hit = F.col("pts") > min_pts
-    w_all = Window.partitionBy("player_id").orderBy("game_date_est", "game_id")
-    w_hit = Window.partitionBy("player_id", hit).orderBy("game_date_est", "game_id")
-    x = d.withColumn("_hit", hit).withColumn(
-        "_grp", F.row_number().over(w_all) - F.row_number().over(w_hit))
+    order = [F.col("game_date_est"), F.col("game_id")]
+    x = d.withColumn("_hit", F.col("pts") > min_pts)
+    x = keyed_sequence(x, ["player_id"], order, "_s_all")
+    x = keyed_sequence(x, ["player_id", "_hit"], order, "_s_hit")
+    x = x.withColumn("_grp", F.col("_s_all") - F.col("_s_hit"))
     runs = x.where("_hit").groupBy("player_id", "_grp").agg(F.count(F.lit(1)).alias("_len"))
     return runs.groupBy("player_id").agg(F.max("_len").alias("longest_run"))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strata.functions.columns import RATING_TIERS, fill_unknown, normalize_referrer, tier
-from strata.operators.relational import top_k
+from strata.operators.relational import keyed_sequence, top_k
 
 # ------------------------------------------------------------- exact rounding
 
@@ -197,10 +197,15 @@ def best_years(films: DataFrame, min_films: int = 10, k: int = 15) -> DataFrame:
 # ------------------------------------------------------- D34 best stretch
 
 
+def film_order() -> list[Column]:
+    return [F.col("year"), F.desc("votes"), F.col("film")]
+
+
 def _film_sequence(films: DataFrame, key: str) -> DataFrame:
+    """Each entity's films numbered by (year, votes desc, film) -- a keyed
+    sequence that spreads a prolific entity over several tasks."""
     f = films.where(F.col("rating").isNotNull() & F.col("year").isNotNull())
-    w = Window.partitionBy(key).orderBy("year", F.desc("votes"), "film")
-    return f.withColumn("film_sequence", F.row_number().over(w))
+    return keyed_sequence(f, [key], film_order(), "film_sequence")
 
 
 def best_stretch(films: DataFrame, n: int = 5, min_hits: int = 3, k: int = 20,
@@ -242,10 +247,10 @@ def longest_streaks(films: DataFrame, threshold: float = 7.0, min_len: int = 2,
     """Islands of consecutive high-rated films (difference of
     two row numbers), longest per entity with its years, average and films
     (earliest streak wins ties)."""
-    f = _film_sequence(films, key)
     hq = F.when(F.col("rating") >= threshold, 1).otherwise(0)
-    w2 = Window.partitionBy(key, hq).orderBy("year", F.desc("votes"), "film")
-    f = f.withColumn("_hq", hq).withColumn("_grp", F.col("film_sequence") - F.row_number().over(w2))
+    f = _film_sequence(films.withColumn("_hq", hq), key)
+    f = keyed_sequence(f, [key, "_hq"], film_order(), "_hq_seq")
+    f = f.withColumn("_grp", F.col("film_sequence") - F.col("_hq_seq"))
     isl = (f.where(F.col("_hq") == 1)
             .groupBy(key, "_grp")
             .agg(F.max("actor").alias("actor"), F.count(F.lit(1)).alias("streak_length"),

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strata.functions.columns import col_
+from strata.session import ensure_checkpoint_dir
 
 
 def _cols(cs) -> list[Column]:
@@ -136,6 +137,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
     the number of rows in all earlier partitions (a table of one row per
     partition).  Uses the shared checkpoint folder of the session.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     s = df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
     s = s.checkpoint(eager=True)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -148,3 +150,41 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
         raise NotImplementedError("dense global rank needs distinct-key offsets")
     return out.withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("int")) \
               .drop("_pid", "_local", "_off")
+
+
+def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                   name: str = "seq", running: str | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` -- and
+    optionally a running ``SUM(running)`` in the same order -- without
+    putting all rows of one key into one task.
+
+    The rows are range-partitioned and sorted by (keys, order), so the rows of
+    a hot key are spread over several consecutive range partitions.  Each
+    partition numbers (and sums) its own rows per key; a small table of
+    per-(partition, key) counts and sums gives every partition the totals of
+    the same key in earlier partitions, which are added as offsets.  The sorted
+    table is checkpointed (shared checkpoint folder) so both uses read the
+    same partitions.  Output: the input columns plus ``name`` (1-based) and
+    ``<running>_cum``.
+    """
+    keys = list(keys)
+    ensure_checkpoint_dir(df.sparkSession)
+    s = (df.orderBy(*[F.col(k) for k in keys], *order)
+           .withColumn("_pid", F.spark_partition_id())
+           .checkpoint(eager=True))
+    w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
+    local = s.withColumn("_lrn", F.row_number().over(w_local))
+    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    if running:
+        local = local.withColumn("_lsum", F.sum(running).over(
+            w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        aggs.append(F.sum(running).alias("_tot"))
+    per = s.groupBy("_pid", *keys).agg(*aggs)
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("_pid", *keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                      *([F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_soff")]
+                        if running else []))
+    out = local.join(offs, ["_pid", *keys]).withColumn(name, F.col("_off") + F.col("_lrn"))
+    if running:
+        out = out.withColumn(f"{running}_cum", F.col("_soff") + F.col("_lsum"))
+    return out.drop("_pid", "_lrn", "_lsum", "_off", "_soff")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.session import ensure_checkpoint_dir
 from strata.sources.readers import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,7 @@ def query(name: str, oracle: str | None = None, headline: bool = False):
     """Register ``fn(t: Tables) -> DataFrame`` as query ``name``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_checkpoint_dir(spark)
             return fn(Tables(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -53,11 +53,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared (HDFS/S3/...) folder there and it is used as is.
     Only when it is unset -- local runs and tests -- a private folder is made.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if not d and current:
+        return current
     if not d:
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # a static conf on some deployments; the context dir below suffices
+            pass
+    strip = lambda x: str(x).replace("file://", "").replace("file:", "").rstrip("/")
+    if current is None or not strip(current).startswith(strip(d)):
+        sc.setCheckpointDir(d)
     return d
 
 

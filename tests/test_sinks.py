@@ -75,3 +75,16 @@ def test_global_rank_matches_window_rank(spark):
     got = R.global_rank(df.repartition(7), [F.desc("v")], name="r")
     ref = df.selectExpr("id", "rank() OVER (ORDER BY v DESC) AS r")
     assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_keyed_sequence_matches_window(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 17).alias("k"),
+        (F.col("id") * 7919 % 1009).alias("o"), (F.col("id") % 5).alias("v"), "id")
+    got = R.keyed_sequence(df.repartition(5), ["k"], [F.col("o"), F.col("id")], "s", running="v")
+    w = Window.partitionBy("k").orderBy("o", "id")
+    ref = df.select("id", F.row_number().over(w).alias("s"),
+                    F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("v_cum"))
+    assert sorted(map(tuple, got.select("id", "s", "v_cum").collect())) == \
+        sorted(map(tuple, ref.collect()))
