@@ -27,8 +27,17 @@ def scoring_class(last: Column) -> Column:
 
 
 def quality_class(last: Column) -> Column:
-    """Class from the latest year's average rating (strict >8/7/6, else bad)."""
-    return tier(last["avg_rating"], QUALITY_TIERS, "bad")
+    """Class from the latest year's average rating (strict >8/7/6, else bad),
+    tested exactly on integer hundredths: avg > t  <=>  sum_c > 100 * t * n."""
+    out = None
+    for thr, label in QUALITY_TIERS:
+        cond = last["rating_c_sum"] > F.lit(int(thr * 100)) * last["num_films"]
+        out = F.when(cond, label) if out is None else out.when(cond, label)
+    return out.otherwise("bad")
+
+
+def _rating_c() -> Column:
+    return F.round(F.col("rating") * 100).cast("bigint")
 
 
 def _stats_struct(period: str, stats: Sequence[str]) -> Column:
@@ -106,6 +115,7 @@ def yearly_dimension(films: DataFrame, key: str = "actorid", year: str = "year",
                       F.array_sort(F.collect_list(F.struct("film", "votes", "rating", "filmid")))
                       .alias("films"),
                       F.avg("rating").alias("avg_rating"),
+                      F.sum(_rating_c()).alias("rating_c_sum"),
                       F.count(F.lit(1)).alias("num_films")))
 
 
@@ -118,12 +128,13 @@ def actor_history(films: DataFrame, end_year: int, with_films: bool = True) -> D
     not copy every film of every earlier year into every snapshot row."""
     if with_films:
         yearly = yearly_dimension(films)
-        stats = ["avg_rating", "num_films", "films"]
+        stats = ["rating_c_sum", "num_films", "films"]
     else:
         yearly = (films.groupBy("actorid", "year")
-                       .agg(F.max("actor").alias("actor"), F.avg("rating").alias("avg_rating"),
+                       .agg(F.max("actor").alias("actor"),
+                            F.sum(_rating_c()).alias("rating_c_sum"),
                             F.count(F.lit(1)).alias("num_films")))
-        stats = ["avg_rating", "num_films"]
+        stats = ["rating_c_sum", "num_films"]
     return cumulative_history(yearly, "actorid", "year", end_year,
                               stats=stats, static=["actor"],
                               classify=quality_class, class_name="quality_class",

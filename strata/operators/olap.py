@@ -131,12 +131,11 @@ def film_tiers_cube(films: DataFrame) -> DataFrame:
         gid = ga * 4 + gy * 2 + gt
         label = F.when(F.col("_gid") == gid, text) if label is None else label.when(F.col("_gid") == gid, text)
     return g.select("actor", "year", "film_quality_tier", "total_films",
-                    (round_ratio("_src", "total_films", 4) / 100).alias("_avg4"),
                     round_ratio(F.col("_src"), F.col("total_films") * 100, 2).alias("avg_rating"),
                     "total_votes",
                     round_ratio("total_votes", "total_films", 0).alias("avg_votes_per_film"),
                     "highest_rated_film_rating", "lowest_rated_film_rating",
-                    label.alias("analysis_level")).drop("_avg4")
+                    label.alias("analysis_level"))
 
 
 def ranked(df: DataFrame, rank_keys: Sequence[Column], tie_break: Sequence[Column], k: int,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators import dims, growth, scd
+from strata.operators import dims, growth, olap, scd
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query, r6
 from strata.sources import adapters as A
@@ -117,8 +117,8 @@ def d09_scd2_incremental(t):
 # ------------------------------------------------------------------ actors
 
 _YEARLY_SQL = with_views("actor_films") + """,
-yearly AS (SELECT actorid, year, MAX(actor) AS actor, AVG(rating) AS avg_rating,
-                  COUNT(*) AS num_films
+yearly AS (SELECT actorid, year, MAX(actor) AS actor,
+                  SUM(CAST(round(rating * 100) AS BIGINT)) AS rc, COUNT(*) AS num_films
            FROM actor_films GROUP BY actorid, year)
 """
 
@@ -135,8 +135,8 @@ r AS (SELECT *, COUNT(y_year) OVER w AS num_film_years, SUM(num_films) OVER w AS
 actors AS (
   SELECT r.actorid, r.actor, CAST(r.num_film_years AS BIGINT) AS num_film_years,
          CAST(r.total_films AS BIGINT) AS total_films,
-         CASE WHEN y.avg_rating > 8 THEN 'star' WHEN y.avg_rating > 7 THEN 'good'
-              WHEN y.avg_rating > 6 THEN 'average' ELSE 'bad' END AS quality_class,
+         CASE WHEN y.rc > 800 * y.num_films THEN 'star' WHEN y.rc > 700 * y.num_films THEN 'good'
+              WHEN y.rc > 600 * y.num_films THEN 'average' ELSE 'bad' END AS quality_class,
          CAST(r.year - r.last_year AS BIGINT) AS years_since_last_active,
          r.last_year = r.year AS is_active, CAST(r.year AS BIGINT) AS current_year
   FROM r JOIN yearly y ON y.actorid = r.actorid AND y.year = r.last_year)
@@ -158,17 +158,19 @@ def _actor_out(df):
 
 @query("d03_yearly_dimension", oracle=_YEARLY_SQL + """
 SELECT actorid, year, actor, CAST(num_films AS BIGINT) AS num_films,
-       ROUND(avg_rating, 6) AS avg_rating,
-       CASE WHEN avg_rating > 8 THEN 'star' WHEN avg_rating > 7 THEN 'good'
-            WHEN avg_rating > 6 THEN 'average' ELSE 'bad' END AS quality_class,
+       CAST((rc * 2000000 + num_films * 100) // (num_films * 200) AS DOUBLE) / 1000000 AS avg_rating,
+       CASE WHEN rc > 800 * num_films THEN 'star' WHEN rc > 700 * num_films THEN 'good'
+            WHEN rc > 600 * num_films THEN 'average' ELSE 'bad' END AS quality_class,
        TRUE AS is_active
 FROM yearly
 """)
 def d03_yearly_dimension(t):
     """Actor-year rows: films as a struct array, class by average rating."""
     y = dims.yearly_dimension(A.actor_films(t))
-    return y.select("actorid", "year", "actor", "num_films", r6("avg_rating").alias("avg_rating"),
-                    dims.quality_class(F.struct("avg_rating")).alias("quality_class"),
+    return y.select("actorid", "year", "actor", "num_films",
+                    olap.round_ratio(F.col("rating_c_sum"), F.col("num_films") * 100, 6)
+                    .alias("avg_rating"),
+                    dims.quality_class(F.struct("rating_c_sum", "num_films")).alias("quality_class"),
                     F.lit(True).alias("is_active"))
 
 

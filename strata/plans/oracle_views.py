@@ -48,7 +48,8 @@ player_seasons AS (
          season, gp, pts, reb, ast
   FROM (SELECT o_custkey, CAST(year(o_orderdate) AS BIGINT) AS season,
                COUNT(*) AS gp,
-               AVG(o_totalprice) / 15000.0 AS pts,
+               CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / COUNT(*)
+                   / 1500000.0 AS pts,
                MIN(o_totalprice) / 20000.0 AS reb,
                MAX(o_totalprice) / 40000.0 AS ast
         FROM orders GROUP BY o_custkey, CAST(year(o_orderdate) AS BIGINT)))""",

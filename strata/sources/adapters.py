@@ -75,7 +75,9 @@ def player_seasons(t: Tables) -> DataFrame:
     ck = o.o_custkey
     return (o.groupBy(ck, F.year(o.o_orderdate).cast("bigint").alias("season"))
              .agg(F.count(F.lit(1)).alias("gp"),
-                  (F.avg(o.o_totalprice) / 15000.0).alias("pts"),
+                  # exact: integer cents summed, then divided (no float-order drift)
+                  (F.sum(F.round(o.o_totalprice * 100).cast("bigint")).cast("double")
+                   / F.count(F.lit(1)) / 1500000.0).alias("pts"),
                   (F.min(o.o_totalprice) / 20000.0).alias("reb"),
                   (F.max(o.o_totalprice) / 40000.0).alias("ast"))
              .select(F.concat(F.lit("player_"), _s(ck)).alias("player_name"),
