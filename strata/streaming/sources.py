@@ -60,6 +60,9 @@ def dropped_late_rows(query) -> int:
     """Rows dropped by the watermark so far (from the query progress)."""
     total = 0
     for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
-            total += int(op.get("numRowsDroppedByWatermark", 0))
+        ops = p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", [])
+        for op in ops or []:
+            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
+                else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(v or 0)
     return total
