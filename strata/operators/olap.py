@@ -293,6 +293,29 @@ def percent_rank_by_counts(df: DataFrame, part: str, value: str, out: str) -> Da
     return df.join(c, [part, value])
 
 
+def percent_ranks_integral(df: DataFrame, part: str, values: Sequence[str],
+                           outs: Sequence[str]) -> DataFrame:
+    """W9 for several integer-valued columns at once: one count table per
+    (part, v1, v2, ...) -- small, since the values are few distinct integers
+    -- gives, with ``RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING``
+    frames, the number of rows with a smaller value for each column; a single
+    join brings ``<out>`` (the PERCENT_RANK), ``<out>_less`` and ``<out>_n``
+    back to the rows."""
+    c = df.groupBy(part, *values).agg(F.count(F.lit(1)).alias("_c"))
+    n = F.sum("_c").over(Window.partitionBy(part))
+    cols = [part, *values, n.alias("_n")]
+    for v, o in zip(values, outs):
+        less = F.coalesce(F.sum("_c").over(
+            Window.partitionBy(part).orderBy(v).rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        cols.append(less.alias(o + "_less"))
+    c = c.select(*cols)
+    for o in outs:
+        c = c.withColumn(o, F.when(F.col("_n") <= 1, F.lit(0.0))
+                            .otherwise(F.col(o + "_less") / (F.col("_n") - 1))) \
+             .withColumn(o + "_n", F.col("_n"))
+    return df.join(c.drop("_n"), [part, *values])
+
+
 def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
                   top_share: float = 0.8) -> DataFrame:
     """Per entity-year count and average, year-over-year change,
@@ -320,8 +343,7 @@ def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
         (F.col("_avg_c") - F.coalesce("_prev_avg_c", F.lit(0))).alias("_dr"),
         "rolling_3yr_avg_rating",
         round_ratio("_r3n_s", "_r3n_k", 1).alias("rolling_3yr_avg_films_per_year"))
-    y = percent_rank_by_counts(y, "year", "_avg_c", "_pr")
-    y = percent_rank_by_counts(y, "year", "films_that_year", "_pp")
+    y = percent_ranks_integral(y, "year", ["_avg_c", "films_that_year"], ["_pr", "_pp"])
     activity = (F.when(F.col("_dn") > 0, "More Active").when(F.col("_dn") < 0, "Less Active")
                  .otherwise("Same Activity"))
     quality = (F.when(F.col("_dr") >= 50, "Much Better").when(F.col("_dr") > 0, "Better")
