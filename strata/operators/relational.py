@@ -117,6 +117,12 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def take_sample(df: DataFrame, n: int) -> DataFrame:
+    """N example rows for inspection (the limit is the feature; which rows
+    come back is unspecified)."""
+    return df.limit(n)
+
+
 def sort_within(df: DataFrame, cols: Sequence[str], n: int | None = None,
                 by: Sequence[str] | None = None) -> DataFrame:
     """L3/L4: optional repartition by column(s), then sort inside partitions."""

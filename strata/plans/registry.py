@@ -18,6 +18,8 @@ def query(name: str, oracle: str | None = None, headline: bool = False):
     """Register ``fn(t: Tables) -> DataFrame`` as query ``name``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # date boundaries are UTC days, whatever session the caller built
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             ensure_checkpoint_dir(spark)
             return fn(Tables(spark, sf_dir))
         run.__name__ = fn.__name__
