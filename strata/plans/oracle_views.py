@@ -116,7 +116,7 @@ medals_matches_players AS (
   SELECT l_orderkey AS match_id,
          'gamer_' || CAST(l_partkey % 300 AS VARCHAR) AS player_gamertag,
          l_suppkey % 10 AS medal_id, CAST(l_linenumber AS BIGINT) AS count
-  FROM lineitem WHERE l_linenumber <= 3)""",
+  FROM lineitem)""",
     "medals": """
 medals AS (
   SELECT DISTINCT p_partkey % 10 AS medal_id,

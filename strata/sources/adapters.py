@@ -177,8 +177,7 @@ def matches(t: Tables) -> DataFrame:
 
 def medals_matches_players(t: Tables) -> DataFrame:
     l = t.lineitem
-    return (l.where(l.l_linenumber <= 3)
-             .select(l.l_orderkey.alias("match_id"),
+    return (l.select(l.l_orderkey.alias("match_id"),
                      F.concat(F.lit("gamer_"), _s(l.l_partkey % 300)).alias("player_gamertag"),
                      (l.l_suppkey % 10).alias("medal_id"),
                      l.l_linenumber.cast("bigint").alias("count")))
