@@ -1,11 +1,13 @@
 """IP range enrichment (D33): IPv4 text -> country/state/city.
 
 The source called a web service per row; here it is a join against a range
-table.  Ranges are exploded to the /16 prefixes they cover, so the join is an
-equi join on (prefix) plus a range residual -- a sort-merge or hash join that
-scales with both sides, instead of a nested-loop range join.  No broadcast is
-assumed: the range table may be large; AQE broadcasts it only when its
-measured size is small.
+table.  Ranges are exploded to the address blocks they cover (/24 by
+default), so the join is an equi join on the block plus a range residual -- a
+sort-merge or hash join that scales with both sides, instead of a nested-loop
+range join.  For non-overlapping ranges the exploded table has at most
+2^24 + (number of ranges) rows whatever the event volume, and an event meets
+only the ranges inside its own block.  No broadcast is assumed: AQE
+broadcasts the range side only when its measured size is small.
 """
 
 from __future__ import annotations
@@ -29,15 +31,17 @@ def long_to_ip(v) -> Column:
                               for k in (3, 2, 1, 0)])
 
 
-def geo_enrich(events: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
+def geo_enrich(events: DataFrame, ranges: DataFrame, ip: str = "ip",
+               block_bits: int = 8) -> DataFrame:
     """Left-join each event to the range containing its IP.  ``ranges`` has
     ip_start, ip_end (longs, inclusive), country, state, city.  Events without
     a match get an empty location ('{}' as JSON text, as the source did)."""
-    r = ranges.select("*", F.explode(F.sequence(F.floor(F.col("ip_start") / 65536).cast("bigint"),
-                                                F.floor(F.col("ip_end") / 65536).cast("bigint")))
+    size = float(2 ** block_bits)
+    r = ranges.select("*", F.explode(F.sequence(F.floor(F.col("ip_start") / size).cast("bigint"),
+                                                F.floor(F.col("ip_end") / size).cast("bigint")))
                       .alias("_prefix"))
     e = events.withColumn("_ipl", ip_to_long(ip)) \
-              .withColumn("_prefix", F.floor(F.col("_ipl") / 65536).cast("bigint"))
+              .withColumn("_prefix", F.floor(F.col("_ipl") / size).cast("bigint"))
     j = e.join(r, (e["_prefix"] == r["_prefix"]) & (e["_ipl"] >= r["ip_start"])
                & (e["_ipl"] <= r["ip_end"]), "left")
     loc = F.when(F.col("country").isNotNull(),
