@@ -244,33 +244,41 @@ def best_stretch(films: DataFrame, n: int = 5, min_hits: int = 3, k: int = 20,
 def longest_streaks(films: DataFrame, threshold: float = 7.0, min_len: int = 2, k: int = 15,
                     key: str = "actorid") -> DataFrame:
     """Islands of consecutive high-rated films (difference of
-    two row numbers), longest per entity with its years, average and films
-    (earliest streak wins ties)."""
+    two keyed sequences), longest per entity with its years, average and
+    films (earliest streak wins ties), top k.
+
+    Islands are measured with aggregates only; the ordered film text (the
+    STRING_AGG of the source) is built afterwards for the k reported islands
+    alone, by joining their (entity, island) keys -- at most k rows, so a
+    broadcast of bounded size -- back to the films."""
     hq = F.when(F.col("rating") >= threshold, 1).otherwise(0)
     f = _film_sequence(films.withColumn("_hq", hq), key)
     f = keyed_sequence(f, [key, "_hq"], film_order(), "_hq_seq")
-    f = f.withColumn("_grp", F.col("film_sequence") - F.col("_hq_seq"))
-    isl = (f.where(F.col("_hq") == 1)
-            .groupBy(key, "_grp")
+    f = f.where(F.col("_hq") == 1).withColumn("_grp", F.col("film_sequence") - F.col("_hq_seq"))
+    isl = (f.groupBy(key, "_grp")
             .agg(F.max("actor").alias("actor"), F.count(F.lit(1)).alias("streak_length"),
                  F.min("year").alias("start_year"), F.max("year").alias("end_year"),
-                 F.sum(hundredths("rating")).alias("_s"),
-                 F.array_join(F.transform(F.array_sort(F.collect_list(
-                     F.struct("film_sequence", "film"))), lambda x: x["film"]), " | ").alias("films"))
+                 F.sum(hundredths("rating")).alias("_s"))
             .where(F.col("streak_length") >= min_len))
     isl = isl.withColumn("avg_rating", round_ratio(F.col("_s"), F.col("streak_length") * 100, 2))
     best = (isl.groupBy(key)
                .agg(F.max_by(F.struct("actor", "streak_length", "start_year", "end_year",
-                                      "avg_rating", "films"),
+                                      "avg_rating", "_grp"),
                              F.struct("streak_length", -F.col("_grp"))).alias("b"))
-               .select("b.*"))
-    best = best.select("actor", F.col("streak_length").alias("consecutive_high_quality_films"),
+               .select(key, "b.*"))
+    best = best.select(key, "_grp", "actor",
+                       F.col("streak_length").alias("consecutive_high_quality_films"),
                        F.col("start_year").alias("best_streak_start_year"),
                        F.col("end_year").alias("best_streak_end_year"),
-                       F.col("avg_rating").alias("best_streak_avg_rating"),
-                       F.col("films").alias("best_streak_films"))
-    return ranked(best, [F.desc("consecutive_high_quality_films"), F.desc("best_streak_avg_rating")],
-                  [F.asc("actor")], k, name="streak_rank")
+                       F.col("avg_rating").alias("best_streak_avg_rating"))
+    top = ranked(best, [F.desc("consecutive_high_quality_films"), F.desc("best_streak_avg_rating")],
+                 [F.asc("actor")], k, name="streak_rank")
+    text = (f.join(F.broadcast(top.select(key, "_grp")), [key, "_grp"])
+             .groupBy(key, "_grp")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+                 F.struct("film_sequence", "film"))), lambda x: x["film"]), " | ")
+                 .alias("best_streak_films")))
+    return top.join(text, [key, "_grp"]).drop(key, "_grp")
 
 
 # ------------------------------------------------------- D36 yearly trends

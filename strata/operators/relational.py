@@ -7,7 +7,10 @@ broadcast only behind a size check, a union by name) in one place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -194,3 +197,15 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     if running:
         out = out.withColumn(f"{running}_cum", F.col("_soff") + F.col("_lsum"))
     return out.drop("_pid", "_lrn", "_lsum", "_off", "_soff")
+
+
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Aggregate once, use several times, release.  MEMORY_AND_DISK so a
+    large aggregate spills instead of being recomputed; lost blocks are
+    recomputed from lineage if an executor dies."""
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -88,3 +88,18 @@ def test_keyed_sequence_matches_window(spark):
                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("v_cum"))
     assert sorted(map(tuple, got.select("id", "s", "v_cum").collect())) == \
         sorted(map(tuple, ref.collect()))
+
+
+def test_cached_two_phase_aggregate(spark):
+    from strata.operators import jobs
+    from strata.sources import adapters as A
+    from strata.sources.readers import Tables
+    from tests.conftest import SF_SMALL
+    t = Tables(spark, SF_SMALL)
+    ev = A.web_events(t)
+    with R.cached(jobs.events_per_user_device(ev)) as agg:
+        users = ev.where(F.col("user_id").isNotNull()).select("user_id").distinct()
+        a = jobs.users_and_devices(agg, users).count()
+        b = jobs.devices_on_events(agg, A.devices(t)).count()
+        assert agg.is_cached
+    assert a > 0 and b > 0 and not agg.is_cached
