@@ -336,7 +336,7 @@ def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
     y = y.withColumn("_avg_c", F.floor((F.col("_s") * 2 + F.col("films_that_year"))
                                        / (F.col("films_that_year") * 2)).cast("bigint"))
     w = Window.partitionBy(key).orderBy("year")
-    y = (y.withColumn("career_year_number", F.row_number().over(w))
+    y = (y.withColumn("career_year_number", F.row_number().over(w).cast("bigint"))
           .withColumn("_prev_n", F.lag("films_that_year").over(w))
           .withColumn("_prev_avg_c", F.lag("_avg_c").over(w))
           .withColumn("rolling_3yr_avg_rating",
