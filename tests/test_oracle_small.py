@@ -7,6 +7,8 @@ import __spark_entry__ as E
 from scripts.oracle_check import TABLES, digest
 from tests.conftest import SF_SMALL
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
@@ -33,6 +35,9 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+    otypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    for col, t in df.dtypes:
+        assert SPARK_TO_DUCKDB.get(t, t) == otypes[col], (col, t, otypes[col])
 
 
 def test_entry_runs(spark):
