@@ -161,6 +161,16 @@ def d14_datelist_cumulate(t):
     return _dl_out(step, keys)
 
 
+@query("d14_datelist_user_host", oracle=_act_sql(["user_id", "host"], "web_events")
+       + "SELECT * FROM hist WHERE date = DATE '2024-01-30'")
+def d14_datelist_user_host(t):
+    """Daily step of the user x host date list (host activity cumulated)."""
+    ev = A.web_events(t)
+    keys = ["user_id", "host"]
+    prev = datelist.datelist_history(ev, keys, "2024-01-29")
+    return _dl_out(datelist.datelist_step(prev, ev, keys, END_DS), keys)
+
+
 @query("d15_host_datelist", oracle=_act_sql(["host"], "web_events")
        + "SELECT * FROM hist WHERE date = DATE '2024-01-30'")
 def d15_host_datelist(t):
