@@ -99,6 +99,38 @@ def d13_graph_union(t):
     return vc.unionByName(ec).select("kind", "type", "n")
 
 
+@query("d13_graph_vertices", oracle=_DEDUP_SQL + """,
+""" + with_views("teams", "games")[5:] + """,
+tr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY team_id ORDER BY abbreviation DESC,
+       nickname DESC, city DESC, arena DESC, yearfounded DESC) AS rn FROM teams)
+SELECT CAST(player_id AS VARCHAR) AS identifier, 'player' AS type,
+       'num_teams=' || CAST(COUNT(DISTINCT team_id) AS VARCHAR)
+       || ';number_of_games=' || CAST(COUNT(*) AS VARCHAR)
+       || ';player_name=' || MAX(player_name)
+       || ';total_points=' || CAST(SUM(pts) AS VARCHAR) AS props
+FROM dd GROUP BY player_id
+UNION ALL
+SELECT CAST(team_id AS VARCHAR), 'team',
+       'abbreviation=' || abbreviation || ';arena=' || arena || ';city=' || city
+       || ';nickname=' || nickname || ';year_founded=' || CAST(yearfounded AS VARCHAR)
+FROM tr WHERE rn = 1
+UNION ALL
+SELECT CAST(game_id AS VARCHAR), 'game',
+       'home_team_id=' || CAST(home_team_id AS VARCHAR)
+       || ';home_team_wins=' || CASE WHEN home_team_wins THEN 'true' ELSE 'false' END
+       || ';season=' || CAST(season AS VARCHAR)
+       || ';visitor_team_id=' || CAST(visitor_team_id AS VARCHAR)
+FROM games
+""")
+def d13_graph_vertices(t):
+    """The typed vertex table (players, teams, games) with each property map
+    as sorted key=value text."""
+    v, _ = graph.graph_union(A.game_details(t), A.teams(t), A.games(t))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("properties")),
+                                    lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return v.select("identifier", "type", text.alias("props"))
+
+
 # --------------------------------------------------------------- date lists
 
 _ACT_SQL = with_views("web_events", "devices") + """,
