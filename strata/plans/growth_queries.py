@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from strata.operators import growth
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query, r6
