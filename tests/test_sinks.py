@@ -103,3 +103,17 @@ def test_cached_two_phase_aggregate(spark):
         b = jobs.devices_on_events(agg, A.devices(t)).count()
         assert agg.is_cached
     assert a > 0 and b > 0 and not agg.is_cached
+
+
+def test_csv_table_roundtrip(spark, tmp_path):
+    from strata.sources import readers
+    csv = tmp_path / "maps.csv"
+    csv.write_text("mapid,name,description\nm1,Alpha,first\nm2,,no name\nm3,Gamma ,\n")
+    df = readers.read_csv(spark, str(csv), "mapid string, name string, description string")
+    named = df.where(F.col("name").isNotNull())
+    assert sorted(r.mapid for r in named.collect()) == ["m1", "m3"]
+    sinks.write_table(named, "maps_named")
+    readers.register_views(spark, {"maps_v": readers.read_table(spark, "maps_named")})
+    assert spark.sql("SELECT count(*) AS n FROM maps_v").collect()[0].n == 2
+    raw = readers.read_csv(spark, str(csv))              # no schema: all strings, no inference
+    assert all(t == "string" for _, t in raw.dtypes)
