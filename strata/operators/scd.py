@@ -7,10 +7,13 @@ bounded by the number of periods, not by data volume.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from strata.sources.sinks import close_rows
+
 
 def _changed(cols: Sequence[str], w, null_safe: bool) -> F.Column:
     cond = None
@@ -86,14 +89,11 @@ def scd2_apply(history: DataFrame, new: DataFrame, key: str, class_col: str,
     path (never overwriting the table it reads)."""
     ch = scd2_changes(new, history, key, class_col, active_col)
     moved = ch.where(F.col("change_type") != "NO_CHANGE")
-    closing = moved.where(F.col("change_type") != "NEW_ACTOR").select(key, F.lit(True).alias("_close"))
-    h = history.join(closing, key, "left")
-    close_now = F.col("current_flag") & F.col("_close").isNotNull()
-    closed = h.select(key, *extra, class_col, active_col, "start_date",
-                      F.when(close_now, F.make_date(F.lit(year - 1), F.lit(12), F.lit(31)))
-                       .otherwise(F.col("end_date")).alias("end_date"),
-                      F.when(close_now, F.lit(False)).otherwise(F.col("current_flag"))
-                       .alias("current_flag"))
+    changed_keys = moved.where(F.col("change_type") != "NEW_ACTOR").select(key)
+    closed = close_rows(history.select(key, *extra, class_col, active_col, "start_date",
+                                       "end_date", "current_flag"),
+                        changed_keys, [key], "end_date",
+                        _dt.date(year - 1, 12, 31), "current_flag")
     opened = moved.select(key, *extra, class_col, active_col,
                           F.make_date(F.lit(year), F.lit(1), F.lit(1)).alias("start_date"),
                           F.lit(None).cast("date").alias("end_date"),
