@@ -99,3 +99,21 @@ def test_player_pairs_same_name_two_ids(spark):
          graph.player_player_edges(d).collect()}
     # equal names are excluded, like the source's name inequality
     assert e == {(300, 100, "plays_against"), (300, 200, "plays_against")}
+
+
+def test_yearly_dimension_chunks_are_exact(spark):
+    from strata.operators import dims
+    from strata.sources import adapters as A
+    from strata.sources.readers import Tables
+    from tests.conftest import SF_SMALL
+    films = A.actor_films(Tables(spark, SF_SMALL))
+    hot = films.withColumn("actorid", F.lit(1).cast("bigint")).withColumn("year", F.lit(1999).cast("bigint"))
+    films = films.unionByName(hot)                       # one actor-year with half of all films
+    whole = dims.yearly_dimension(films)
+    chunked = dims.yearly_dimension(films, chunk_size=100)
+    flat = lambda d: sorted((r.actorid, r.year, f.filmid) for r in d.collect() for f in r.films)
+    assert flat(whole) == flat(chunked)
+    sizes = [len(r.films) for r in chunked.where("actorid = 1 AND year = 1999").collect()]
+    assert max(sizes) <= 100 and len(sizes) > 1
+    n = {(r.actorid, r.year): r.num_films for r in whole.collect()}
+    assert all(n[(r.actorid, r.year)] == r.num_films for r in chunked.collect())
