@@ -324,6 +324,21 @@ def percent_ranks_integral(df: DataFrame, part: str, values: Sequence[str],
     return df.join(c.drop("_n"), [part, *values])
 
 
+def _rolling3_mean_of_means(w) -> Column:
+    """ROUND(AVG(AVG(rating)) over the current and two previous years, 2),
+    exactly: with s_i hundredths summed over n_i films per year, 100 x the
+    mean is (sum_i s_i / n_i) / k = N / D over a common denominator, rounded
+    half-up in integers."""
+    s0, n0 = F.col("_s"), F.col("films_that_year")
+    s1, n1 = F.lag("_s", 1).over(w), F.lag("films_that_year", 1).over(w)
+    s2, n2 = F.lag("_s", 2).over(w), F.lag("films_that_year", 2).over(w)
+    num = (F.when(n2.isNotNull(), s0 * n1 * n2 + s1 * n0 * n2 + s2 * n0 * n1)
+            .when(n1.isNotNull(), s0 * n1 + s1 * n0).otherwise(s0))
+    den = (F.when(n2.isNotNull(), n0 * n1 * n2 * 3)
+            .when(n1.isNotNull(), n0 * n1 * 2).otherwise(n0))
+    return round_ratio(num, den, 0) / 100.0
+
+
 def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
                   top_share: float = 0.8) -> DataFrame:
     """Per entity-year count and average, year-over-year change,
@@ -339,9 +354,7 @@ def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
     y = (y.withColumn("career_year_number", F.row_number().over(w).cast("bigint"))
           .withColumn("_prev_n", F.lag("films_that_year").over(w))
           .withColumn("_prev_avg_c", F.lag("_avg_c").over(w))
-          .withColumn("rolling_3yr_avg_rating",
-                      F.round(F.avg(F.col("_s") / F.col("films_that_year") / 100.0)
-                              .over(w.rowsBetween(-2, 0)), 6))
+          .withColumn("rolling_3yr_avg_rating", _rolling3_mean_of_means(w))
           .withColumn("_r3n_s", F.sum("films_that_year").over(w.rowsBetween(-2, 0)))
           .withColumn("_r3n_k", F.count(F.lit(1)).over(w.rowsBetween(-2, 0))))
     y = y.where(F.col("career_year_number") >= 2).select(
