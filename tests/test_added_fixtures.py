@@ -117,3 +117,22 @@ def test_yearly_dimension_chunks_are_exact(spark):
     assert max(sizes) <= 100 and len(sizes) > 1
     n = {(r.actorid, r.year): r.num_films for r in whole.collect()}
     assert all(n[(r.actorid, r.year)] == r.num_films for r in chunked.collect())
+
+
+def test_scd2_incremental_branches(spark):
+    prev = spark.createDataFrame(
+        [("old", "bad", True, 2000, 2018, 2021),       # history closed before last season
+         ("same", "good", True, 2019, 2021, 2021),     # unchanged -> extended
+         ("chg", "good", True, 2020, 2021, 2021),      # class changes -> old row + new row
+         ("gone", "star", True, 2015, 2021, 2021)],    # absent this season -> kept as is
+        "player_name string, scoring_class string, is_active boolean, start_season long, "
+        "end_season long, current_season long")
+    cur = spark.createDataFrame(
+        [("same", "good", True, 2022), ("chg", "bad", True, 2022), ("new", "star", True, 2022)],
+        "player_name string, scoring_class string, is_active boolean, current_season long")
+    out = scd.scd2_incremental(prev, cur, "player_name", ["scoring_class", "is_active"], 2022)
+    got = sorted((r.player_name, r.scoring_class, r.start_season, r.end_season, r.current_season)
+                 for r in out.collect())
+    assert got == [("chg", "bad", 2022, 2022, 2022), ("chg", "good", 2020, 2021, 2022),
+                   ("gone", "star", 2015, 2021, 2022), ("new", "star", 2022, 2022, 2022),
+                   ("old", "bad", 2000, 2018, 2022), ("same", "good", 2019, 2022, 2022)]
