@@ -87,3 +87,14 @@ def activity_from_bits(df: DataFrame, bits: str = "datelist_int") -> DataFrame:
     return df.select("*", (l32 > 0).alias("monthly_active"), l32.alias("l32"),
                      (l7 > 0).alias("weekly_active"), l7.alias("l7"),
                      (prev7 > 0).alias("weekly_active_previous_week"))
+
+
+def datelist_map(snapshot: DataFrame, key: str, map_key: str, dates: str = "dates_active",
+                 date: str = "date") -> DataFrame:
+    """The MAP<STRING, ARRAY<DATE>> form of a two-key date list: one row per
+    ``key`` and snapshot date with ``map_key -> dates``.  The map of a key
+    holds one entry per distinct ``map_key`` value of that key (e.g. the
+    user's browsers), so it is bounded by that small domain."""
+    return (snapshot.groupBy(key, date)
+                    .agg(F.map_from_entries(F.collect_list(F.struct(F.col(map_key), F.col(dates))))
+                         .alias(dates + "_by_" + map_key)))

@@ -193,6 +193,25 @@ def d14_datelist_cumulate(t):
     return _dl_out(step, keys)
 
 
+@query("d14_datelist_browser_map", oracle=_act_sql(["user_id", "browser_type"], "ev") + """
+SELECT user_id, date,
+       string_agg(browser_type || ':' || CAST(num_dates_active AS VARCHAR) || ':'
+                  || CAST(last_active_date AS VARCHAR), ';' ORDER BY browser_type) AS browsers
+FROM hist WHERE date = DATE '2024-01-30' GROUP BY user_id, date
+""")
+def d14_datelist_browser_map(t):
+    """User x browser date lists as one map per user (browser -> dates)."""
+    ev = _ev_dev(t)
+    keys = ["user_id", "browser_type"]
+    snap = datelist.datelist_history(ev, keys, END_DS).where(F.col("date") == F.lit(END_DS).cast("date"))
+    m = datelist.datelist_map(snap, "user_id", "browser_type")
+    entries = F.array_sort(F.map_entries("dates_active_by_browser_type"))
+    text = F.array_join(F.transform(entries, lambda e: F.concat(
+        e["key"], F.lit(":"), F.size(e["value"]).cast("string"), F.lit(":"),
+        F.array_max(e["value"]).cast("string"))), ";")
+    return m.select("user_id", "date", text.alias("browsers"))
+
+
 @query("d14_datelist_user_host", oracle=_act_sql(["user_id", "host"], "web_events")
        + "SELECT * FROM hist WHERE date = DATE '2024-01-30'")
 def d14_datelist_user_host(t):
