@@ -24,7 +24,8 @@ def read_event_stream(spark: SparkSession, schema: StructType = WEB_EVENT_SCHEMA
     files of a folder (used in tests; same parsing)."""
     if source == "kafka":
         r = spark.readStream.format("kafka")
-        for k, v in (options or {}).items():
+        opts = {"startingOffsets": "latest", "failOnDataLoss": "false", **(options or {})}
+        for k, v in opts.items():
             r = r.option(k, v)
         raw = r.load()
         return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("e")).select("e.*")
