@@ -24,7 +24,7 @@ def read_event_stream(spark: SparkSession, schema: StructType = WEB_EVENT_SCHEMA
     files of a folder (used in tests; same parsing)."""
     if source == "kafka":
         r = spark.readStream.format("kafka")
-        opts = {"startingOffsets": "latest", "failOnDataLoss": "false", **(options or {})}
+        opts = {"startingOffsets": "latest", **(options or {})}
         for k, v in opts.items():
             r = r.option(k, v)
         raw = r.load()
