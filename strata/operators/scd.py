@@ -59,6 +59,7 @@ def scd2_backfill(df: DataFrame, key: str, year: str, cols: Sequence[str],
                        nxt.isNull().alias("current_flag"))
 
 
+# The change classes of the incremental SCD load.
 CHANGE_TYPES = ("NEW_ACTOR", "QUALITY_CHANGED", "ACTIVITY_CHANGED", "NO_CHANGE")
 
 

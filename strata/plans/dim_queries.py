@@ -247,6 +247,7 @@ def d07_scd2_changes(t):
     return scd.scd2_changes(new, cur, "actorid", "quality_class")
 
 
+# The actor wording of the career states.
 ACTOR_LABELS = {"new": "New Actor", "continued": "Continued Acting",
                 "new_inactive": "New Actor (Inactive)"}
 
