@@ -117,3 +117,11 @@ def test_csv_table_roundtrip(spark, tmp_path):
     assert spark.sql("SELECT count(*) AS n FROM maps_v").collect()[0].n == 2
     raw = readers.read_csv(spark, str(csv))              # no schema: all strings, no inference
     assert all(t == "string" for _, t in raw.dtypes)
+
+
+def test_job_entry_point_writes_result(spark, tmp_path):
+    from strata.__main__ import main
+    from tests.conftest import SF_SMALL
+    out = str(tmp_path / "funnel_out")
+    assert main(["d27_funnel", SF_SMALL, out]) == 0
+    assert spark.read.parquet(out).columns == ["url", "num_units", "conversion_rate"]
