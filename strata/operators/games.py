@@ -25,16 +25,25 @@ def game_grouping_sets(details: DataFrame, games: DataFrame) -> DataFrame:
     aggregation; games won counted once per (team, game)."""
     d = dedupe_details(details).select("game_id", "team_id", "player_id", "player_name", "pts")
     tg = team_games(details, games)
-    x = d.join(tg.select("team_id", "game_id", "season", "won"), ["team_id", "game_id"])
+    # one representative row per (team, game) -- its lowest player -- so the
+    # team set counts each won game once without a DISTINCT aggregate (which
+    # would add a second Expand); after the dedupe a player has one row per
+    # game, so the player sets count won games with a plain sum.
+    rep = d.groupBy("team_id", "game_id").agg(F.min("player_id").alias("_rep"))
+    x = (d.join(tg.select("team_id", "game_id", "season", "won"), ["team_id", "game_id"])
+          .join(rep, ["team_id", "game_id"]))
+    won = F.col("won").cast("int")
     g = x.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
                        "player_id", "team_id", "season").agg(
         F.sum("pts").alias("total_points"),
-        F.count_distinct(F.when(F.col("won"), F.col("game_id"))).alias("games_won"),
+        F.sum(won).alias("_won_rows"),
+        F.sum(F.when(F.col("player_id") == F.col("_rep"), won).otherwise(0)).alias("_won_games"),
         F.grouping_id("player_id", "team_id", "season").alias("_gid"))
     level = (F.when(F.col("_gid") == 1, "player_team").when(F.col("_gid") == 2, "player_season")
               .otherwise("team"))
+    games_won = F.when(F.col("_gid") == 5, F.col("_won_games")).otherwise(F.col("_won_rows"))
     return g.select(level.alias("aggregation_level"), "player_id", "team_id", "season",
-                    "total_points", "games_won")
+                    "total_points", games_won.cast("bigint").alias("games_won"))
 
 
 def most_wins_in_stretch(details: DataFrame, games: DataFrame, n: int = 90) -> DataFrame:
