@@ -69,9 +69,10 @@ def longest_scoring_run(details: DataFrame, games: DataFrame, min_pts: int = 10)
     than ``min_pts`` (islands by difference of row numbers)."""
     d = dedupe_details(details).join(games.select("game_id", "game_date_est"), "game_id")
     order = [F.col("game_date_est"), F.col("game_id")]
-    x = d.withColumn("_hit", F.col("pts") > min_pts)
-    x = keyed_sequence(x, ["player_id"], order, "_s_all")
-    x = keyed_sequence(x, ["player_id", "_hit"], order, "_s_hit")
-    x = x.withColumn("_grp", F.col("_s_all") - F.col("_s_hit"))
-    runs = x.where("_hit").groupBy("player_id", "_grp").agg(F.count(F.lit(1)).alias("_len"))
+    x = d.withColumn("_hit", (F.col("pts") > min_pts).cast("bigint"))
+    # the position among the player's hit games is the running count of hits
+    # in the same order, so one keyed sequence gives both row numbers
+    x = keyed_sequence(x, ["player_id"], order, "_s_all", running="_hit")
+    x = x.withColumn("_grp", F.col("_s_all") - F.col("_hit_cum"))
+    runs = x.where(F.col("_hit") == 1).groupBy("player_id", "_grp").agg(F.count(F.lit(1)).alias("_len"))
     return runs.groupBy("player_id").agg(F.max("_len").alias("longest_run"))

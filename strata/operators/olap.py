@@ -251,10 +251,12 @@ def longest_streaks(films: DataFrame, threshold: float = 7.0, min_len: int = 2,
     STRING_AGG of the source) is built afterwards for the k reported islands
     alone, by joining their (entity, island) keys -- at most k rows, so a
     broadcast of bounded size -- back to the films."""
-    hq = F.when(F.col("rating") >= threshold, 1).otherwise(0)
-    f = _film_sequence(films.withColumn("_hq", hq), key)
-    f = keyed_sequence(f, [key, "_hq"], film_order(), "_hq_seq")
-    f = f.where(F.col("_hq") == 1).withColumn("_grp", F.col("film_sequence") - F.col("_hq_seq"))
+    hq = F.when(F.col("rating") >= threshold, 1).otherwise(0).cast("bigint")
+    f = films.where(F.col("rating").isNotNull() & F.col("year").isNotNull()).withColumn("_hq", hq)
+    # the position among the entity's high-rated films is the running count of
+    # them in film order, so one keyed sequence gives both row numbers
+    f = keyed_sequence(f, [key], film_order(), "film_sequence", running="_hq")
+    f = f.where(F.col("_hq") == 1).withColumn("_grp", F.col("film_sequence") - F.col("_hq_cum"))
     isl = (f.groupBy(key, "_grp")
             .agg(F.max("actor").alias("actor"), F.count(F.lit(1)).alias("streak_length"),
                  F.min("year").alias("start_year"), F.max("year").alias("end_year"),
