@@ -200,36 +200,31 @@ def film_order() -> list[Column]:
     return [F.col("year"), F.desc("votes"), F.col("film")]
 
 
-def _film_sequence(films: DataFrame, key: str) -> DataFrame:
-    """Each entity's films numbered by (year, votes desc, film) -- a keyed
-    sequence that spreads a prolific entity over several tasks."""
-    f = films.where(F.col("rating").isNotNull() & F.col("year").isNotNull())
-    return keyed_sequence(f, [key], film_order(), "film_sequence")
-
-
 def best_stretch(films: DataFrame, n: int = 5, min_hits: int = 3, k: int = 20,
                  key: str = "actorid", threshold: float = 7.0) -> DataFrame:
     """Most high-rated films in any full n-film stretch per entity.
 
-    Each film is sent to the n stretches that contain it (its own sequence
-    number and the next n-1), and the stretches are summed by a hash aggregate
-    on (entity, stretch end).  Unlike a ROWS window this spreads one entity's
-    films over many tasks and pre-aggregates them map-side."""
-    f = _film_sequence(films, key)
-    hit = F.when(F.col("rating") >= threshold, 1).otherwise(0)
-    ends = f.select(key, "actor", hit.alias("_hit"), hundredths("rating").alias("_rc"),
-                    F.explode(F.sequence(F.col("film_sequence"),
-                                         F.col("film_sequence") + (n - 1))).alias("_end"))
-    last = f.groupBy(key).agg(F.max("film_sequence").alias("_last"))
-    s = (ends.groupBy(key, "_end")
-             .agg(F.max("actor").alias("actor"), F.sum("_hit").alias("hits"),
-                  F.sum("_rc").alias("_s"), F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") == n)
-             .join(last, key).where(F.col("_end") <= F.col("_last")))
-    s = s.withColumn("avg_rating", round_ratio(F.col("_s"), F.lit(n * 100), 2))
+    With running counts C(s) of hits and rating hundredths in film order
+    (one ``keyed_sequence``, spread over tasks even for a prolific entity),
+    the stretch ending at film s sums to C(s) - C(s - n): an equi join on
+    (entity, s - n) instead of a ROWS window over the whole entity.  Only
+    full stretches (s >= n) count."""
+    f = films.where(F.col("rating").isNotNull() & F.col("year").isNotNull()).select(
+        key, "actor", "year", "votes", "film",
+        F.when(F.col("rating") >= threshold, 1).otherwise(0).cast("bigint").alias("_hit"),
+        hundredths("rating").alias("_rc"))
+    c = keyed_sequence(f, [key], film_order(), "_s", running=["_hit", "_rc"]).select(
+        key, "actor", "_s", "_hit_cum", "_rc_cum")
+    back = c.select(key, (F.col("_s") + n).alias("_s"), F.col("_hit_cum").alias("_hb"),
+                    F.col("_rc_cum").alias("_rb"))
+    s = (c.where(F.col("_s") >= n).join(back, [key, "_s"], "left")
+          .select(key, "actor", "_s",
+                  (F.col("_hit_cum") - F.coalesce("_hb", F.lit(0))).alias("hits"),
+                  (F.col("_rc_cum") - F.coalesce("_rb", F.lit(0))).alias("_sum_rc")))
+    s = s.withColumn("avg_rating", round_ratio(F.col("_sum_rc"), F.lit(n * 100), 2))
     best = (s.groupBy(key)
               .agg(F.max_by(F.struct("actor", "hits", "avg_rating"),
-                            F.struct("hits", "avg_rating", -F.col("_end"))).alias("b"))
+                            F.struct("hits", "avg_rating", -F.col("_s"))).alias("b"))
               .select(key, "b.*")
               .where(F.col("hits") >= min_hits))
     best = best.select("actor", F.col("hits").alias("max_quality_films_in_stretch"),

@@ -162,7 +162,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
 
 
 def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                   name: str = "seq", running: str | None = None) -> DataFrame:
+                   name: str = "seq", running: str | Sequence[str] | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` -- and
     optionally a running ``SUM(running)`` in the same order -- without
     putting all rows of one key into one task.
@@ -181,22 +181,24 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     s = (df.orderBy(*[F.col(k) for k in keys], *order)
            .withColumn("_pid", F.spark_partition_id())
            .checkpoint(eager=True))
+    runs = [running] if isinstance(running, str) else list(running or [])
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
+    upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = s.withColumn("_lrn", F.row_number().over(w_local))
     aggs = [F.count(F.lit(1)).alias("_cnt")]
-    if running:
-        local = local.withColumn("_lsum", F.sum(running).over(
-            w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        aggs.append(F.sum(running).alias("_tot"))
+    for i, r in enumerate(runs):
+        local = local.withColumn(f"_lsum{i}", F.sum(r).over(upto))
+        aggs.append(F.sum(r).alias(f"_tot{i}"))
     per = s.groupBy("_pid", *keys).agg(*aggs)
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_pid", *keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-                      *([F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_soff")]
-                        if running else []))
+                      *[F.coalesce(F.sum(f"_tot{i}").over(before), F.lit(0)).alias(f"_soff{i}")
+                        for i in range(len(runs))])
     out = local.join(offs, ["_pid", *keys]).withColumn(name, F.col("_off") + F.col("_lrn"))
-    if running:
-        out = out.withColumn(f"{running}_cum", F.col("_soff") + F.col("_lsum"))
-    return out.drop("_pid", "_lrn", "_lsum", "_off", "_soff")
+    for i, r in enumerate(runs):
+        out = out.withColumn(f"{r}_cum", F.col(f"_soff{i}") + F.col(f"_lsum{i}"))
+    return out.drop("_pid", "_lrn", "_off", *[f"_lsum{i}" for i in range(len(runs))],
+                    *[f"_soff{i}" for i in range(len(runs))])
 
 
 @contextmanager
