@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from strata.plans import catalog  # noqa: E402
 from strata.session import get_session  # noqa: E402
 
 
@@ -41,7 +41,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     spark = get_session("local[8]", shuffle_partitions=16)
-    qs = E.queries()
+    qs = catalog.QUERIES
     print("| query | scans (table: columns read; pushed filters) | shuffles (reused) | joins SMJ/BHJ/SHJ/NLJ | windows | hash/sort aggs | expand |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for n in names or sorted(qs):

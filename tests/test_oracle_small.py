@@ -5,12 +5,13 @@ import pytest
 
 import __spark_entry__ as E
 from scripts.oracle_check import TABLES, digest
+from strata.plans import catalog
 from tests.conftest import SF_SMALL
 
 SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                    "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLE = catalog.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -5,13 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from strata.plans import catalog
 from strata.operators import growth, relational as R
 from strata.sources import adapters as A
 from strata.sources.readers import Tables
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = catalog.QUERIES
 
 
 def _plan(df):
