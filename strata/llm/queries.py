@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from strata.llm import common
-from strata.llm.common import documents
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from strata.llm import common, warc
+from strata.llm.common import documents, null_as_empty
 from strata.llm.ngram_join import near_duplicates
+from strata.llm.packing import pack
+from strata.llm.sharding import uniform_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +37,58 @@ def query(name: str, oracle: str | None = None):
 def op3(spark, sf_dir):
     """doc_id, n_shingles, component_id of every document."""
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query("op7_sharding")
+def op7(spark, sf_dir):
+    """Uniform shuffle into 24 shards: doc_id, size, text_crc32, law, shard, slot,
+    grown_shard."""
+    text = null_as_empty()
+    docs = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return uniform_shards(docs, 24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_warc", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    m AS (SELECT html, max(page_id) AS largest FROM p GROUP BY html),
+    d AS (SELECT page_id, largest, octet_length(encode(p.html)) AS payload_bytes, sha1(p.html) AS h
+          FROM p JOIN m ON p.html = m.html)
+    SELECT page_id, payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT) >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)),
+               'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> largest THEN largest END AS refers_to
+    FROM d""")
+def op9(spark, sf_dir):
+    """pages written as WARC archives and read back: page_id, payload_bytes,
+    payload_digest, record_type, refers_to."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select(
+        F.col("page_id").alias("id"), F.col("url").alias("uri"), null_as_empty("html").cast("binary").alias("payload"))
+    path = f"{common.use_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(warc.duplicates(pages), path)
+    back = warc.reassembled(warc.read_records(spark, path))
+    page = lambda c: F.regexp_extract(c, r"^urn:capture:(-?\d+)", 1)
+    back = back.select(
+        F.when(page("record_id") != "", page("record_id")).cast("long").alias("page_id"),
+        F.col("kind").alias("record_type"), "digest", page("refers_to").try_cast("long").alias("refers_to"),
+        F.octet_length("payload").cast("long").alias("bytes"),
+        F.when(F.col("payload").isNotNull(), warc.base32_sha1(F.col("payload"))).alias("own"))
+    full = back.where("record_type = 'response'").groupBy(
+        F.col("page_id").alias("refers_to"), F.col("own").alias("digest")).agg(F.max("bytes").alias("full"))
+    return (back.join(full, ["refers_to", "digest"], "left")
+            .select("page_id", F.coalesce("bytes", "full").alias("payload_bytes"),
+                    F.coalesce("own", "digest").alias("payload_digest"), "record_type", "refers_to"))
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op10_packing")
+def op10(spark, sf_dir):
+    """Pieces of all documents in sequences of at most 4096 ids."""
+    return pack(documents(spark, sf_dir), TOKENIZER).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
