@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import common, warc
 from strata.llm.common import documents, null_as_empty
+from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
 from strata.llm.packing import pack
 from strata.llm.sharding import uniform_shards
@@ -33,6 +34,12 @@ def query(name: str, oracle: str | None = None):
     return put
 
 
+@query("op2_decontamination")
+def op2(spark, sf_dir):
+    """Benchmark passages in all documents: doc_id, item_id, start, end, edits."""
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
 @query("op3_ngram_join")
 def op3(spark, sf_dir):
     """doc_id, n_shingles, component_id of every document."""
