@@ -14,6 +14,7 @@ from strata.llm.common import documents, null_as_empty
 from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
 from strata.llm.packing import pack
+from strata.llm.quality import scored
 from strata.llm.sharding import uniform_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,9 @@ def op10(spark, sf_dir):
     """Pieces of all documents in sequences of at most 4096 ids."""
     return pack(documents(spark, sf_dir), TOKENIZER).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op1_quality")
+def op1(spark, sf_dir):
+    """doc_id, held_out, score, predicted of every document."""
+    return scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
