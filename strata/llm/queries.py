@@ -9,7 +9,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import common, warc
+from strata.llm import common, pii, warc
 from strata.llm.common import documents, null_as_empty
 from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
@@ -106,3 +106,10 @@ def op10(spark, sf_dir):
 def op1(spark, sf_dir):
     """doc_id, held_out, score, predicted of every document."""
     return scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
+@query("op8_pii")
+def op8(spark, sf_dir):
+    """Personal data of every document: counts, digest and all spans."""
+    found = pii.find(documents(spark, sf_dir), keep=["doc_id"])
+    return found.select("doc_id", *[c.alias(k) for k, c in pii.digest_columns().items()])
