@@ -9,7 +9,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import common, pii, warc
+from strata.llm import common, pii, secrets, warc
 from strata.llm.common import documents, null_as_empty
 from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
@@ -113,3 +113,10 @@ def op8(spark, sf_dir):
     """Personal data of every document: counts, digest and all spans."""
     found = pii.find(documents(spark, sf_dir), keep=["doc_id"])
     return found.select("doc_id", *[c.alias(k) for k, c in pii.digest_columns().items()])
+
+
+@query("op4_secrets", secrets.oracle_sql())
+def op4(spark, sf_dir):
+    """Secrets of every document: counts, digest and all spans."""
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", *[c.alias(k) for k, c in secrets.digest_columns().items()])
