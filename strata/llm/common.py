@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import pyarrow as pa
+FILTER_BITS = 1 << 24    # of the filter that ``likely_in`` broadcasts: 2 MB, whatever the data
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
@@ -34,6 +36,14 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings that every query of the subpackage runs with: UTC, and
+    Arrow batches bounded in bytes, so long texts don't fill a worker."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    use_checkpoint_dir(spark)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -49,3 +59,25 @@ def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
 
 def null_as_empty(c: str = "text"):
     return F.coalesce(F.col(c), F.lit(""))
+
+
+def likely_in(wanted: DataFrame, key: str):
+    """(column, keep): ``keep`` drops from an Arrow batch that has the column as
+    ``__slot`` most rows whose key is not in ``wanted``, without a shuffle of the
+    batch's table.  A bitmap of fixed size decides; a full bitmap keeps more of
+    the others, and never loses a row."""
+    slot = F.coalesce(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)), F.lit(0)).alias("__slot")
+    words = (wanted.where(F.col(key).isNotNull()).select(slot.alias("slot"))
+             .groupBy(F.shiftright("slot", 5).cast("int").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("bits"))
+             .collect())                       # at most FILTER_BITS / 32 rows
+    bits = np.zeros(FILTER_BITS // 32, np.uint32)
+    for w in words:
+        bits[w.word] = w.bits
+    held = wanted.sparkSession.sparkContext.broadcast(bits)
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = column(batch, "__slot").to_numpy()
+        return batch.filter(pa.array((held.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+
+    return slot, keep

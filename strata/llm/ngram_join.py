@@ -28,13 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import column, null_as_empty, saved
+from strata.llm.common import column, likely_in, saved
 from strata.llm.components import components
 from strata.llm.shingles import mix64, set_hash, shingle_sets
 
 HOT = 10                 # sets per signature that are compared pairwise
-SPREAD = 0.6             # segments as a share of the band's upper size
-BUCKET_ENTRIES = 500_000  # signatures that one reduce group holds
+SPREAD = 0.55            # segments as a share of the band's upper size
+BUCKET_ENTRIES = 1_500_000  # signatures that one reduce group holds
+BLOCK_SHINGLES = 1_500_000  # shingles whose signatures a task packs together
 THRESHOLD = 75           # per cent
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _U32 = np.uint64(32)
@@ -85,10 +86,14 @@ class Bands:
         return [b] if b == 0 else [b, b - 1]
 
 
+def _segment_starts(s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    seg = ((s >> _U32) * np.uint64(m)) >> _U32
+    return seg, np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+
+
 def _segment(s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment numbers, start offsets, signatures' inner sums) of non-empty segments."""
-    seg = ((s >> _U32) * np.uint64(m)) >> _U32
-    start = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+    seg, start = _segment_starts(s, m)
     return seg[start], start, np.add.reduceat(mix64(s + np.uint64(77)), start)
 
 
@@ -139,6 +144,10 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _width(nodes: int):
+    return np.uint16 if nodes < 1 << 14 else np.uint64
+
+
 def _pack(groups: dict, n_buckets: int) -> Iterator[dict]:
     """groups: scheme -> [(signatures, node, flag)]; one row per bucket with
     node table, signatures and node numbers.  A signature that more than HOT
@@ -169,10 +178,12 @@ def _pack(groups: dict, n_buckets: int) -> Iterator[dict]:
         cut = _starts(bucket)
         for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(sig)]):
             names, number = np.unique(node[a:z], return_inverse=True)
-            # inside a bucket the low half of a signature tells it apart
+            # inside a bucket the low half of a signature tells it apart; the
+            # flags are the low bits of the node number
+            number = (number << 2 | flag[a:z]).astype(_width(len(names)))
             out.setdefault(int(bucket[a]), []).append(
                 np.array([scheme, z - a, len(names)], np.int64).tobytes() + names.tobytes()
-                + sig[a:z].astype(np.uint32).tobytes() + number.astype(np.uint32).tobytes() + flag[a:z].tobytes())
+                + sig[a:z].astype(np.uint32).tobytes() + number.tobytes())
     for b, blobs in out.items():
         yield {"bucket": b, "blob": b"".join(blobs)}
 
@@ -186,10 +197,9 @@ def _unpack(blobs: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray, np.nd
             at += 24
             names = np.frombuffer(blob, np.int64, k, at)
             sig = np.frombuffer(blob, np.uint32, n, at + 8 * k)
-            number = np.frombuffer(blob, np.uint32, n, at + 8 * k + 4 * n)
-            flag = np.frombuffer(blob, np.uint8, n, at + 8 * k + 8 * n)
-            at += 8 * k + 9 * n
-            found.setdefault(scheme, []).append((sig, names[number], flag))
+            number = np.frombuffer(blob, _width(k), n, at + 8 * k + 4 * n)
+            at += 8 * k + 4 * n + number.nbytes
+            found.setdefault(scheme, []).append((sig, names[number >> 2], (number & 3).astype(np.uint8)))
     return {s: tuple(np.concatenate([x[i] for x in v]) for i in range(3)) for s, v in found.items()}
 
 
@@ -256,41 +266,43 @@ def _met(entries: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- the join
-def shingle_nodes(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
-    """Per row: id, n, node (hash of its set), and per scheme the segment bytes
-    and the number of empty segments."""
+def shingle_nodes(docs: DataFrame, threshold: int) -> DataFrame:
+    """Per row: id, n, node (hash of its set), band, and the number of empty
+    segments under the schemes of its band and the one below."""
     bands = Bands(threshold)
 
+    def empty(s: np.ndarray, scheme: int) -> int:
+        m = bands.segments(scheme)
+        return m - len(_segment_starts(s, m)[1])
+
     def rows(batches):
         for b in batches:
-            n, node, own, low, gaps, low_gaps = [], [], [], [], [], []
-            for s in shingle_sets(column(b, text_col)):
+            n, node, band, gaps, low_gaps = [], [], [], [], []
+            for s in shingle_sets(column(b, "text")):
+                own = bands.of(len(s)) if len(s) else None
                 n.append(len(s))
                 node.append(set_hash(s))
-                vec = [segment_bytes(s, k, bands) for k in bands.schemes(len(s))] if len(s) else []
-                vec += [None] * (2 - len(vec))
-                own.append(vec[0])
-                low.append(vec[1])
-                gaps.append(vec[0].count(0) if vec[0] else None)
-                low_gaps.append(vec[1].count(0) if vec[1] else None)
-            yield pa.RecordBatch.from_pydict(
-                {"id": column(b, id_col), "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()),
-                 "band": pa.array([bands.of(x) if x else None for x in n], pa.int64()),
-                 "own": pa.array(own, pa.binary()), "low": pa.array(low, pa.binary()),
-                 "gaps": pa.array(gaps, pa.int64()), "low_gaps": pa.array(low_gaps, pa.int64())})
-
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(
-        rows, f"id {kind}, n long, node long, band long, own binary, low binary, gaps long, low_gaps long")
-
-
-def _entries(texts: DataFrame, text_col: str, n_buckets: int, threshold: int, deletions: bool) -> DataFrame:
-    bands = Bands(threshold)
+                band.append(own)
+                gaps.append(empty(s, own) if len(s) else None)
+                low_gaps.append(empty(s, own - 1) if own else None)
+            yield pa.RecordBatch.from_arrays(
+                [column(b, "id"), *(pa.array(x, pa.int64()) for x in (n, node, band, gaps, low_gaps))],
+                ["id", "n", "node", "band", "gaps", "low_gaps"])
+
+    return docs.select("id", "text").mapInArrow(
+        rows, f"id {dict(docs.dtypes)['id']}, n long, node long, band long, gaps long, low_gaps long")
+
+
+def _entries(docs: DataFrame, n_buckets: int, threshold: int, wanted: DataFrame | None = None) -> DataFrame:
+    """Packed signatures of all rows, or with one-deletion neighbourhoods of at
+    least the wanted ids."""
+    bands, deletions = Bands(threshold), wanted is not None
+    slot, near = likely_in(wanted, "id") if deletions else (F.lit(0).alias("__slot"), lambda b: b)
 
     def rows(batches):
+        groups, seen, waiting = {}, set(), 0
         for b in batches:
-            groups, seen, waiting = {}, set(), 0
-            for s in shingle_sets(column(b, text_col)):
+            for s in shingle_sets(column(near(b), "text")):
                 h = set_hash(s)
                 if not len(s) or h in seen:
                     continue
@@ -302,12 +314,12 @@ def _entries(texts: DataFrame, text_col: str, n_buckets: int, threshold: int, de
                     else:
                         groups.setdefault(k, []).append((exact_signatures(s, k, bands), h, int(k != bands.of(len(s)))))
                 waiting += len(s)
-                if waiting > 2_000_000:
+                if waiting > BLOCK_SHINGLES:
                     yield from _batch(_pack(groups, n_buckets))
                     groups, seen, waiting = {}, set(), 0
-            yield from _batch(_pack(groups, n_buckets))
+        yield from _batch(_pack(groups, n_buckets))
 
-    return texts.select(text_col).mapInArrow(rows, ENTRY_SCHEMA)
+    return docs.where("text is not null").select("text", slot).mapInArrow(rows, ENTRY_SCHEMA)
 
 
 def _batch(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
@@ -316,49 +328,51 @@ def _batch(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("blob", pa.binary())]))
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose sizes and segment bytes allow a link, with both ids and sizes;
-    ``n`` met segments must reach ``need`` where the caller gives one."""
-    bands = Bands(threshold)
+def _segment_bytes(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
+    """(node, own, low): segment bytes of at least the wanted ids."""
+    bands, (slot, near) = Bands(threshold), likely_in(wanted, "id")
 
     def rows(batches):
         for b in batches:
-            keep = []
-            for n, m, x, y in zip(*(column(b, c).to_pylist() for c in ("un", "vn", "ub", "vb"))):
-                ok = 100 * min(n, m) >= threshold * max(n, m)
-                if ok:
-                    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                    ok = len(p) == len(q) and np.count_nonzero(p != q) <= bands.difference(n, m)
-                keep.append(ok)
-            yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v", "un", "vn", "uid", "vid"])
-
-    side = lambda s: classes.select(
-        F.col("node").alias(s), F.col("n").alias(f"{s}n"), F.col("id").alias(f"{s}id"),
-        F.col("band").alias(f"{s}band"), F.col("own").alias(f"{s}own"), F.col("low").alias(f"{s}low"))
-    wide = pairs.join(side("u"), "u").join(side("v"), "v")
-    part = lambda s: F.when(F.col(f"{s}band") == F.col("scheme"), F.col(f"{s}own")).otherwise(F.col(f"{s}low"))
-    kind = dict(classes.dtypes)["id"]
-    return (wide.where(F.least("uband", "vband") == F.col("scheme"))
-            .select("u", "v", "un", "vn", "uid", "vid", part("u").alias("ub"), part("v").alias("vb"))
-            .mapInArrow(rows, f"u long, v long, un long, vn long, uid {kind}, vid {kind}"))
+            sets = [s for s in shingle_sets(column(near(b), "text")) if len(s)]
+            own = [bands.of(len(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_hash(s) for s in sets], pa.int64()),
+                 pa.array([segment_bytes(s, k, bands) for s, k in zip(sets, own)], pa.binary()),
+                 pa.array([segment_bytes(s, k - 1, bands) if k else None for s, k in zip(sets, own)], pa.binary())],
+                ["node", "own", "low"])
+
+    return (docs.select("text", slot).mapInArrow(rows, "node long, own binary, low binary")
+            .dropDuplicates(["node"]))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, set) of the wanted ids."""
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, items): whole shingle sets of at least the wanted ids."""
+    slot, near = likely_in(wanted, "id")
+
     def rows(batches):
         for b in batches:
-            sets = list(shingle_sets(column(b, text_col)))
-            yield pa.RecordBatch.from_pydict({"node": pa.array([set_hash(s) for s in sets], pa.int64()),
-                                              "items": pa.array([s.tobytes() for s in sets], pa.binary())})
+            sets = list(shingle_sets(column(near(b), "text")))
+            yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"])
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias(text_col)).join(wanted, "id", "left_semi")
-            .select(text_col).mapInArrow(rows, "node long, items binary")
-            .dropDuplicates(["node"]))
+    return docs.select("text", slot).mapInArrow(rows, "node long, items binary").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
-    """Links (u, v, uid, vid) among the pairs: exact Jaccard on whole sets."""
-    def rows(batches):
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The links (u, v) among pairs (scheme, u, v): sizes and segment bytes must
+    allow one, then the whole sets decide."""
+    bands = Bands(threshold)
+
+    def possible(batches):
+        for b in batches:
+            keep = []
+            for n, m, x, y in zip(*(column(b, c).to_pylist() for c in ("un", "vn", "ubytes", "vbytes"))):
+                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                keep.append(len(p) == len(q) and np.count_nonzero(p != q) <= bands.difference(n, m))
+            yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v", "uid", "vid"])
+
+    def linked(batches):
         for b in batches:
             keep = []
             for x, y in zip(column(b, "a").to_pylist(), column(b, "b").to_pylist()):
@@ -368,15 +382,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thr
                 at = np.minimum(np.searchsorted(q, p), len(q) - 1)
                 common = int(np.count_nonzero(q[at] == p))
                 keep.append(100 * common >= threshold * (len(p) + len(q) - common))
-            yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v", "uid", "vid"])
+            yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
 
-    wanted = pairs.select(F.col("uid").alias("id")).union(pairs.select("vid")).distinct()
-    sets = saved(_sets(docs, wanted, id_col, text_col))
-    kind = dict(pairs.dtypes)["uid"]
-    return (pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u")
-            .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
-            .select("u", "v", "uid", "vid", "a", "b")
-            .mapInArrow(rows, f"u long, v long, uid {kind}, vid {kind}"))
+    kind = dict(classes.dtypes)["id"]
+    side = lambda s: classes.select(F.col("node").alias(s), *[F.col(c).alias(s + c) for c in ("id", "n", "band")])
+    pairs = saved(pairs.join(side("u"), "u").join(side("v"), "v")
+                  .where((F.least("uband", "vband") == F.col("scheme"))
+                         & (F.least("un", "vn") * 100 >= F.greatest("un", "vn") * threshold)))
+    ids = lambda p: p.select(F.col("uid").alias("id")).union(p.select("vid"))
+    segments = saved(_segment_bytes(docs, ids(pairs), threshold))
+    part = lambda s: segments.select(F.col("node").alias(s), F.col("own").alias(f"{s}own"), F.col("low").alias(f"{s}low"))
+    which = lambda s: F.when(F.col(f"{s}band") == F.col("scheme"), F.col(f"{s}own")).otherwise(F.col(f"{s}low"))
+    likely = saved(pairs.join(part("u"), "u").join(part("v"), "v")
+                   .select("u", "v", "uid", "vid", "un", "vn", which("u").alias("ubytes"), which("v").alias("vbytes"))
+                   .mapInArrow(possible, f"u long, v long, uid {kind}, vid {kind}"))
+    sets = saved(_sets(docs, ids(likely)))
+    return saved(likely.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u")
+                 .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
+                 .select("u", "v", "a", "b").mapInArrow(linked, "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -391,13 +414,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     bands = Bands(threshold)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    nodes = saved(shingle_nodes(docs, "id", "text", threshold))
-    rest = ["n", "band", "own", "low", "gaps", "low_gaps"]
+    nodes = saved(shingle_nodes(docs, threshold))
+    rest = ["n", "band", "gaps", "low_gaps"]
     classes = saved(nodes.where("n > 0").groupBy("node").agg(
         F.min("id").alias("id"), *[F.first(c).alias(c) for c in rest]))
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_buckets = max(4, math.ceil(total / BUCKET_ENTRIES))
-    met = saved(_met(_entries(docs.where("text is not null"), "text", n_buckets, threshold, False)))
+    met = saved(_met(_entries(docs, n_buckets, threshold)))
 
     pairs = met.where("gid is null").groupBy("scheme", "u", "v").agg(F.sum("n").alias("n"))
     stars = met.where("gid is not null")
@@ -420,8 +443,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where(F.col("n") >= need).select("scheme", "u", "v"))
     hubs = stars.where("u <> v").select(
         "scheme", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    candidates = saved(_bounded(pairs.union(hubs).distinct(), classes, threshold))
-    links = saved(_verified(candidates, docs, "id", "text", threshold).select("u", "v"))
+    links = _links(pairs.union(hubs).distinct(), docs, classes, threshold)
     groups = components(links)
 
     # short sets: what is lost in empty segments and in hot ones whose members
@@ -470,9 +492,8 @@ def _short_links(docs, short, classes, groups, threshold):
     n = short.count()
     if n < 2:
         return None
-    texts = docs.join(short.select("id"), "id", "left_semi").where("text is not null")
     total = classes.join(short.select("node"), "node", "left_semi").agg(F.sum("n")).first()[0]
-    met = saved(_met(_entries(texts, "text", max(4, math.ceil(2 * total / BUCKET_ENTRIES)), threshold, True)))
+    met = saved(_met(_entries(docs, max(4, math.ceil(2 * total / BUCKET_ENTRIES)), threshold, short)))
     comp = groups.select("node", "component")
     name = lambda s: comp.select(F.col("node").alias(s), F.col("component").alias(f"{s}c"))
     def apart(p):
@@ -488,5 +509,4 @@ def _short_links(docs, short, classes, groups, threshold):
     other = members.select("scheme", "gid", F.col("node").alias("v"), F.col("label").alias("other"))
     hot = (members.withColumnRenamed("node", "u").join(other, ["scheme", "gid"])
            .where("u < v and label <> other").select("scheme", "u", "v"))
-    pairs = saved(_bounded(apart(small).union(hot).distinct(), classes, threshold))
-    return saved(_verified(pairs, docs, "id", "text", threshold).select("u", "v"))
+    return _links(apart(small).union(hot).distinct(), docs, classes, threshold)

@@ -9,13 +9,14 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import common, pii, secrets, warc
+from strata.llm import common, pii, secrets, spotsigs, warc
 from strata.llm.common import documents, null_as_empty
 from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
 from strata.llm.packing import pack
 from strata.llm.quality import scored
 from strata.llm.sharding import uniform_shards
+from strata.llm.token_counts import count_tokens, sentencepiece_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,8 +25,7 @@ ORACLE: dict[str, str] = {}
 def query(name: str, oracle: str | None = None):
     def put(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            common.use_checkpoint_dir(spark)
+            common.prepare(spark)
             return fn(spark, sf_dir)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run
@@ -120,3 +120,21 @@ def op4(spark, sf_dir):
     """Secrets of every document: counts, digest and all spans."""
     found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", *[c.alias(k) for k, c in secrets.digest_columns().items()])
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op5_token_counts")
+def op5(spark, sf_dir):
+    """doc_id, n_words, n_tokens, n_unknown of every document."""
+    return count_tokens(documents(spark, sf_dir), sentencepiece_vocabulary(PIECES))
+
+
+@query("op6_spotsigs")
+def op6(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return spotsigs.compared(documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+        "length_partition")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -29,14 +30,14 @@ class WordIds:
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as f:
             self.json = spark.sparkContext.broadcast(f.read())
+        self.key = uuid.uuid4().hex
 
     def encoder(self) -> Callable[[str], bytes]:
         """text -> ids as little-endian unsigned 32-bit, without special tokens added."""
-        key = self.json._path if hasattr(self.json, "_path") else id(self.json)
-        if key not in _MADE:
+        if self.key not in _MADE:
             _MADE.clear()
-            _MADE[key] = _encoder(self.json.value)
-        return _MADE[key]
+            _MADE[self.key] = _encoder(self.json.value)
+        return _MADE[self.key]
 
 
 def _encoder(json_text: str) -> Callable[[str], bytes]:
