@@ -31,11 +31,11 @@ ANCHORS = {
 
 
 def _pattern() -> str:
-    """A space and an anchor before a space; alternatives share first letters."""
+    """A space and an anchor before a space or the end; alternatives share first letters."""
     heads: dict[str, list[str]] = {}
     for w in sorted({w for words in ANCHORS.values() for w in words.split()}):
         heads.setdefault(w[0], []).append(w[1:])
-    return " (" + "|".join(f"{c}(?:{'|'.join(sorted(rest, reverse=True))})" for c, rest in sorted(heads.items())) + ")(?= )"
+    return " (" + "|".join(f"{c}(?:{'|'.join(sorted(rest, reverse=True))})" for c, rest in sorted(heads.items())) + ")(?= |$)"
 
 
 ANCHOR = _pattern()
@@ -45,8 +45,7 @@ def signatures(text: Column) -> Column:
     """Sorted distinct 32-bit signatures (as longs) of a text.  A text with words
     but without anchors has one signature, that of all its words; a null text or
     one without words has none."""
-    words = F.concat(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"^|[^\p{L}\p{N}]+|$", " "), F.lit(" "))
-    words = F.regexp_replace(words, " +", " ")
+    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")))
     stretches = F.transform(F.split(words, ANCHOR, -1), lambda s: F.substring_index(s, " ", CHAIN + 1))
     anchors = F.regexp_extract_all(words, F.lit(ANCHOR), F.lit(1))
     spot = F.struct(stretches.alias("s"), anchors.alias("a"))
