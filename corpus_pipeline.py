@@ -3,33 +3,76 @@ its predecessor kept, written as Parquet and read again by the next."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import documents, use_checkpoint_dir
+from strata.llm import pii
+from strata.llm.common import documents, prepare, use_checkpoint_dir
+from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
+from strata.llm.packing import pack
+from strata.llm.quality import scored
+from strata.llm.queries import TOKENIZER
+
+ORACLE_SQL = None    # a trained model and similarity joins cannot be expressed; see tests/llm
+
 
-ORACLE_SQL = None    # similarity joins and models cannot be expressed; see tests/llm
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    prepare(spark)
+    return scored(docs, _table(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the smallest doc_id."""
-    keep = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    prepare(spark)
+    first = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    prepare(spark)
+    held = contaminated(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; n_chars follows."""
+    prepare(spark)
+    found = pii.find(docs).withColumn("text", pii.masked())
+    return found.withColumn("n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast("long"))
+                            .otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in training sequences."""
+    prepare(spark)
+    return pack(docs, TOKENIZER).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                                        "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [
+    ("quality", quality),
     ("near_duplicates", deduplicate),
+    ("decontamination", decontaminate),
+    ("personal_data", mask_personal_data),
+    ("packing", pack_sequences),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, over the documents of ``sf_dir``."""
-    base = use_checkpoint_dir(spark).rstrip("/")
+    base = f"{use_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{base}/pipeline-{spark.sparkContext.applicationId}-{k}-{name}"
-            docs.write.mode("overwrite").parquet(path)
-            docs = spark.read.parquet(path)
+            docs.write.parquet(f"{base}/{k}-{name}")
+            docs = spark.read.parquet(f"{base}/{k}-{name}")
     return docs

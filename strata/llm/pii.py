@@ -325,7 +325,7 @@ def digest_columns(spans: str = "spans") -> dict[str, Column]:
     return counts | {"base_sha256": F.sha2(text(base).cast("binary"), 256), "spans": text(F.col(spans))}
 
 
-def masked(docs: DataFrame, spans: str = "spans", text_col: str = "text") -> Column:
+def masked(spans: str = "spans", text_col: str = "text") -> Column:
     """The text with every span replaced by its kind in angle brackets; spans that
     overlap an earlier one extend it."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))

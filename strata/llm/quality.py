@@ -100,13 +100,10 @@ class RuleEnsemble:
         return 1.0 / (1.0 + F.exp(-z))
 
 
-def fit(labelled: DataFrame, label: str = "label", sample: int = SAMPLE, seed: int = 7) -> RuleEnsemble:
-    """labelled: the STATISTICS, ``label`` (0 or 1) and ``key``, by whose hash at
-    most ``sample`` rows are taken.  Without rows of both labels the score is
-    their constant share (0.5 without any row)."""
-    rows = (labelled.where(F.col(label).isin(0, 1)).orderBy(F.xxhash64("key"), *STATISTICS).limit(sample)
-            .select(F.col(label).cast("double").alias("label"), *STATISTICS))
-    rows = saved(rows)
+def fit(rows: DataFrame, label: str = "label", seed: int = 7) -> RuleEnsemble:
+    """rows: the STATISTICS and ``label`` (0 or 1).  Without rows of both labels
+    the score is their constant share (0.5 without any row)."""
+    rows = saved(rows.where(F.col(label).isin(0, 1)).select(F.col(label).cast("double").alias("label"), *STATISTICS))
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if n == 0 or ones in (0, n):
         share = 0.5 if n == 0 else min(max(ones / n, 0.001), 0.999)
@@ -135,15 +132,26 @@ def train_part(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0, F.lit(False))
 
 
+def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            label_col: str = "quality", sample: int = SAMPLE) -> RuleEnsemble:
+    """The model from at most ``sample`` labelled rows of the training part, those
+    whose id hashes come first: a bound that lets the sample be broadcast."""
+    picked = (labels.where(train_part(id_col) & F.col(label_col).isin(0, 1))
+              .select(F.col(id_col).alias("key"), F.col(label_col).alias("label"))
+              .orderBy(F.xxhash64("key"), "key", "label").limit(sample))
+    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
+    return fit(statistics(texts.join(F.broadcast(picked), "key")))
+
+
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
-    """Per row of docs: id, held_out, score, predicted (1 from a score of 0.3 on).
+    """docs plus held_out, score, predicted (1 from a score of 0.3 on).
 
     Null and empty texts are scored as texts without words; null ids are held
     out; null labels are not learned from, of several labels of an id each is a
-    row; other columns of docs are ignored; no rows of docs give no rows."""
-    stats = saved(statistics(docs.select(id_col, text_col), text_col).drop(text_col))
-    known = labels.select(F.col(id_col).alias("key"), F.col(label_col).alias("label"))
-    model = fit(stats.where(train_part(id_col)).withColumnRenamed(id_col, "key").join(known, "key"), sample=sample)
-    return stats.select(id_col, (~train_part(id_col)).alias("held_out"), model.score().alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.3).cast("int"))
+    row; no rows of docs give no rows.  Columns of these names are replaced."""
+    model = learned(docs, labels, id_col, text_col, label_col, sample)
+    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    wide = statistics(docs.select(F.struct(*own).alias("row"), F.col(text_col).alias("text")), "text")
+    return wide.select("row.*", (~train_part(f"row.`{id_col}`")).alias("held_out"),
+                       model.score().alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))

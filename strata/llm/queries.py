@@ -105,7 +105,8 @@ def op10(spark, sf_dir):
 @query("op1_quality")
 def op1(spark, sf_dir):
     """doc_id, held_out, score, predicted of every document."""
-    return scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return scored(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
 
 
 @query("op8_pii")
