@@ -1,4 +1,4 @@
-"""Token ids through the `tokenizers` library, cached by chunk of a text.
+"""Token ids through the `tokenizers` library, cached by part of a text.
 
 With a tokenizer that drops white space and splits by SPLIT, no token, merge or
 normalisation reaches over ASCII white space: a text's ids are those of its
@@ -15,10 +15,12 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import SparkSession
 
-CACHE = 400_000          # chunks that a worker remembers
+CACHE = 600_000          # parts that a worker remembers for certain, at most twice that in all
 # Fixed value: the split pattern for which the shortcuts below hold.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
+# The same split for ASCII and Latin-1 letters, which no normalisation changes but for case.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^ \t\n\r\x0b\x0ca-zà-öø-ÿß0-9]+")
+_OTHER = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\|")
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _MADE: dict = {}
 
@@ -44,37 +46,38 @@ def _encoder(json_text: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(json_text)
-    chunks: dict[str, bytes] = {}
-    parts: dict[str, bytes] = {}
 
     def ids(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def part(text: str) -> bytes:
-        found = parts.get(text)
-        if found is None:
-            if len(parts) >= CACHE:
-                parts.clear()
-            found = parts[text] = ids(text)
-        return found
-
-    def chunk(text: str) -> bytes:
-        if text.isascii() and "<|" not in text:
-            found = b"".join(map(part, _ASCII_PARTS.findall(text.lower())))
-        else:
-            found = ids(text)
-        if len(text) <= 64:
-            if len(chunks) >= CACHE:
-                chunks.clear()
-            chunks[text] = found
-        return found
-
     split = (json.loads(json_text).get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
     if (split.get("pattern"), split.get("behavior"), split.get("invert")) != ({"Regex": SPLIT}, "Removed", True):
         return ids
+    part = _Recent(ids).__getitem__
 
     def encode(text: str) -> bytes:
-        get = chunks.get
-        return b"".join([get(c) or chunk(c) for c in _CHUNK.findall(text)])
+        if _OTHER.search(text) is None:
+            return b"".join(map(part, _PARTS.findall(text.lower())))
+        return b"".join([b"".join(map(part, _PARTS.findall(c.lower()))) if _OTHER.search(c) is None else ids(c)
+                         for c in _CHUNK.findall(text)])
 
     return encode
+
+
+class _Recent(dict):
+    """Values of a function, those not asked for lately forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= CACHE:
+                self.before = dict(self)
+                self.clear()
+            self[key] = found
+        return found
