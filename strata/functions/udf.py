@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession, functions as F
 
+from strata.operators.geo import IPV4
+
 
 def register_sql_function(spark: SparkSession, name: str, params: str, returns: str,
                           body: str) -> None:
@@ -28,7 +30,7 @@ def register_pandas_function(spark: SparkSession, name: str, fn: Callable, retur
     return u
 
 
-IP_TO_LONG_SQL = ("CASE WHEN ip RLIKE '^[0-9]{1,3}\\\\.[0-9]{1,3}\\\\.[0-9]{1,3}\\\\.[0-9]{1,3}$' THEN "
+IP_TO_LONG_SQL = (f"CASE WHEN ip RLIKE '{IPV4}' THEN "
                   "CAST(split(ip, '[.]')[0] AS BIGINT) * 16777216 + "
                   "CAST(split(ip, '[.]')[1] AS BIGINT) * 65536 + "
                   "CAST(split(ip, '[.]')[2] AS BIGINT) * 256 + "

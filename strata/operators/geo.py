@@ -15,22 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+IPV4 = rf"^({_OCTET}[.]){{3}}{_OCTET}$"
+
+
 def ip_to_long(ip) -> Column:
-    """'a.b.c.d' -> a*2^24 + b*2^16 + c*2^8 + d (NULL when malformed)."""
+    """'a.b.c.d' -> a*2^24 + b*2^16 + c*2^8 + d (NULL when malformed or a
+    part is over 255)."""
     c = F.col(ip) if isinstance(ip, str) else ip
     parts = F.split(c, r"\.")
-    ok = c.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$")
+    ok = c.rlike(IPV4)
     v = (F.get(parts, 0).cast("bigint") * 16777216 + F.get(parts, 1).cast("bigint") * 65536
          + F.get(parts, 2).cast("bigint") * 256 + F.get(parts, 3).cast("bigint"))
     return F.when(ok, v)
 
 
-def long_to_ip(v) -> Column:
-    c = F.col(v) if isinstance(v, str) else v
-    return F.concat_ws(".", *[F.floor(c / (256 ** k) % 256).cast("bigint").cast("string")
-                              for k in (3, 2, 1, 0)])
-
-
 def geo_enrich(events: DataFrame, ranges: DataFrame, ip: str = "ip",
                block_bits: int = 8) -> DataFrame:
     """Left-join each event to the range containing its IP.  ``ranges`` has

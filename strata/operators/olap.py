@@ -13,14 +13,18 @@ from strata.operators.relational import keyed_sequence, top_k
 # ------------------------------------------------------------- exact rounding
 
 
+def _whole(c) -> Column:
+    return (c if isinstance(c, Column) else F.col(c)).cast("decimal(38,0)")
+
+
 def round_ratio(num, den, digits: int) -> Column:
     """``round(num / den, digits)`` half-up, exact for non-negative integer
-    ``num`` and positive integer ``den`` (integer arithmetic, so any engine
-    gets the same value; a double average would round ties by accident)."""
+    ``num`` and positive integer ``den``: integral division of 38-digit
+    decimals, so any engine gets the same value at any group size (a division
+    of doubles would round near-ties by accident)."""
     scale = 10 ** digits
-    n = (num if isinstance(num, Column) else F.col(num)).cast("bigint")
-    d = (den if isinstance(den, Column) else F.col(den)).cast("bigint")
-    q = F.floor((n * (2 * scale) + d) / (d * 2))
+    n, d = _whole(num), _whole(den)
+    q = F.call_function("div", _whole(n * (2 * scale) + d), _whole(d * 2))
     return (q.cast("double") / float(scale))
 
 
@@ -42,10 +46,12 @@ def device_dashboard(events: DataFrame, devices: DataFrame) -> DataFrame:
     e = events.join(devices, "device_id").select(
         fill_unknown("os_type").alias("os_type"), fill_unknown("device_type").alias("device_type"),
         fill_unknown("browser_type").alias("browser_type"))
+    # the sets expand the few distinct combinations, not the events
+    e = e.groupBy("browser_type", "device_type", "os_type").agg(F.count(F.lit(1)).alias("_n"))
     g = e.groupingSets([["browser_type", "device_type", "os_type"], ["browser_type"],
                         ["os_type"], ["device_type"]],
                        "browser_type", "device_type", "os_type") \
-         .agg(F.count(F.lit(1)).alias("number_of_hits"),
+         .agg(F.sum("_n").alias("number_of_hits"),
               F.grouping("os_type").alias("_go"), F.grouping("device_type").alias("_gd"),
               F.grouping("browser_type").alias("_gb"))
     level = (F.when((F.col("_go") == 0) & (F.col("_gd") == 0) & (F.col("_gb") == 0),
@@ -119,12 +125,16 @@ def film_tiers_cube(films: DataFrame) -> DataFrame:
                      & F.col("year").isNotNull())
               .select("actor", "year", "rating", "votes", hundredths("rating").alias("_rc"),
                       film_tier("rating").alias("film_quality_tier")))
-    g = f.cube("actor", "year", "film_quality_tier").agg(
-        F.count(F.lit(1)).alias("total_films"),
+    # films are aggregated to the finest set first; the cube expands that
+    fine = f.groupBy("actor", "year", "film_quality_tier").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_rc").alias("_rc"), F.sum("votes").alias("_votes"),
+        F.max("rating").alias("_high"), F.min("rating").alias("_low"))
+    g = fine.cube("actor", "year", "film_quality_tier").agg(
+        F.sum("_n").alias("total_films"),
         F.sum("_rc").alias("_src"),
-        F.sum("votes").alias("total_votes"),
-        F.max("rating").alias("highest_rated_film_rating"),
-        F.min("rating").alias("lowest_rated_film_rating"),
+        F.sum("_votes").alias("total_votes"),
+        F.max("_high").alias("highest_rated_film_rating"),
+        F.min("_low").alias("lowest_rated_film_rating"),
         F.grouping_id("actor", "year", "film_quality_tier").alias("_gid"))
     label = None
     for (ga, gy, gt), text in CUBE_LABELS.items():
@@ -281,23 +291,6 @@ def longest_streaks(films: DataFrame, threshold: float = 7.0, min_len: int = 2,
 # ------------------------------------------------------- D36 yearly trends
 
 
-def percent_rank_by_counts(df: DataFrame, part: str, value: str, out: str) -> DataFrame:
-    """W9 without a window over the whole partition: PERCENT_RANK = (number
-    of rows in the partition with a smaller value) / (rows - 1).  Rows are
-    counted per (partition, value) -- a hash aggregate -- and the running
-    count runs over distinct values only, which for the metrics here (counts,
-    2-decimal ratings) is a small table; it is joined back on
-    (partition, value)."""
-    c = df.groupBy(part, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(part).orderBy(value)
-    c = (c.withColumn("_less", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-          .withColumn("_n", F.sum("_c").over(Window.partitionBy(part))))
-    c = c.select(part, value, F.when(F.col("_n") <= 1, F.lit(0.0))
-                 .otherwise(F.coalesce("_less", F.lit(0)) / (F.col("_n") - 1)).alias(out),
-                 F.coalesce("_less", F.lit(0)).alias(out + "_less"), F.col("_n").alias(out + "_n"))
-    return df.join(c, [part, value])
-
-
 def percent_ranks_integral(df: DataFrame, part: str, values: Sequence[str],
                            outs: Sequence[str]) -> DataFrame:
     """W9 for several integer-valued columns at once: one count table per
@@ -326,9 +319,11 @@ def _rolling3_mean_of_means(w) -> Column:
     exactly: with s_i hundredths summed over n_i films per year, 100 x the
     mean is (sum_i s_i / n_i) / k = N / D over a common denominator, rounded
     half-up in integers."""
-    s0, n0 = F.col("_s"), F.col("films_that_year")
-    s1, n1 = F.lag("_s", 1).over(w), F.lag("films_that_year", 1).over(w)
-    s2, n2 = F.lag("_s", 2).over(w), F.lag("films_that_year", 2).over(w)
+    # three factors of up to 12 digits each: a bigint would overflow
+    wide = lambda c: c.cast("decimal(19,0)")
+    s0, n0 = wide(F.col("_s")), wide(F.col("films_that_year"))
+    s1, n1 = wide(F.lag("_s", 1).over(w)), wide(F.lag("films_that_year", 1).over(w))
+    s2, n2 = wide(F.lag("_s", 2).over(w)), wide(F.lag("films_that_year", 2).over(w))
     num = (F.when(n2.isNotNull(), s0 * n1 * n2 + s1 * n0 * n2 + s2 * n0 * n1)
             .when(n1.isNotNull(), s0 * n1 + s1 * n0).otherwise(s0))
     den = (F.when(n2.isNotNull(), n0 * n1 * n2 * 3)
@@ -345,8 +340,7 @@ def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
     y = f.groupBy(key, "year").agg(F.max("actor").alias("actor"),
                                    F.count(F.lit(1)).alias("films_that_year"),
                                    F.sum(hundredths("rating")).alias("_s"))
-    y = y.withColumn("_avg_c", F.floor((F.col("_s") * 2 + F.col("films_that_year"))
-                                       / (F.col("films_that_year") * 2)).cast("bigint"))
+    y = y.withColumn("_avg_c", round_ratio("_s", "films_that_year", 0).cast("bigint"))
     w = Window.partitionBy(key).orderBy("year")
     y = (y.withColumn("career_year_number", F.row_number().over(w).cast("bigint"))
           .withColumn("_prev_n", F.lag("films_that_year").over(w))

@@ -251,23 +251,20 @@ def d07_scd2_changes(t):
 ACTOR_LABELS = {"new": "New Actor", "continued": "Continued Acting",
                 "new_inactive": "New Actor (Inactive)"}
 
+# The state is looked up by activity before and now; the first year has no before.
 _STATE_SQL = _ACTORS_SQL.format(end=END_SEASON) + """,
-sc AS (
-  SELECT actorid, current_year AS year, is_active,
-         LAG(is_active) OVER (PARTITION BY actorid ORDER BY current_year) AS prev_active,
-         MIN(current_year) OVER (PARTITION BY actorid) AS first_year
-  FROM actors WHERE is_active IS NOT NULL),
-st AS (
-  SELECT actorid, year, CASE WHEN is_active THEN 'Active' ELSE 'Inactive' END AS current_status,
-         CASE WHEN year = first_year AND is_active THEN 'New Actor'
-              WHEN prev_active AND NOT is_active THEN 'Retired'
-              WHEN prev_active AND is_active THEN 'Continued Acting'
-              WHEN NOT prev_active AND is_active THEN 'Returned from Retirement'
-              WHEN NOT prev_active AND NOT is_active THEN 'Stayed Retired'
-              WHEN year = first_year AND NOT is_active THEN 'New Actor (Inactive)'
-              ELSE 'Unknown Status' END AS status_change,
-         CAST(year - first_year AS BIGINT) AS years_since_debut
-  FROM sc)
+states(before, now, label) AS (VALUES
+  ('none', true, 'New Actor'), ('none', false, 'New Actor (Inactive)'),
+  ('true', true, 'Continued Acting'), ('true', false, 'Retired'),
+  ('false', true, 'Returned from Retirement'), ('false', false, 'Stayed Retired')),
+known AS (FROM actors WHERE is_active IS NOT NULL),
+debut AS (SELECT actorid, MIN(current_year) AS year FROM known GROUP BY actorid),
+steps AS (SELECT actorid, current_year AS year, is_active,
+                 ifnull(CAST(lag(is_active) OVER (PARTITION BY actorid ORDER BY current_year) AS VARCHAR), 'none')
+                     AS before FROM known),
+st AS (SELECT s.actorid, s.year, if(s.is_active, 'Active', 'Inactive') AS current_status,
+              k.label AS status_change, CAST(s.year - d.year AS BIGINT) AS years_since_debut
+       FROM steps s JOIN debut d USING (actorid) JOIN states k ON k.before = s.before AND k.now = s.is_active)
 """
 
 
@@ -276,7 +273,7 @@ def _states(t):
     return growth.state_changes(h, "actorid", "year", labels=ACTOR_LABELS)
 
 
-@query("d30_state_changes", oracle=_STATE_SQL + "SELECT * FROM st WHERE status_change <> 'Unknown Status'")
+@query("d30_state_changes", oracle=_STATE_SQL + "SELECT * FROM st")
 def d30_state_changes(t):
     """Career state change per actor and year."""
     return _states(t)
@@ -285,7 +282,7 @@ def d30_state_changes(t):
 @query("d31_state_change_summary", oracle=_STATE_SQL + """
 SELECT status_change, COUNT(*) AS total_occurrences,
        CAST(ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS DOUBLE) AS percentage
-FROM st WHERE status_change <> 'Unknown Status' GROUP BY status_change
+FROM st GROUP BY status_change
 """)
 def d31_state_change_summary(t):
     """Counts and percentages per career state."""

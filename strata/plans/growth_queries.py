@@ -11,21 +11,18 @@ END_DS = "2024-01-30"   # report date of the event-based snapshots
 TARGET_URL = "/signup"
 
 
-@query("d27_funnel", headline=True, oracle=with_views("web_events") + """,
-clean AS (
-  SELECT DISTINCT url, host, user_id, event_time, CAST(event_time AS DATE) AS event_date
-  FROM web_events WHERE user_id IS NOT NULL),
-converted AS (
-  SELECT c1.user_id, c1.event_time, c1.url,
-         COUNT(DISTINCT CASE WHEN c2.url = '/signup' THEN c2.url END) AS converted
-  FROM clean c1 JOIN clean c2
-    ON c2.user_id = c1.user_id AND c2.event_date = c1.event_date
-   AND c2.event_time > c1.event_time
-  GROUP BY 1, 2, 3)
-SELECT url, COUNT(*) AS num_units,
-       ROUND(CAST(SUM(converted) AS DOUBLE) / COUNT(*), 6) AS conversion_rate
-FROM converted GROUP BY url
-HAVING CAST(SUM(converted) AS DOUBLE) / COUNT(*) > 0 AND COUNT(*) > 100
+_LATER = """SELECT 1 FROM visits later WHERE later.user_id = u.user_id AND later.day = u.day
+                    AND later.event_time > u.event_time"""
+
+
+# A unit is a user's visit of a page that some visit of the same day follows.
+@query("d27_funnel", headline=True, oracle=with_views("web_events") + f""",
+visits AS (SELECT user_id, url, event_time, CAST(event_time AS DATE) AS day
+           FROM web_events WHERE user_id IS NOT NULL GROUP BY ALL),
+units AS (SELECT u.url, EXISTS ({_LATER} AND later.url = '{TARGET_URL}') AS hit
+          FROM visits u WHERE EXISTS ({_LATER}))
+SELECT url, COUNT(*) AS num_units, ROUND(AVG(CAST(hit AS DOUBLE)), 6) AS conversion_rate
+FROM units GROUP BY url HAVING bool_or(hit) AND COUNT(*) > 100
 """)
 def d27_funnel(t):
     """Page -> signup funnel over the whole event table."""

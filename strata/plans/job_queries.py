@@ -103,19 +103,19 @@ def d40_devices_users(t):
     return jobs.devices_on_events(agg, A.devices(t))
 
 
-EXPERIMENT = "button_color_v3"
+EXPERIMENT = "checkout_layout"
 CELLS = [("blue", 25), ("green", 25), ("red", 25), ("orange", 25)]
 
 _ASSIGN_SQL = with_views("web_events") + """,
 u AS (SELECT DISTINCT user_id FROM web_events WHERE user_id IS NOT NULL),
 a AS (SELECT user_id,
-             CAST(('0x' || substr(md5('button_color_v3:' || CAST(user_id AS VARCHAR)), 1, 8))
+             CAST(('0x' || substr(md5('checkout_layout:' || CAST(user_id AS VARCHAR)), 1, 8))
                   AS BIGINT) % 10000 AS bucket
       FROM u),
 asg AS (SELECT user_id, bucket,
                CASE WHEN bucket < 2500 THEN 'blue' WHEN bucket < 5000 THEN 'green'
                     WHEN bucket < 7500 THEN 'red' ELSE 'orange' END AS cell,
-               'button_color_v3' AS experiment FROM a)
+               'checkout_layout' AS experiment FROM a)
 """
 
 
