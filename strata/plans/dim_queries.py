@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from strata.operators import dims, growth, olap, scd
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query
+from strata.plans.report import LAST_SEASON_SQL, last_season
 from strata.sources import adapters as A
 
-END_SEASON = 2001
 STATIC = ["height", "college", "country", "draft_year", "draft_round", "draft_number"]
 STATS = ["gp", "pts", "reb", "ast"]
 
 
-def player_history(t, end=END_SEASON):
+def player_history(t, end=None):
+    end = last_season(t) if end is None else end
     ps = A.player_seasons(t).where(F.col("season") <= end)
     return dims.cumulative_history(ps, "player_name", "season", end, STATS, STATIC)
 
@@ -53,23 +54,24 @@ players AS (
 """
 
 
-@query("d02_backfill_dimension", oracle=_PLAYERS_SQL.format(end=END_SEASON) + "SELECT * FROM players")
+@query("d02_backfill_dimension", oracle=_PLAYERS_SQL.format(end=LAST_SEASON_SQL) + "SELECT * FROM players")
 def d02_backfill_dimension(t):
     """Players dimension for every season at once (running season array)."""
     return _player_out(player_history(t))
 
 
-@query("d01_cumulate_dimension", oracle=_PLAYERS_SQL.format(end=END_SEASON)
-       + f"SELECT * FROM players WHERE current_season = {END_SEASON}")
+@query("d01_cumulate_dimension", oracle=_PLAYERS_SQL.format(end=LAST_SEASON_SQL)
+       + f"SELECT * FROM players WHERE current_season = {LAST_SEASON_SQL}")
 def d01_cumulate_dimension(t):
     """One daily step: last season's snapshot FULL JOIN this season's rows."""
-    prev = player_history(t, END_SEASON - 1)
+    end = last_season(t)
+    prev = player_history(t, end - 1)
     cur = A.player_seasons(t)
-    step = dims.cumulate_step(prev, cur, "player_name", "season", END_SEASON, STATS, STATIC)
+    step = dims.cumulate_step(prev, cur, "player_name", "season", end, STATS, STATIC)
     return _player_out(step)
 
 
-_STREAK_SQL = _PLAYERS_SQL.format(end=END_SEASON) + """,
+_STREAK_SQL = _PLAYERS_SQL.format(end=LAST_SEASON_SQL) + """,
 started AS (
   SELECT player_name, current_season, scoring_class, is_active,
          CASE WHEN LAG({cols_first}) OVER w IS NULL {changed} THEN 1 ELSE 0 END AS did_change
@@ -98,20 +100,21 @@ def d05_scd2_streaks(t):
     changed="OR LAG(scoring_class) OVER w <> scoring_class OR LAG(is_active) OVER w <> is_active")
     + f"""
 SELECT player_name, scoring_class, is_active, MIN(current_season) AS start_season,
-       MAX(current_season) AS end_season, CAST({END_SEASON} AS BIGINT) AS current_season
+       MAX(current_season) AS end_season, CAST({LAST_SEASON_SQL} AS BIGINT) AS current_season
 FROM ident GROUP BY player_name, scoring_class, is_active, sid
 """)
 def d09_scd2_incremental(t):
     """Last season's SCD (class, active) plus this season's snapshot -> this
     season's SCD."""
-    prev_h = player_history(t, END_SEASON - 1).select(
+    end = last_season(t)
+    prev_h = player_history(t, end - 1).select(
         "player_name", "current_season", "scoring_class", "is_active")
     prev_scd = (scd.scd2_streaks(prev_h, "player_name", "current_season",
                                  ["scoring_class", "is_active"], "start_season", "end_season")
-                   .withColumn("current_season", F.lit(END_SEASON - 1).cast("bigint")))
-    cur = player_history(t).where(F.col("current_season") == END_SEASON)
+                   .withColumn("current_season", F.lit(end - 1).cast("bigint")))
+    cur = player_history(t).where(F.col("current_season") == end)
     return scd.scd2_incremental(prev_scd, cur, "player_name", ["scoring_class", "is_active"],
-                                END_SEASON)
+                                end)
 
 
 # ------------------------------------------------------------------ actors
@@ -143,7 +146,8 @@ actors AS (
 """
 
 
-def actor_history(t, end=END_SEASON, with_films=False):
+def actor_history(t, end=None, with_films=False):
+    end = last_season(t) if end is None else end
     films = A.actor_films(t).where(F.col("year") <= end)
     return dims.actor_history(films, end, with_films=with_films)
 
@@ -174,13 +178,13 @@ def d03_yearly_dimension(t):
                     F.lit(True).alias("is_active"))
 
 
-@query("d04_cumulative_actors", oracle=_ACTORS_SQL.format(end=END_SEASON) + "SELECT * FROM actors")
+@query("d04_cumulative_actors", oracle=_ACTORS_SQL.format(end=LAST_SEASON_SQL) + "SELECT * FROM actors")
 def d04_cumulative_actors(t):
     """Cumulative actors table: films accumulate, inactive years carried."""
     return _actor_out(actor_history(t, with_films=True))
 
 
-_SCD_ACTORS_SQL = _ACTORS_SQL.format(end=END_SEASON) + """,
+_SCD_ACTORS_SQL = _ACTORS_SQL.format(end=LAST_SEASON_SQL) + """,
 chg AS (
   SELECT *, ROW_NUMBER() OVER w = 1
             OR LAG(quality_class) OVER w IS DISTINCT FROM quality_class
@@ -199,7 +203,8 @@ hist AS (
 """
 
 
-def actor_scd(t, end=END_SEASON):
+def actor_scd(t, end=None):
+    end = last_season(t) if end is None else end
     h = actor_history(t, end).select("actorid", "actor", "current_year", "quality_class",
                                      "is_active")
     return scd.scd2_backfill(h, "actorid", "current_year", ["quality_class", "is_active"],
@@ -216,12 +221,13 @@ def d06_scd2_backfill(t):
 def d08_scd2_apply(t):
     """Apply the last year's actors snapshot to the SCD2 table built up to the
     year before; equals the full backfill."""
-    hist = actor_scd(t, END_SEASON - 1)
-    new = actor_history(t).where(F.col("current_year") == END_SEASON)
-    return scd.scd2_apply(hist, new, "actorid", "quality_class", END_SEASON, extra=["actor"])
+    end = last_season(t)
+    hist = actor_scd(t, end - 1)
+    new = actor_history(t).where(F.col("current_year") == end)
+    return scd.scd2_apply(hist, new, "actorid", "quality_class", end, extra=["actor"])
 
 
-@query("d07_scd2_changes", oracle=_ACTORS_SQL.format(end=END_SEASON) + """,
+@query("d07_scd2_changes", oracle=_ACTORS_SQL.format(end=LAST_SEASON_SQL) + """,
 prev_chg AS (
   SELECT *, ROW_NUMBER() OVER w = 1
             OR LAG(quality_class) OVER w IS DISTINCT FROM quality_class
@@ -238,11 +244,12 @@ SELECT n.actorid, n.quality_class, n.is_active,
             ELSE 'NO_CHANGE' END AS change_type
 FROM actors n LEFT JOIN cur_scd c ON n.actorid = c.actorid
 WHERE n.current_year = {y}
-""".format(y=END_SEASON))
+""".format(y=LAST_SEASON_SQL))
 def d07_scd2_changes(t):
     """Classify this year's actors against their current SCD2 row."""
-    cur = actor_scd(t, END_SEASON - 1)
-    new = (actor_history(t).where(F.col("current_year") == END_SEASON)
+    end = last_season(t)
+    cur = actor_scd(t, end - 1)
+    new = (actor_history(t).where(F.col("current_year") == end)
            .select("actorid", "quality_class", "is_active"))
     return scd.scd2_changes(new, cur, "actorid", "quality_class")
 
@@ -252,7 +259,7 @@ ACTOR_LABELS = {"new": "New Actor", "continued": "Continued Acting",
                 "new_inactive": "New Actor (Inactive)"}
 
 # The state is looked up by activity before and now; the first year has no before.
-_STATE_SQL = _ACTORS_SQL.format(end=END_SEASON) + """,
+_STATE_SQL = _ACTORS_SQL.format(end=LAST_SEASON_SQL) + """,
 states(before, now, label) AS (VALUES
   ('none', true, 'New Actor'), ('none', false, 'New Actor (Inactive)'),
   ('true', true, 'Continued Acting'), ('true', false, 'Retired'),

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from strata.operators import arrays, datelist, graph
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query
+from strata.plans.report import LAST_DAY_SQL, day_before, last_day
 from strata.sources import adapters as A
 
-END_DS = "2024-01-30"
 
 # ------------------------------------------------------------------- graph
 
@@ -136,10 +136,10 @@ def d13_graph_vertices(t):
 _ACT_SQL = with_views("web_events", "devices") + """,
 ev AS (SELECT e.*, d.browser_type FROM web_events e JOIN devices d ON e.device_id = d.device_id),
 act AS (SELECT DISTINCT {keys}, CAST(event_time AS DATE) AS day FROM {src}
-        WHERE {notnull} AND event_time < TIMESTAMP '2024-01-31'),
+        WHERE {notnull} AND event_time < {last} + 1),
 firsts AS (SELECT {keys}, MIN(day) AS first_day FROM act GROUP BY {keys}),
 spine AS (SELECT {keys}, CAST(unnest(generate_series(CAST(first_day AS TIMESTAMP),
-                 TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS date FROM firsts),
+                 CAST({last} AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM firsts),
 hist AS (
   SELECT {skeys}, s.date,
          CAST(COUNT(a.day) AS BIGINT) AS num_dates_active,
@@ -154,7 +154,7 @@ hist AS (
 
 def _act_sql(keys, src):
     return _ACT_SQL.format(
-        keys=", ".join(keys), src=src,
+        last=LAST_DAY_SQL, keys=", ".join(keys), src=src,
         notnull=" AND ".join(f"{k} IS NOT NULL" for k in keys),
         skeys=", ".join(f"s.{k}" for k in keys),
         join=" AND ".join(f"s.{k} = a.{k}" for k in keys))
@@ -177,33 +177,36 @@ def _ev_dev(t):
 def d16_datelist_backfill(t):
     """Every daily users_cumulated snapshot of the month in one pass, with the
     32-day bitmap of each snapshot."""
-    h = datelist.datelist_history(A.web_events(t), ["user_id"], END_DS)
+    end = last_day(t)
+    h = datelist.datelist_history(A.web_events(t), ["user_id"], end)
     return _dl_out(h, ["user_id"])
 
 
 @query("d14_datelist_cumulate", oracle=_act_sql(["user_id", "browser_type"], "ev")
-       + "SELECT * FROM hist WHERE date = DATE '2024-01-30'")
+       + f"SELECT * FROM hist WHERE date = {LAST_DAY_SQL}")
 def d14_datelist_cumulate(t):
     """Daily step of the user x browser date list: snapshot of the day before
     FULL JOIN today's active pairs."""
+    end = last_day(t)
     ev = _ev_dev(t)
     keys = ["user_id", "browser_type"]
-    prev = datelist.datelist_history(ev, keys, "2024-01-29")
-    step = datelist.datelist_step(prev, ev, keys, END_DS)
+    prev = datelist.datelist_history(ev, keys, day_before(end))
+    step = datelist.datelist_step(prev, ev, keys, end)
     return _dl_out(step, keys)
 
 
-@query("d14_datelist_browser_map", oracle=_act_sql(["user_id", "browser_type"], "ev") + """
+@query("d14_datelist_browser_map", oracle=_act_sql(["user_id", "browser_type"], "ev") + f"""
 SELECT user_id, date,
        string_agg(browser_type || ':' || CAST(num_dates_active AS VARCHAR) || ':'
                   || CAST(last_active_date AS VARCHAR), ';' ORDER BY browser_type) AS browsers
-FROM hist WHERE date = DATE '2024-01-30' GROUP BY user_id, date
+FROM hist WHERE date = {LAST_DAY_SQL} GROUP BY user_id, date
 """)
 def d14_datelist_browser_map(t):
     """User x browser date lists as one map per user (browser -> dates)."""
+    end = last_day(t)
     ev = _ev_dev(t)
     keys = ["user_id", "browser_type"]
-    snap = datelist.datelist_history(ev, keys, END_DS).where(F.col("date") == F.lit(END_DS).cast("date"))
+    snap = datelist.datelist_history(ev, keys, end).where(F.col("date") == F.lit(end).cast("date"))
     m = datelist.datelist_map(snap, "user_id", "browser_type")
     entries = F.array_sort(F.map_entries("dates_active_by_browser_type"))
     text = F.array_join(F.transform(entries, lambda e: F.concat(
@@ -213,31 +216,33 @@ def d14_datelist_browser_map(t):
 
 
 @query("d14_datelist_user_host", oracle=_act_sql(["user_id", "host"], "web_events")
-       + "SELECT * FROM hist WHERE date = DATE '2024-01-30'")
+       + f"SELECT * FROM hist WHERE date = {LAST_DAY_SQL}")
 def d14_datelist_user_host(t):
     """Daily step of the user x host date list (host activity cumulated)."""
+    end = last_day(t)
     ev = A.web_events(t)
     keys = ["user_id", "host"]
-    prev = datelist.datelist_history(ev, keys, "2024-01-29")
-    return _dl_out(datelist.datelist_step(prev, ev, keys, END_DS), keys)
+    prev = datelist.datelist_history(ev, keys, day_before(end))
+    return _dl_out(datelist.datelist_step(prev, ev, keys, end), keys)
 
 
 @query("d15_host_datelist", oracle=_act_sql(["host"], "web_events")
-       + "SELECT * FROM hist WHERE date = DATE '2024-01-30'")
+       + f"SELECT * FROM hist WHERE date = {LAST_DAY_SQL}")
 def d15_host_datelist(t):
     """Dates each host had any activity, as of the report date."""
-    h = datelist.datelist_history(A.web_events(t), ["host"], END_DS)
-    return _dl_out(h.where(F.col("date") == F.lit(END_DS).cast("date")), ["host"])
+    end = last_day(t)
+    h = datelist.datelist_history(A.web_events(t), ["host"], end)
+    return _dl_out(h.where(F.col("date") == F.lit(end).cast("date")), ["host"])
 
 
-_BITS_SQL = _act_sql(["user_id"], "web_events") + """
+_BITS_SQL = _act_sql(["user_id"], "web_events") + f"""
 SELECT user_id, datelist_int, lpad(bin(datelist_int), 32, '0') AS datelist_bits,
        bit_count(datelist_int) > 0 AS monthly_active,
        CAST(bit_count(datelist_int) AS BIGINT) AS l32,
        bit_count(datelist_int & 4261412864) > 0 AS weekly_active,
        CAST(bit_count(datelist_int & 4261412864) AS BIGINT) AS l7,
        bit_count(datelist_int & 33292288) > 0 AS weekly_active_previous_week
-FROM hist WHERE date = DATE '2024-01-30'
+FROM hist WHERE date = {LAST_DAY_SQL}
 """
 
 
@@ -245,8 +250,9 @@ FROM hist WHERE date = DATE '2024-01-30'
 def d17_d18_datelist_int_activity(t):
     """Date list -> 32-bit bitmap -> monthly/weekly activity (snapshot day =
     most significant bit)."""
-    h = datelist.datelist_history(A.web_events(t), ["user_id"], END_DS)
-    snap = datelist.datelist_int(h.where(F.col("date") == F.lit(END_DS).cast("date")))
+    end = last_day(t)
+    h = datelist.datelist_history(A.web_events(t), ["user_id"], end)
+    snap = datelist.datelist_int(h.where(F.col("date") == F.lit(end).cast("date")))
     out = datelist.activity_from_bits(snap.select(
         "user_id", "datelist_int", F.lpad(F.bin("datelist_int"), 32, "0").alias("datelist_bits")))
     return out
@@ -256,21 +262,21 @@ def d17_d18_datelist_int_activity(t):
 
 _MONTH_SQL = with_views("web_events") + """,
 src AS (SELECT * FROM web_events WHERE {notnull}
-        AND event_time >= TIMESTAMP '2024-01-01' AND event_time < TIMESTAMP '2024-01-31'),
+        AND event_time >= date_trunc('month', {last}) AND event_time < {last} + 1),
 daily AS (SELECT {keys}, CAST(dayofmonth(event_time) AS BIGINT) AS d, {metric} AS v
           FROM src GROUP BY {keys}, dayofmonth(event_time)),
 ks AS (SELECT {keys}, MIN(d) AS first_d FROM daily GROUP BY {keys}),
-grid AS (SELECT {keys}, first_d, unnest(generate_series(1, 30)) AS d FROM ks),
+grid AS (SELECT {keys}, first_d, unnest(generate_series(1, day({last}))) AS d FROM ks),
 cells AS (
-  SELECT {gkeys}, DATE '2024-01-01' AS month_start, CAST(g.d - 1 AS BIGINT) AS pos,
-         COALESCE(CAST(v AS BIGINT), {fill}) AS v, make_date(2024, 1, CAST(g.first_d AS INTEGER)) AS first_found_date
+  SELECT {gkeys}, CAST(date_trunc('month', {last}) AS DATE) AS month_start, CAST(g.d - 1 AS BIGINT) AS pos,
+         COALESCE(CAST(v AS BIGINT), {fill}) AS v, CAST(date_trunc('month', {last}) AS DATE) + CAST(g.first_d - 1 AS INTEGER) AS first_found_date
   FROM grid g LEFT JOIN daily x ON {join} AND g.d = x.d)
 """
 
 
 def _month_sql(keys, metric="COUNT(*)", fill="NULL", notnull=None):
     nn = notnull or keys
-    return _MONTH_SQL.format(keys=", ".join(keys), metric=metric, fill=fill,
+    return _MONTH_SQL.format(last=LAST_DAY_SQL, keys=", ".join(keys), metric=metric, fill=fill,
                              notnull=" AND ".join(f"{k} IS NOT NULL" for k in nn),
                              gkeys=", ".join(f"g.{k}" for k in keys),
                              join=" AND ".join(f"g.{k} = x.{k}" for k in keys))
@@ -287,9 +293,10 @@ def _flat(df, keys, name, out="v", extra=("first_found_date",)):
 def d19_monthly_hits_step(t):
     """NULL-padded daily hit array per user-month: the month so far, then one
     daily step for the report date (positioned by day of month)."""
+    end = last_day(t)
     ev = A.web_events(t)
-    prev = arrays.metric_month(ev, ["user_id"], "2024-01-29", None, name="hit_array")
-    step = arrays.metric_step(prev, ev, ["user_id"], END_DS, None, name="hit_array")
+    prev = arrays.metric_month(ev, ["user_id"], day_before(end), None, name="hit_array")
+    step = arrays.metric_step(prev, ev, ["user_id"], end, None, name="hit_array")
     return _flat(step, ["user_id"], "hit_array", "hits")
 
 
@@ -297,10 +304,11 @@ def d19_monthly_hits_step(t):
        + "SELECT user_id, month_start, 'site_hits' AS metric_name, pos, v AS value FROM cells")
 def d20_array_metric_step(t):
     """0-padded metric array per (user, month, metric), upserted by one step."""
+    end = last_day(t)
     ev = A.web_events(t)
-    prev = arrays.metric_month(ev, ["user_id"], "2024-01-29", 0, name="metric_array") \
+    prev = arrays.metric_month(ev, ["user_id"], day_before(end), 0, name="metric_array") \
         .withColumn("metric_name", F.lit("site_hits"))
-    new = arrays.metric_step(prev, ev, ["user_id"], END_DS, 0, name="metric_array") \
+    new = arrays.metric_step(prev, ev, ["user_id"], end, 0, name="metric_array") \
         .withColumn("metric_name", F.lit("site_hits"))
     table = arrays.upsert(prev, new, ["user_id", "month_start", "metric_name"])
     return _flat(table, ["user_id", "metric_name"], "metric_array", "value", extra=())
@@ -313,7 +321,8 @@ FROM cells GROUP BY 1, 2
 """)
 def d21_array_metric_daily(t):
     """Sum the user arrays by position: one row per (metric, date)."""
-    m = arrays.metric_month(A.web_events(t), ["user_id"], END_DS, 0, name="metric_array") \
+    end = last_day(t)
+    m = arrays.metric_month(A.web_events(t), ["user_id"], end, 0, name="metric_array") \
         .withColumn("metric_name", F.lit("site_hits"))
     return arrays.daily_totals(m, "metric_array", group=["metric_name"])
 
@@ -327,7 +336,8 @@ FROM cells GROUP BY month_start
 """)
 def a12_positional_sums(t):
     """Sum of the first three array positions per month (NULL-safe reads)."""
-    m = arrays.metric_month(A.web_events(t), ["user_id"], END_DS, None, name="hit_array")
+    end = last_day(t)
+    m = arrays.metric_month(A.web_events(t), ["user_id"], end, None, name="hit_array")
     return arrays.positional_sums(m, "hit_array", 3, ["num_hits_first_day",
                                   "num_hits_second_day", "num_hits_third_day"])
 
@@ -341,15 +351,17 @@ hr AS (SELECT c.host, c.month_start, c.pos, c.v AS hits, CAST(u.uv AS BIGINT) AS
 
 
 def _host_month(t):
-    return arrays.host_reduced_month(A.web_events(t), END_DS)
+    end = last_day(t)
+    return arrays.host_reduced_month(A.web_events(t), end)
 
 
 @query("d22_host_reduced", headline=True, oracle=_HOST_SQL
        + "SELECT host, month_start, pos, hits, uv AS unique_visitors FROM hr")
 def d22_host_reduced(t):
     """Per (month, host): daily hits and unique visitors arrays (flattened)."""
+    end = last_day(t)
     h = arrays.host_reduced_step(
-        arrays.host_reduced_month(A.web_events(t), "2024-01-29"), A.web_events(t), END_DS)
+        arrays.host_reduced_month(A.web_events(t), day_before(end)), A.web_events(t), end)
     x = h.select("host", "month_start",
                  F.arrays_zip("hit_array", "unique_visitors_array").alias("z"))
     return x.select("host", "month_start", F.posexplode("z").alias("pos", "p")).select(

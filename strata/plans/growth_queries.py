@@ -5,9 +5,9 @@ from __future__ import annotations
 from strata.operators import growth
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query, r6
+from strata.plans.report import LAST_DAY_SQL, last_day
 from strata.sources import adapters as A
 
-END_DS = "2024-01-30"   # report date of the event-based snapshots
 TARGET_URL = "/signup"
 
 
@@ -30,14 +30,14 @@ def d27_funnel(t):
     return out.select("url", "num_units", r6("conversion_rate").alias("conversion_rate"))
 
 
-_GA_SQL = with_views("web_events") + """,
+_GA_SQL = with_views("web_events") + f""",
 act AS (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM web_events
-        WHERE user_id IS NOT NULL AND event_time < DATE '2024-01-31'),
+        WHERE user_id IS NOT NULL AND event_time < {LAST_DAY_SQL} + 1),
 firsts AS (SELECT user_id, MIN(day) AS first_active_date FROM act GROUP BY user_id),
 spine AS (
   SELECT user_id, first_active_date,
          CAST(unnest(generate_series(CAST(first_active_date AS TIMESTAMP),
-                                     TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS date
+                                     CAST({LAST_DAY_SQL} AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
   FROM firsts),
 x AS (
   SELECT s.user_id, s.first_active_date, s.date, a.day IS NOT NULL AS active
@@ -72,7 +72,7 @@ ga AS (
 @query("d25_growth_accounting", headline=True, oracle=_GA_SQL + "SELECT * FROM ga")
 def d25_growth_accounting(t):
     """Daily/weekly growth states for every user and day up to the report date."""
-    return growth.growth_accounting_history(A.web_events(t), END_DS)
+    return growth.growth_accounting_history(A.web_events(t), last_day(t))
 
 
 @query("d26_retention_curve", oracle=_GA_SQL + """
@@ -84,6 +84,6 @@ FROM ga GROUP BY 1
 """)
 def d26_retention_curve(t):
     """J-curve: share of users active N days after their first activity."""
-    ga = growth.growth_accounting_history(A.web_events(t), END_DS)
+    ga = growth.growth_accounting_history(A.web_events(t), last_day(t))
     out = growth.retention_curve(ga)
     return out.select("days_since_first_active", r6("pct_active").alias("pct_active"), "num_users")

@@ -4,12 +4,15 @@ the game-detail homework analyses."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window, functions as F
 
 from strata.functions.columns import array_text, day_range, first_last_ratio
 from strata.operators import dims, games, relational as R
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query, r6
+from strata.plans.report import LAST_DAY_SQL, LAST_SEASON_SQL, last_day, last_season
 from strata.sources import adapters as A
 
 _DEDUP = with_views("game_details", "games") + """,
@@ -115,19 +118,20 @@ def j09_anti_join(t):
     return c.join(o, "c_custkey", "left_anti")
 
 
-@query("a15_bitmap_aggregate", oracle=with_views("web_events") + """
-SELECT user_id, CAST(SUM(CAST(pow(2, 31 - (DATE '2024-01-30' - day)) AS BIGINT)) AS BIGINT) AS bits
+@query("a15_bitmap_aggregate", oracle=with_views("web_events") + f"""
+SELECT user_id, CAST(SUM(CAST(pow(2, 31 - ({LAST_DAY_SQL} - day)) AS BIGINT)) AS BIGINT) AS bits
 FROM (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM web_events
-      WHERE user_id IS NOT NULL AND event_time >= TIMESTAMP '2023-12-30'
-        AND event_time < TIMESTAMP '2024-01-31')
+      WHERE user_id IS NOT NULL AND event_time >= {LAST_DAY_SQL} - 31
+        AND event_time < {LAST_DAY_SQL} + 1)
 GROUP BY user_id
 """)
 def a15_bitmap_aggregate(t):
     """Bitmap of active days as an aggregate: bit_or of one bit per day."""
-    e = A.web_events(t)
-    d = (e.where(F.col("user_id").isNotNull() & day_range("event_time", "2023-12-30", 32))
+    e, end = A.web_events(t), last_day(t)
+    begin = (dt.date.fromisoformat(end) - dt.timedelta(days=31)).isoformat()
+    d = (e.where(F.col("user_id").isNotNull() & day_range("event_time", begin, 32))
           .select("user_id", F.to_date("event_time").alias("day")).distinct())
-    bit = F.pow(F.lit(2.0), 31 - F.datediff(F.lit("2024-01-30").cast("date"), "day")).cast("bigint")
+    bit = F.pow(F.lit(2.0), 31 - F.datediff(F.lit(end).cast("date"), "day")).cast("bigint")
     return d.groupBy("user_id").agg(F.bit_or(bit).alias("bits"))
 
 
@@ -141,9 +145,9 @@ def f16_unnest_films(t):
                                                                   "votes", "rating")
 
 
-@query("f14_first_last_ratio", oracle=with_views("player_seasons") + """,
+@query("f14_first_last_ratio", oracle=with_views("player_seasons") + f""",
 fl AS (SELECT player_name, arg_min(pts, season) AS first_pts, arg_max(pts, season) AS last_pts
-       FROM player_seasons WHERE season <= 2001 GROUP BY player_name)
+       FROM player_seasons WHERE season <= {LAST_SEASON_SQL} GROUP BY player_name)
 SELECT player_name, ROUND(CASE WHEN first_pts = 0 THEN 1.0 ELSE last_pts / first_pts END, 6)
            AS improvement
 FROM fl
@@ -151,7 +155,7 @@ FROM fl
 def f14_first_last_ratio(t):
     """Latest season's points over the first season's, per player."""
     from strata.plans.dim_queries import player_history
-    h = player_history(t).where(F.col("current_season") == 2001)
+    h = player_history(t).where(F.col("current_season") == last_season(t))
     return h.select("player_name", r6(first_last_ratio("seasons", "pts")).alias("improvement"))
 
 
