@@ -9,9 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 __all__ = [
-    "col_", "tier", "normalize_referrer", "array_get", "first_last_ratio",
+    "col_", "tier", "normalize_referrer", "first_last_ratio",
     "fill_unknown", "day_range", "as_date", "properties_map", "bucket_of",
-    "bits_of_dates", "bit_count_masked", "bits_text", "DEFAULT_REFERRER_RULES",
+    "bits_of_dates", "bit_count_masked", "DEFAULT_REFERRER_RULES",
     "SCORING_TIERS", "QUALITY_TIERS", "SKILL_TIERS", "RATING_TIERS", "array_text",
 ]
 
@@ -59,12 +59,6 @@ def normalize_referrer(c, on_site_patterns: Sequence[str] = (),
     return out.otherwise(c) if out is not None else c
 
 
-def array_get(arr, i: int, default=None) -> Column:
-    """null-safe 0-based positional read (``arr[i]`` raises under ANSI)."""
-    v = F.get(col_(arr), i)
-    return v if default is None else F.coalesce(v, F.lit(default))
-
-
 def first_last_ratio(arr, field: str) -> Column:
     """last element's field / first element's field; a zero first gives 1."""
     a = col_(arr)
@@ -131,11 +125,6 @@ def bit_count_masked(bits, mask: int) -> Column:
     return F.bit_count(col_(bits).bitwiseAND(F.lit(mask).cast("bigint"))).cast("bigint")
 
 
-def bits_text(bits, width: int = 32) -> Column:
-    """BIT(32) text form."""
-    return F.lpad(F.bin(col_(bits)), width, "0")
-
-
 def array_text(arr, null_text: str = "null", sep: str = ",") -> Column:
     """Array -> 'a,b,c' text (NULL elements spelled out) for oracle comparison."""
     return F.array_join(F.transform(col_(arr), lambda x: F.coalesce(x.cast("string"), F.lit(null_text))), sep)

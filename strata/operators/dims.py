@@ -106,28 +106,10 @@ def cumulate_step(prev: DataFrame, cur: DataFrame, key: str, period: str,
 
 
 def yearly_dimension(films: DataFrame, key: str = "actorid", year: str = "year",
-                     name: str = "actor", chunk_size: int | None = None) -> DataFrame:
+                     name: str = "actor") -> DataFrame:
     """D3: one row per (actor, year) with the year's films as an array of
     structs and their average rating.  A partial/final hash aggregate; the
-    array per row holds one entity's films of one year.
-
-    ``chunk_size`` splits that array exactly, for entity-years too large for
-    one row or one task: films are numbered per (entity, year) with the
-    distributed ``keyed_sequence`` and packed into rows of at most
-    ``chunk_size`` films (column ``chunk``, 0-based); the year's average and
-    count are computed by a separate hash aggregate and repeated on every
-    chunk.  No film is dropped."""
-    if chunk_size:
-        from strata.operators.relational import keyed_sequence
-        seq = keyed_sequence(films, [key, year], [F.col("film"), F.col("filmid")], "_n")
-        chunks = (seq.groupBy(key, year, F.floor((F.col("_n") - 1) / chunk_size).alias("chunk"))
-                     .agg(F.array_sort(F.collect_list(F.struct("film", "votes", "rating", "filmid")))
-                          .alias("films")))
-        totals = (films.groupBy(key, year)
-                       .agg(F.max(name).alias(name), F.avg("rating").alias("avg_rating"),
-                            F.sum(_rating_c()).alias("rating_c_sum"),
-                            F.count(F.lit(1)).alias("num_films")))
-        return chunks.join(totals, [key, year])
+    array per row holds one entity's films of one year."""
     return (films.groupBy(key, year)
                  .agg(F.max(name).alias(name),
                       F.array_sort(F.collect_list(F.struct("film", "votes", "rating", "filmid")))

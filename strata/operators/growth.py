@@ -91,8 +91,9 @@ def growth_accounting_step(prev: DataFrame | None, events: DataFrame, ds,
             [], "user_id bigint, first_active_date date, last_active_date date, "
                 "dates_active array<date>, date date")
     else:
-        y = prev.select("user_id", "first_active_date", "last_active_date",
-                        "dates_active", "date")
+        # only yesterday's snapshot counts, whatever else the table keeps
+        y = prev.where(F.col("date") == F.date_sub(day, 1)).select(
+            "user_id", "first_active_date", "last_active_date", "dates_active", "date")
     y = y.withColumn("_y", F.lit(True))
     j = t.join(y, "user_id", "full")
     y_exists = F.col("_y").isNotNull()
@@ -105,9 +106,9 @@ def growth_accounting_step(prev: DataFrame | None, events: DataFrame, ds,
         .alias("daily_active_state"),
         _weekly_state(y_exists, F.col("last_active_date"), F.col("date"), today)
         .alias("weekly_active_state"),
-        F.concat(F.coalesce("dates_active", F.array().cast("array<date>")),
-                 F.when(today.isNotNull(), F.array(today))
-                  .otherwise(F.array().cast("array<date>"))).alias("dates_active"),
+        F.array_union(F.coalesce("dates_active", F.array().cast("array<date>")),
+                      F.when(today.isNotNull(), F.array(today))
+                       .otherwise(F.array().cast("array<date>"))).alias("dates_active"),
         F.coalesce(today, F.date_add("date", 1)).alias("date"),
     )
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.functions.columns import SKILL_TIERS, tier
-from strata.operators.relational import global_rank, join_broadcast, top_k
+from strata.operators.relational import global_rank, top_k
 
 
 def top1(df: DataFrame, question: str, name_col: str, value_col: str) -> DataFrame:
@@ -18,23 +18,23 @@ def top1(df: DataFrame, question: str, name_col: str, value_col: str) -> DataFra
 
 def match_report(details: DataFrame, matches: DataFrame, mmp: DataFrame, medals: DataFrame,
                  maps: DataFrame, medal_name: str = "Killing Spree",
-                 medal_match: str = "equals", dim_rows: int = 100_000) -> DataFrame:
+                 medal_match: str = "equals") -> DataFrame:
     """Four answers -- player with the highest average kills per game,
     most played playlist, most played map, map with the most medals of one
     kind.  Each answer aggregates its own facts (so kills and match counts are
-    not weighted by a medal fan-out); the map and medal dimensions are
-    broadcast only after a row-count check."""
+    not weighted by a medal fan-out).  The joins are plain equi joins: AQE
+    broadcasts the map and medal sides where their measured bytes are few."""
     kills = (details.where(F.col("player_total_kills").isNotNull())
                     .groupBy("player_gamertag")
                     .agg(F.avg("player_total_kills").alias("avg_kills")))
     playlists = matches.groupBy("playlist_id").agg(F.count_distinct("match_id").alias("n"))
-    m_maps = join_broadcast(matches, maps, "mapid", max_rows=dim_rows)
+    m_maps = matches.join(maps, "mapid")
     maps_played = (m_maps.where(F.col("name").isNotNull())
                          .groupBy("name").agg(F.count_distinct("match_id").alias("n")))
     md = medals.withColumnRenamed("name", "medal_name")
     cond = (F.col("medal_name") == medal_name) if medal_match == "equals" \
         else F.col("medal_name").contains(medal_name)
-    sel = join_broadcast(mmp, md.where(cond), "medal_id", max_rows=dim_rows)
+    sel = mmp.join(md.where(cond), "medal_id")
     spree = (sel.join(m_maps.select("match_id", "name"), "match_id")
                 .where(F.col("name").isNotNull())
                 .groupBy("name").agg(F.sum("count").alias("n")))

@@ -46,31 +46,11 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = Non
     return df.groupBy(*keys).agg(pick.alias("_w")).select("_w.*")
 
 
-def dedupe_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """F1 (general order, incl. descending strings): ``row_number() = 1``.
-    Use only where rows per key are bounded (after a pre-aggregation)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def dedupe_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """DISTINCT over a projection (hash aggregate, partial map side)."""
     return df.select(*cols).distinct()
 
 
-def filter_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """F4."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return df.where(cond)
-
-
-def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """F10."""
-    return df.withColumnsRenamed(mapping)
-
-
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
          residual: Column | None = None) -> DataFrame:
     """Equi join plus optional residual predicate.  The planner
@@ -87,22 +67,6 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     return left.join(right, on, how)
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Size check for a broadcast: does ``df`` have at most ``max_rows`` rows?
-    Reads at most ``max_rows + 1`` rows per partition, so it is cheap on a big
-    input and exact on a small one."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_broadcast(left: DataFrame, right: DataFrame, on, how: str = "inner",
-                   max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``right`` only behind a row-count check; beyond the bound
-    fall back to a shuffle join (which AQE may still convert)."""
-    if small_enough(right, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    return left.join(right, on, how)
-
-
 def union_all(*dfs: DataFrame, label: str | None = None,
               labels: Sequence[str] | None = None) -> DataFrame:
     """UNION ALL by column name, optionally tagging each branch."""
@@ -120,23 +84,7 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def take_sample(df: DataFrame, n: int) -> DataFrame:
-    """N example rows for inspection (the limit is the feature; which rows
-    come back is unspecified)."""
-    return df.limit(n)
-
-
-def sort_within(df: DataFrame, cols: Sequence[str], n: int | None = None,
-                by: Sequence[str] | None = None) -> DataFrame:
-    """L3/L4: optional repartition by column(s), then sort inside partitions."""
-    if n is not None or by:
-        df = df.repartition(n, *by) if (n is not None and by) else (
-            df.repartition(*by) if by else df.repartition(n))
-    return df.sortWithinPartitions(*cols)
-
-
-def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
-                dense: bool = False) -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """``RANK() OVER (ORDER BY ...)`` over a large table without pulling
     every row into one task.
 
@@ -152,11 +100,8 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = counts.select("_pid", (F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    local = (F.dense_rank() if dense else F.rank()).over(
-        Window.partitionBy("_pid").orderBy(*order))
+    local = F.rank().over(Window.partitionBy("_pid").orderBy(*order))
     out = s.withColumn("_local", local).join(F.broadcast(offs), "_pid")
-    if dense:
-        raise NotImplementedError("dense global rank needs distinct-key offsets")
     return out.withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("int")) \
               .drop("_pid", "_local", "_off")
 

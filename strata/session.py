@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/S3/...) folder there and it is used as is.
-    Only when it is unset -- local runs and tests -- a private folder is made.
+    Only when it is unset in a local session (tests) a private folder is made;
+    on a cluster that is an error, since executors don't see each other's disks.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and current:
         return current
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -74,15 +76,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
-
-
-def cut_lineage(df, eager: bool = True):
-    """Truncate a long lineage with a reliable checkpoint (never a local one)."""
-    return df.checkpoint(eager=eager)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -32,14 +32,6 @@ def append_snapshot(df: DataFrame, path: str, ds_col: str = "ds") -> None:
        .partitionBy(ds_col).parquet(path))
 
 
-def write_version(df: DataFrame, base: str, version: int) -> str:
-    """S7/S8 helper: write a full new state under ``base/v=<version>`` and
-    return its path; readers switch to the newest complete version."""
-    path = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
 def close_rows(target: DataFrame, changed_keys: DataFrame, keys: Sequence[str], end_col: str,
                end_value, flag_col: str | None = None) -> DataFrame:
     """Conditional UPDATE ... WHERE key IN (changed): rows of ``target``
@@ -57,8 +49,9 @@ def close_rows(target: DataFrame, changed_keys: DataFrame, keys: Sequence[str],
 def write_bucketed(df: DataFrame, name: str, buckets: int, col: str,
                    sort_cols: Sequence[str] | None = None, partition_cols: Sequence[str] = ()) -> None:
     """Bucketed (and sorted) managed table; two tables bucketed the same
-    way on the join key join without a shuffle (J11)."""
-    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, col)
+    way on the join key join without a shuffle (J11).  Rows are dealt to the
+    buckets first, so a bucket is one file, not one per task."""
+    w = df.repartition(buckets, col).write.mode("overwrite").format("parquet").bucketBy(buckets, col)
     if sort_cols:
         w = w.sortBy(*sort_cols)
     if partition_cols:
@@ -68,24 +61,29 @@ def write_bucketed(df: DataFrame, name: str, buckets: int, col: str,
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str],
                       sort_within: Sequence[str] = (), n: int | None = None) -> None:
-    """Partitioned parquet, optionally clustered by partition
-    value and sorted inside files (better run-length/dictionary encoding)."""
-    d = df
+    """Partitioned parquet, optionally sorted inside files (better
+    run-length/dictionary encoding).  Tasks take ranges of (partition value,
+    sort columns), so a value with very many rows is spread over several tasks
+    and files, and neighbouring sort values stay in one file."""
+    d, by = df, [*cols, *sort_within]
+    if not sort_within:
+        by = [*cols, F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])]
     if cols:
-        d = d.repartition(n, *cols) if n else d.repartition(*cols)
+        d = d.repartitionByRange(n, *by) if n else d.repartitionByRange(*by)
     if sort_within:
-        d = d.sortWithinPartitions(*sort_within)
+        d = d.sortWithinPartitions(*cols, *sort_within)
     d.write.mode("overwrite").partitionBy(*cols).parquet(path)
 
 
 def file_layout_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Total bytes and file count of each table folder, one labelled
-    row per table (UNION ALL of the per-table summaries).  Reads only file
-    metadata via the ``_metadata`` column, not the data."""
+    row per table (UNION ALL of the per-table summaries).  Lists the files;
+    their content is pruned and never read."""
     out = None
     for label, path in paths.items():
-        files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-        s = files.agg(F.sum("file_size").alias("total_bytes"),
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+        s = files.agg(F.sum("length").alias("total_bytes"),
                       F.count(F.lit(1)).alias("num_files")).withColumn("table", F.lit(label))
         out = s if out is None else out.unionByName(s)
     return out.select("table", "total_bytes", "num_files")

@@ -37,17 +37,22 @@ def start_query(df: DataFrame, name: str, sink: str = "memory", output_mode: str
 
 
 def jdbc_writer(url: str, table: str, properties: dict | None = None) -> Callable:
-    """A ``foreachBatch`` function that appends each micro-batch to a
-    JDBC table (the batch id is ignored: appends are not idempotent, like
-    the source's JDBC sink)."""
+    """A ``foreachBatch`` function that appends each micro-batch to a JDBC
+    table, with its number as column ``batch_id``: a batch that is repeated
+    after a failure can be told apart and kept once (``batch_once``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = batch.write.format("jdbc").option("url", url).option("dbtable", table).mode("append")
+        w = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.format("jdbc").option("url", url).option("dbtable", table).mode("append")
         for k, v in (properties or {}).items():
             w = w.option(k, v)
         w.save()
     return write
 
 
+def batch_once(written: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a table written by ``jdbc_writer``, a repeated batch's once."""
+    return written.dropDuplicates([*keys, "batch_id"]).drop("batch_id")
+
+
 def multi_sink(writers: dict[str, Callable[[DataFrame], DataFrame]], sink: Callable) -> Callable:
     """One micro-batch feeds several aggregates.  ``writers`` maps a
     name to a batch transformation; ``sink(name, df, batch_id)`` stores each.

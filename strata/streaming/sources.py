@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 # The web event message layout and its time format.
@@ -48,7 +49,7 @@ def with_event_time(df: DataFrame, col: str = "event_time", fmt: str | None = EV
     """Event-time column plus watermark.  Text is parsed with ``fmt``;
     a TIMESTAMP_NTZ column is cast to TIMESTAMP (watermarks need it).  Rows
     later than the watermark are dropped by the stateful operators that
-    follow; ``dropped_late_rows`` reads how many."""
+    follow; ``LateRows`` counts them."""
     dtype = dict(df.dtypes).get(col)
     if dtype == "string" and fmt:
         ts = parse_event_time(col, fmt)
@@ -57,13 +58,27 @@ def with_event_time(df: DataFrame, col: str = "event_time", fmt: str | None = EV
     return df.withColumn(out, ts).withWatermark(out, delay)
 
 
-def dropped_late_rows(query) -> int:
-    """Rows dropped by the watermark so far (from the query progress)."""
-    total = 0
-    for p in query.recentProgress:
-        ops = p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", [])
-        for op in ops or []:
-            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
-                else getattr(op, "numRowsDroppedByWatermark", 0)
-            total += int(v or 0)
-    return total
+class LateRows(StreamingQueryListener):
+    """Rows that the watermark dropped, summed per query from every progress
+    event (a query's own ``recentProgress`` forgets older batches).  Add it with
+    ``spark.streams.addListener`` before the query starts."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        n = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        self.dropped[str(p.id)] = self.dropped.get(str(p.id), 0) + n
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query) -> int:
+        return self.dropped.get(str(query.id), 0)

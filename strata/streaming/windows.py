@@ -31,31 +31,38 @@ def sessionize(df: DataFrame, gap: str = "5 minutes", keys: Sequence[str] = ("ip
 
 def session_summary(sessions: DataFrame, host_pattern: str = "%.example",
                     named_hosts: Sequence[str] = (), min_sessions: int = 2) -> DataFrame:
-    """The six session reports as one long table (report, key, value):
-    total sessions; sessions per host; average events per session for hosts
-    LIKE a pattern; average events for named hosts; hosts with at least
-    ``min_sessions`` sessions; first and last session start."""
-    s = sessions
-    total = s.agg(F.count(F.lit(1)).cast("double").alias("value")) \
-             .select(F.lit("total_sessions").alias("report"), F.lit(None).cast("string").alias("key"), "value")
-    per_host = s.groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("value")) \
-                .select(F.lit("sessions_per_host").alias("report"), F.col("host").alias("key"), "value")
-    avg_like = (s.where(F.col("host").like(host_pattern))
-                 .groupBy("host").agg(F.avg("num_events").alias("value"))
-                 .select(F.lit("avg_events_like").alias("report"), F.col("host").alias("key"), "value"))
-    named = (s.where(F.col("host").isin(*named_hosts))
-              .groupBy("host").agg(F.avg("num_events").alias("value"))
-              .select(F.lit("avg_events_named").alias("report"), F.col("host").alias("key"), "value"))
-    busy = (s.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sessions)
-             .select(F.lit("hosts_with_min_sessions").alias("report"), F.col("host").alias("key"),
-                     F.col("n").cast("double").alias("value")))
-    span = s.agg(F.min("session_start").alias("a"), F.max("session_start").alias("b")).select(
-        F.inline(F.array(
-            F.struct(F.lit("first_session_start").alias("report"),
-                     F.lit(None).cast("string").alias("key"),
-                     F.unix_micros("a").cast("double").alias("value")),
-            F.struct(F.lit("last_session_start").alias("report"),
-                     F.lit(None).cast("string").alias("key"),
-                     F.unix_micros("b").cast("double").alias("value")))))
-    return total.unionByName(per_host).unionByName(avg_like).unionByName(named) \
-                .unionByName(busy).unionByName(span)
+    """The session reports as one long table (report, key, value).
+
+    Overall: number of sessions; sessions, events and events per session of all
+    hosts LIKE the pattern together; first and last session start (microseconds).
+    Per host: sessions; for the named hosts and for hosts with at least
+    ``min_sessions`` sessions also their events per session.  Averages are
+    rounded to two decimals.  Sessions are read once: a rollup of per-host sums
+    gives both grains."""
+    like = F.col("host").like(host_pattern)
+    hosts = sessions.groupBy("host").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("num_events").alias("events"),
+        F.min("session_start").alias("first"), F.max("session_start").alias("last"))
+    both = hosts.rollup("host").agg(
+        F.grouping("host").alias("overall"), F.sum("n").alias("n"), F.sum("events").alias("events"),
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        F.sum(F.when(like, F.col("n"))).alias("like_n"), F.sum(F.when(like, F.col("events"))).alias("like_events"))
+    mean = lambda events, n: F.round(F.col(events) / F.col(n), 2)
+    report = lambda name, value, shown: F.when(
+        shown, F.struct(F.lit(name).alias("report"), F.col("host").alias("key"), value.cast("double").alias("value")))
+    overall = F.col("overall") == 1
+    host = ~overall
+    named, busy = host & F.col("host").isin(*named_hosts), host & (F.col("n") >= min_sessions)
+    reports = F.array(
+        report("total_sessions", F.col("n"), overall),
+        report("pattern_sessions", F.coalesce("like_n", F.lit(0)), overall),
+        report("pattern_events", F.coalesce("like_events", F.lit(0)), overall),
+        report("pattern_avg_events", mean("like_events", "like_n"), overall),
+        report("first_session_start", F.unix_micros("first"), overall),
+        report("last_session_start", F.unix_micros("last"), overall),
+        report("sessions_per_host", F.col("n"), host),
+        report("named_host_sessions", F.col("n"), named),
+        report("named_host_avg_events", mean("events", "n"), named),
+        report("busy_host_sessions", F.col("n"), busy),
+        report("busy_host_avg_events", mean("events", "n"), busy))
+    return both.select(F.inline(F.filter(reports, lambda r: r.isNotNull())))

@@ -39,13 +39,16 @@ def test_growth_state_ladders(spark):
     assert out[7] == ("New", "New", d)
 
 
-def test_growth_step_rerun_same_day_does_not_duplicate_date(spark):
+def test_growth_step_takes_yesterday_only_and_each_day_once(spark):
     ev = _ev(spark, [(1, "2024-01-10 08:00:00", "/")])
     s1 = growth.growth_accounting_step(None, ev, "2024-01-10")
-    s2 = growth.growth_accounting_step(s1.withColumn("date", F.date_sub("date", 1)), ev, "2024-01-10")
-    # appending the same day twice is what the source does; the date list shows it
     assert [len(r.dates_active) for r in s1.collect()] == [1]
-    assert s2.count() == 1
+    # a day that is already in the list is not appended again
+    again = growth.growth_accounting_step(s1.withColumn("date", F.date_sub("date", 1)), ev, "2024-01-10")
+    assert [r.dates_active for r in again.collect()] == [[D("2024-01-10")]]
+    # older snapshots in the same table are not joined
+    two = s1.withColumn("date", F.date_sub("date", 1)).unionByName(s1.withColumn("date", F.date_sub("date", 5)))
+    assert growth.growth_accounting_step(two, ev, "2024-01-10").count() == 1
 
 
 def test_scd_backfill_unchanged_last_year_and_null_class(spark):
@@ -101,24 +104,6 @@ def test_player_pairs_same_name_two_ids(spark):
     assert e == {(300, 100, "plays_against"), (300, 200, "plays_against")}
 
 
-def test_yearly_dimension_chunks_are_exact(spark):
-    from strata.operators import dims
-    from strata.sources import adapters as A
-    from strata.sources.readers import Tables
-    from tests.conftest import SF_SMALL
-    films = A.actor_films(Tables(spark, SF_SMALL))
-    hot = films.withColumn("actorid", F.lit(1).cast("bigint")).withColumn("year", F.lit(1999).cast("bigint"))
-    films = films.unionByName(hot)                       # one actor-year with half of all films
-    whole = dims.yearly_dimension(films)
-    chunked = dims.yearly_dimension(films, chunk_size=100)
-    flat = lambda d: sorted((r.actorid, r.year, f.filmid) for r in d.collect() for f in r.films)
-    assert flat(whole) == flat(chunked)
-    sizes = [len(r.films) for r in chunked.where("actorid = 1 AND year = 1999").collect()]
-    assert max(sizes) <= 100 and len(sizes) > 1
-    n = {(r.actorid, r.year): r.num_films for r in whole.collect()}
-    assert all(n[(r.actorid, r.year)] == r.num_films for r in chunked.collect())
-
-
 def test_scd2_incremental_branches(spark):
     prev = spark.createDataFrame(
         [("old", "bad", True, 2000, 2018, 2021),       # history closed before last season

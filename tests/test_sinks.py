@@ -61,15 +61,6 @@ def test_sorted_layout_is_smaller_and_reported(spark, tmp_path):
     assert rep["sorted"][0] < rep["unsorted"][0]
 
 
-def test_broadcast_only_behind_size_check(spark):
-    big = spark.range(0, 1000)
-    small = spark.range(0, 10)
-    j1 = R.join_broadcast(big, small, "id", max_rows=100)
-    j2 = R.join_broadcast(big, big.withColumnRenamed("id", "id"), "id", max_rows=100)
-    assert "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString()
-    assert j2.count() == 1000
-
-
 def test_global_rank_matches_window_rank(spark):
     df = spark.range(0, 5000).select((F.col("id") * 37 % 101).alias("v"), F.col("id"))
     got = R.global_rank(df.repartition(7), [F.desc("v")], name="r")

@@ -3,10 +3,10 @@ JSON and JDBC sinks."""
 
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
-from strata.operators.geo import ip_to_long
 from strata.sources import adapters as A
 from strata.sources.readers import Tables
 from strata.streaming import sinks as K, sources as S, windows as W
@@ -96,7 +96,7 @@ def test_enrich_stream(spark, tmp_path):
     q, got = _run(enriched.select("ip", "geodata"), "enriched", "append")
     rows = got.collect()
     assert len(rows) == ev.count()
-    assert any(r.geodata != "{}" for r in rows) and ip_to_long is not None
+    assert any(r.geodata != "{}" for r in rows)
 
 
 def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
@@ -114,10 +114,17 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
         os.utime(f, (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))   # on-time file first
     stream = S.with_event_time(S.read_event_stream(spark, path=str(src), max_files_per_trigger=1),
                                "event_time", delay="15 seconds")
+    late_rows = S.LateRows()
+    spark.streams.addListener(late_rows)
     q, got = _run(W.tumbling_hits(stream, "5 minutes", ["host"]), "late_append", "append")
     starts = {r.event_hour.hour for r in got.collect()}
     assert 9 not in starts
-    assert S.dropped_late_rows(q) >= 1
+    for _ in range(50):               # listener events arrive after the batch
+        if late_rows.of(q):
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(late_rows)
+    assert late_rows.of(q) == 1
 
 
 def test_restart_from_checkpoint_processes_only_new_files(spark, tmp_path):
