@@ -146,7 +146,7 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tu
         best = np.where(ok, cost + ~same, far)               # match or replace
         source = start.copy()
         skip = np.append(cost[1:], far) + 1                  # the item's character is missing
-        skip[(at < 0) | (at > len(text))] = far
+        skip[(at + 1 < 0) | (at + 1 > len(text))] = far
         better = skip < best
         best[better], source[better] = skip[better], np.append(start[1:], 0)[better]
         reach = best - ramp                                  # extra text characters: along the row
