@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ WIDTH = 12                       # features of a node
 NEAR = 3                         # tokens between chain neighbours, at most
 ROUNDS, DAMPING = 10, 0.5
 SURE = 0.9                       # marginal that adds a span
+AGREE = 3.0                      # prior log-odds that similar tokens share a label
 BLOCK = 20_000                   # nodes whose messages are passed together
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -195,9 +197,14 @@ def train(rows: list[tuple], rounds: int = 200, seed: int = 3) -> Model:
     """Pseudo-likelihood: each node's label given its features and the labels of
     its links.  rows: (features, label, labels before, labels after, labels of
     similar tokens); lists of links may be empty.  Unary features are dropped at
-    random, so agreement carries weight of its own."""
+    random, so agreement carries weight of its own.  A node without a pattern
+    that is similar to one with a pattern has an unknown label, not none, and
+    teaches nothing."""
+    rows = [r for r in rows if r[1] or not any(r[4])]
     n, rng = len(rows), np.random.default_rng(seed)
     unary, before, after, skip = (np.zeros(s) for s in ((FEATURES, LABELS), *[(LABELS, LABELS)] * 3))
+    prior = AGREE * np.eye(LABELS)
+    skip += prior
     if not n:
         unary[:, 0] = 1.0
         return Model(unary, before, skip)
@@ -216,23 +223,32 @@ def train(rows: list[tuple], rounds: int = 200, seed: int = 3) -> Model:
         for k in range(WIDTH):
             np.add.at(grads[0], x[:, k], error * kept[:, k, None])
         for w, g, (m, v) in zip(weights, grads, memory):
-            g = g + 1e-4 * w / max(1, n) ** 0.5
+            g = g + 1e-4 * (w - prior if w is skip else w) / max(1, n) ** 0.5
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             w -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    agree = (skip + skip.T) / 2
-    # similar tokens are linked because they should agree, whatever the sample holds
-    np.fill_diagonal(agree, np.maximum(np.diag(agree), 0.0))
-    return Model(unary * 0.6, (before + after.T) / 2, agree)
+    return Model(unary * 0.6, (before + after.T) / 2, (skip + skip.T) / 2)
 
 
-def added_spans(g: Graph, marginal: np.ndarray, base: dict[int, list]) -> Iterator[tuple[int, int, int, int]]:
+def added_spans(g: Graph, marginal: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(doc, kind, start, end) of nodes that no pattern matches, whose label is
-    sure, and that have a link to a similar token."""
-    linked = {x for e in g.skip for x in e}
-    for i, (best, p) in enumerate(zip(marginal.argmax(axis=1).tolist(), marginal.max(axis=1).tolist())):
-        if best and not g.label[i] and p >= SURE and i in linked:
-            yield g.doc[i], best - 1, *g.span[i]
+    sure, and that skip links join to a token which a pattern gives that label."""
+    found, sure = marginal.argmax(axis=1).tolist(), (marginal.max(axis=1) >= SURE).tolist()
+    near = defaultdict(list)
+    for a, b in g.skip:
+        near[a].append(b)
+        near[b].append(a)
+    reached = {i for i, label in enumerate(g.label) if label}
+    todo = list(reached)
+    while todo:
+        i = todo.pop()
+        for j in near[i]:
+            if j not in reached and found[j] == found[i]:
+                reached.add(j)
+                todo.append(j)
+    for i in sorted(reached):
+        if found[i] and not g.label[i] and sure[i]:
+            yield g.doc[i], found[i] - 1, *g.span[i]
 
 
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -295,7 +311,7 @@ def find(docs: DataFrame, model: Model | None = None, text_col: str = "text",
 
             def flush():
                 if g.doc:
-                    for doc, kind, a, z in added_spans(g, held.value.marginals(g), base):
+                    for doc, kind, a, z in added_spans(g, held.value.marginals(g)):
                         if all(z <= s or a >= e for _, s, e in base[doc]):
                             spans[doc].append((kind, a, z, False))
 
@@ -326,9 +342,10 @@ def digest_columns(spans: str = "spans") -> dict[str, Column]:
 
 
 def masked(spans: str = "spans", text_col: str = "text") -> Column:
-    """The text with every span replaced by its kind in angle brackets; spans that
-    overlap an earlier one extend it."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    """The text with every span replaced by its kind in angle brackets.  Of spans
+    that overlap the first (then the longest) names the kind of them all."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc, s):
