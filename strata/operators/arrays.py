@@ -178,6 +178,9 @@ def host_reduced_report(df: DataFrame, host: str = "host") -> DataFrame:
 
 def array_consistency(df: DataFrame, a: str = "hit_array",
                       b: str = "unique_visitors_array") -> DataFrame:
-    """Flag rows whose arrays are NULL or differ in length."""
-    ok = F.col(a).isNotNull() & F.col(b).isNotNull() & (F.size(a) == F.size(b))
-    return df.select("*", ok.alias("is_consistent"))
+    """Both lengths (NULL for a NULL array) and a status, 'OK' or
+    'MISMATCH' where an array is NULL or the lengths differ."""
+    size = lambda c: F.when(F.col(c).isNotNull(), F.size(c)).cast("bigint")
+    same = F.coalesce(size(a) == size(b), F.lit(False))
+    return df.select("*", size(a).alias(f"{a}_length"), size(b).alias(f"{b}_length"),
+                     F.when(same, "OK").otherwise("MISMATCH").alias("status"))

@@ -86,12 +86,13 @@ def users_and_devices(agg: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def devices_on_events(agg: DataFrame, devices: DataFrame) -> DataFrame:
-    """Per device, its users.  One device can be shared by a very large
-    share of users, so the users are returned as (device, user) rows plus a
-    count per device rather than one unbounded array per device."""
+    """Per device, its users with the hosts they visited.  One device can
+    be shared by a very large share of users, so the users are returned as
+    (device, user) rows plus a count per device rather than one unbounded array
+    per device."""
     j = devices.select("device_id", "device_type").join(agg, "device_id")
     cnt = j.groupBy("device_id", "device_type").agg(F.count_distinct("user_id").alias("num_users"))
-    return j.select("device_id", "device_type", "user_id").join(cnt, ["device_id", "device_type"])
+    return j.select("device_id", "device_type", "user_id", "host_array").join(cnt, ["device_id", "device_type"])
 
 
 def business_metrics(orders: DataFrame) -> DataFrame:

@@ -370,10 +370,10 @@ def d22_host_reduced(t):
         F.col("p.unique_visitors_array").alias("unique_visitors"))
 
 
-@query("d23_host_reduced_report", oracle=_HOST_SQL + """
+@query("d23_host_reduced_report", oracle=_HOST_SQL + f"""
 SELECT host, month_start, CAST(COUNT(*) AS BIGINT) AS days,
-       MAX(CASE WHEN pos = 29 THEN hits END) AS latest_hits,
-       MAX(CASE WHEN pos = 29 THEN uv END) AS latest_unique_visitors,
+       MAX(CASE WHEN pos = day({LAST_DAY_SQL}) - 1 THEN hits END) AS latest_hits,
+       MAX(CASE WHEN pos = day({LAST_DAY_SQL}) - 1 THEN uv END) AS latest_unique_visitors,
        CAST(SUM(COALESCE(hits, 0)) AS BIGINT) AS month_hits,
        CAST(SUM(COALESCE(uv, 0)) AS BIGINT) AS month_visitor_days,
        MAX(hits) AS peak_day_hits
@@ -384,9 +384,50 @@ def d23_host_reduced_report(t):
     return arrays.host_reduced_report(_host_month(t))
 
 
-@query("d24_array_consistency", oracle=_HOST_SQL + """
-SELECT host, month_start, TRUE AS is_consistent FROM hr GROUP BY host, month_start
+# The check's input is damaged on purpose, by the host's first letter and number:
+# every third host has no visitor array, every third one lacks its last day.
+@query("d24_array_consistency", oracle=_HOST_SQL + """,
+sizes AS (SELECT host, month_start, COUNT(*) AS days, regexp_extract(host, '[0-9]+')::INT % 3 AS damage
+          FROM hr GROUP BY host, month_start)
+SELECT host, month_start, CAST(days AS BIGINT) AS hit_array_length,
+       CASE WHEN damage = 1 THEN CAST(days - 1 AS BIGINT) END AS unique_visitors_array_length,
+       'MISMATCH' AS status
+FROM sizes WHERE damage < 2
 """)
 def d24_array_consistency(t):
-    """Flag host-months whose two arrays are NULL or of different length."""
-    return arrays.array_consistency(_host_month(t)).select("host", "month_start", "is_consistent")
+    """Host-months whose two arrays are NULL or of different length."""
+    damage = F.regexp_extract("host", "[0-9]+", 0).cast("int") % 3
+    visitors = F.col("unique_visitors_array")
+    damaged = _host_month(t).withColumn(
+        "unique_visitors_array", F.when(damage == 1, F.slice(visitors, 1, F.size(visitors) - 1)).when(damage == 2, visitors))
+    return arrays.array_consistency(damaged).where("status = 'MISMATCH'").select(
+        "host", "month_start", "hit_array_length", "unique_visitors_array_length", "status")
+
+
+@query("d13_graph_edges", oracle=_DEDUP_SQL + """,
+pairs AS (SELECT a.player_id AS s, b.player_id AS o, a.player_name AS sn, b.player_name AS obn,
+                 if(a.team_abbreviation = b.team_abbreviation, 'shares_team', 'plays_against') AS kind,
+                 COUNT(*) AS games, SUM(a.pts) AS sp, SUM(b.pts) AS op
+          FROM dd a JOIN dd b ON a.game_id = b.game_id AND a.player_name <> b.player_name AND a.player_id > b.player_id
+          GROUP BY ALL),
+edges AS (
+  SELECT player_id AS s, 'player' AS st, game_id AS o, 'game' AS ot, 'plays_in' AS kind,
+         concat_ws(';', 'pts=' || pts, 'start_position=' || start_position_no, 'team_abbreviation=' || team_abbreviation,
+                   'team_id=' || team_id) AS props FROM dd
+  UNION ALL
+  SELECT s, 'player', o, 'player', kind,
+         concat_ws(';', 'num_games=' || games, 'object_points=' || op, 'subject_points=' || sp) FROM pairs
+  UNION ALL
+  SELECT player_id, 'player', team_id, 'team', 'plays_on', concat_ws(';', 'num_games=' || COUNT(*), 'pts=' || SUM(pts))
+  FROM dd GROUP BY player_id, team_id)
+SELECT CAST(s AS VARCHAR) AS subject_identifier, st AS subject_type, CAST(o AS VARCHAR) AS object_identifier,
+       ot AS object_type, kind AS edge_type, props FROM edges
+""")
+def d13_graph_edges(t):
+    """The typed edge table (plays_in, shares_team, plays_against, plays_on) with
+    each property map as sorted key=value text."""
+    _, e = graph.graph_union(A.game_details(t), A.teams(t), A.games(t))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("properties")),
+                                    lambda x: F.concat(x["key"], F.lit("="), x["value"])), ";")
+    return e.select("subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type",
+                    text.alias("props"))

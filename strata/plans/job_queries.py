@@ -69,7 +69,8 @@ def d39_user_activity_monthly(t):
 
 
 _UDEV_SQL = with_views("web_events", "devices") + """,
-agg AS (SELECT user_id, device_id, COUNT(*) AS event_counts FROM web_events GROUP BY 1, 2),
+agg AS (SELECT user_id, device_id, COUNT(*) AS event_counts,
+               string_agg(DISTINCT host, ',' ORDER BY host) AS hosts FROM web_events GROUP BY 1, 2),
 users AS (SELECT DISTINCT user_id FROM web_events WHERE user_id IS NOT NULL)
 """
 
@@ -91,16 +92,17 @@ def d40_users_devices(t):
 
 
 @query("d40_devices_users", oracle=_UDEV_SQL + """,
-j AS (SELECT d.device_id, d.device_type, a.user_id FROM devices d JOIN agg a
+j AS (SELECT d.device_id, d.device_type, a.user_id, a.hosts FROM devices d JOIN agg a
       ON d.device_id = a.device_id)
-SELECT j.device_id, j.device_type, j.user_id, c.num_users
+SELECT j.device_id, j.device_type, j.user_id, j.hosts, c.num_users
 FROM j JOIN (SELECT device_id, COUNT(DISTINCT user_id) AS num_users FROM j GROUP BY 1) c
   ON j.device_id = c.device_id
 """)
 def d40_devices_users(t):
     """Per device: its users as (device, user) rows and the user count."""
     agg = jobs.events_per_user_device(A.web_events(t))
-    return jobs.devices_on_events(agg, A.devices(t))
+    found = jobs.devices_on_events(agg, A.devices(t))
+    return found.select("device_id", "device_type", "user_id", F.array_join("host_array", ",").alias("hosts"), "num_users")
 
 
 EXPERIMENT = "checkout_layout"
