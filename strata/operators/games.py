@@ -22,22 +22,26 @@ def team_games(details: DataFrame, games: DataFrame) -> DataFrame:
 
 def game_grouping_sets(details: DataFrame, games: DataFrame) -> DataFrame:
     """Points by (player, team), (player, season) and (team) in one
-    aggregation; games won counted once per (team, game)."""
-    d = dedupe_details(details).select("game_id", "team_id", "player_id", "player_name", "pts")
-    tg = team_games(details, games)
-    # one representative row per (team, game) -- its lowest player -- so the
-    # team set counts each won game once without a DISTINCT aggregate (which
-    # would add a second Expand); after the dedupe a player has one row per
-    # game, so the player sets count won games with a plain sum.
-    rep = d.groupBy("team_id", "game_id").agg(F.min("player_id").alias("_rep"))
-    x = (d.join(tg.select("team_id", "game_id", "season", "won"), ["team_id", "game_id"])
-          .join(rep, ["team_id", "game_id"]))
-    won = F.col("won").cast("int")
-    g = x.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
-                       "player_id", "team_id", "season").agg(
-        F.sum("pts").alias("total_points"),
-        F.sum(won).alias("_won_rows"),
-        F.sum(F.when(F.col("player_id") == F.col("_rep"), won).otherwise(0)).alias("_won_games"),
+    aggregation; games won counted once per (team, game).
+
+    Games join the distinct (team, game) rows, these join the details once,
+    and the grouping sets expand sums per (player, team, season), not games."""
+    d = dedupe_details(details).select("game_id", "team_id", "player_id", "pts")
+    # one representative row per (team, game) -- its lowest player -- lets the
+    # team set count each won game once without a DISTINCT aggregate; a player
+    # has one row per game, so the player sets count won games with a plain sum
+    won = (((F.col("team_id") == F.col("home_team_id")) & F.col("home_team_wins"))
+           | ((F.col("team_id") == F.col("visitor_team_id")) & ~F.col("home_team_wins")))
+    played = (d.groupBy("team_id", "game_id").agg(F.min("player_id").alias("_rep"))
+              .join(games, "game_id").select("team_id", "game_id", "season", "_rep", won.cast("int").alias("_won")))
+    fine = (d.join(played, ["team_id", "game_id"]).groupBy("player_id", "team_id", "season").agg(
+        F.sum("pts").alias("_pts"), F.sum("_won").alias("_won"),
+        F.sum(F.when(F.col("player_id") == F.col("_rep"), F.col("_won")).otherwise(0)).alias("_team_won")))
+    g = fine.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
+                          "player_id", "team_id", "season").agg(
+        F.sum("_pts").alias("total_points"),
+        F.sum("_won").alias("_won_rows"),
+        F.sum("_team_won").alias("_won_games"),
         F.grouping_id("player_id", "team_id", "season").alias("_gid"))
     level = (F.when(F.col("_gid") == 1, "player_team").when(F.col("_gid") == 2, "player_season")
               .otherwise("team"))
@@ -69,7 +73,7 @@ def longest_scoring_run(details: DataFrame, games: DataFrame, min_pts: int = 10)
     than ``min_pts`` (islands by difference of row numbers)."""
     d = dedupe_details(details).join(games.select("game_id", "game_date_est"), "game_id")
     order = [F.col("game_date_est"), F.col("game_id")]
-    x = d.withColumn("_hit", (F.col("pts") > min_pts).cast("bigint"))
+    x = d.select("player_id", "game_id", "game_date_est", (F.col("pts") > min_pts).cast("bigint").alias("_hit"))
     # the position among the player's hit games is the running count of hits
     # in the same order, so one keyed sequence gives both row numbers
     x = keyed_sequence(x, ["player_id"], order, "_s_all", running="_hit")

@@ -257,7 +257,8 @@ def longest_streaks(films: DataFrame, threshold: float = 7.0, min_len: int = 2,
     alone, by joining their (entity, island) keys -- at most k rows, so a
     broadcast of bounded size -- back to the films."""
     hq = F.when(F.col("rating") >= threshold, 1).otherwise(0).cast("bigint")
-    f = films.where(F.col("rating").isNotNull() & F.col("year").isNotNull()).withColumn("_hq", hq)
+    f = films.where(F.col("rating").isNotNull() & F.col("year").isNotNull()).select(
+        key, "actor", "year", "votes", "film", "rating", hq.alias("_hq"))
     # the position among the entity's high-rated films is the running count of
     # them in film order, so one keyed sequence gives both row numbers
     f = keyed_sequence(f, [key], film_order(), "film_sequence", running="_hq")

@@ -95,7 +95,7 @@ def d05_scd2_streaks(t):
     return scd.scd2_streaks(h, "player_name", "current_season", ["scoring_class"])
 
 
-@query("d09_scd2_incremental", oracle=_STREAK_SQL.format(
+@query("d09_scd2_incremental", headline=True, oracle=_STREAK_SQL.format(
     cols_first="scoring_class",
     changed="OR LAG(scoring_class) OVER w <> scoring_class OR LAG(is_active) OVER w <> is_active")
     + f"""

@@ -179,7 +179,7 @@ def d34_best_stretch(t):
     return olap.best_stretch(A.actor_films(t))
 
 
-@query("d35_longest_streaks", oracle=_SEQ_SQL + """,
+@query("d35_longest_streaks", headline=True, oracle=_SEQ_SQL + """,
 g AS (SELECT *, seq - ROW_NUMBER() OVER (PARTITION BY actorid, hq
                                          ORDER BY year, votes DESC, film) AS grp FROM fo),
 isl AS (SELECT actorid, MAX(actor) AS actor, grp, COUNT(*) AS len, MIN(year) AS sy,

@@ -27,7 +27,7 @@ tg AS (SELECT x.team_id, x.game_id, g.game_date_est, g.season,
 """
 
 
-@query("a07_game_grouping_sets", oracle=_DEDUP + """
+@query("a07_game_grouping_sets", headline=True, oracle=_DEDUP + """
 SELECT CASE WHEN GROUPING(player_id) = 0 AND GROUPING(team_id) = 0 THEN 'player_team'
             WHEN GROUPING(player_id) = 0 AND GROUPING(season) = 0 THEN 'player_season'
             ELSE 'team' END AS aggregation_level,
@@ -41,7 +41,7 @@ def a07_game_grouping_sets(t):
     return games.game_grouping_sets(A.game_details(t), A.games(t))
 
 
-@query("w14_most_wins_in_90_games", oracle=_DEDUP + """
+@query("w14_most_wins_in_90_games", headline=True, oracle=_DEDUP + """
 SELECT team_id, CAST(MAX(w) AS BIGINT) AS max_wins_in_90, COUNT(*) AS games FROM (
   SELECT team_id, SUM(CAST(won AS INTEGER)) OVER (PARTITION BY team_id
          ORDER BY game_date_est, game_id ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS w
