@@ -110,10 +110,12 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     head_text = (docs.select(F.col(id_col).alias("hid"), null_as_empty(text_col).alias("text"))
                  .join(heads.select(F.col("id").alias("hid2"), F.col("block").alias("after")),
                        F.col("hid").eqNullSafe(F.col("hid2"))).groupBy("after").agg(F.min("text").alias("head_text")))
-    link = after.join(head_text, "after").select("block", "head_text")
-    last = d.where("next_text is null").join(link, "block").select(
-        "id", "text", "sigs", F.col("head_text").alias("next_text"), signatures(F.col("head_text")).alias("next_sigs"))
-    return d.where("next_text is not null").select("id", "text", "sigs", "next_text", "next_sigs").unionByName(last)
+    link = after.join(head_text, "after").select(
+        F.col("block").alias("of"), "head_text", signatures(F.col("head_text")).alias("head_sigs"))
+    # one pass over the documents: only a block's last row meets its link
+    return d.join(link, (F.col("block") == F.col("of")) & F.col("next_text").isNull(), "left").select(
+        "id", "text", "sigs", F.coalesce("next_text", "head_text").alias("next_text"),
+        F.coalesce("next_sigs", "head_sigs").alias("next_sigs"))
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
