@@ -1,19 +1,23 @@
 """N-gram Jaccard join by universe partition (pigeonhole).
 
-The hash universe of shingles is cut into M equal segments, M fixed per size
-band.  Two sets that link differ in at most H shingles, so at least M - H of
-their segments are equal: equal segments meet through a signature.  M exceeds H,
-and which segments need not be probed is decided by cost:
-
-* empty segments cost a match with everything and are never indexed;
-* a segment shared by more than ``HOT`` sets is compared with one hub only;
-* a pair is verified if it meets in enough of the remaining segments;
+The hash universe of shingles is cut into equal segments, by size band.  Two
+sets that link differ in at most H shingles, which bounds the segments in which
+they differ; what is probed is decided by cost:
+
+* with M > H segments at least M - H are equal, and equal segments meet through
+  one signature each;
+* in bands of small sets, where empty segments use up M - H, half as many
+  segments are indexed together with their one-deletion neighbourhoods: some
+  segment differs in at most one shingle;
+* empty segments are never indexed as such, a segment that more than ``HOT``
+  sets share is compared with one hub only, and a pair is verified if it meets
+  in enough of the others;
 * a set whose empty and hot segments could hide a partner is *short*.  Both
-  sets of a hidden pair are short, so short sets alone are joined once more
-  with fewer, larger segments: each is indexed together with its one-deletion
-  neighbourhood, of which a pair must share one.
+  sets of a hidden pair are short, so short sets alone are joined once more by
+  the finest partition, a shingle a segment, each probing its cheapest (rarest)
+  n - ceil(0.75 n) + 1 segments, of which a pair must share one.
 
-Candidates pass a segment-wise lower bound of their difference and are then
+Candidates pass a lower bound of their difference (parities by slot) and are then
 verified on their whole shingle sets (64-bit hashes).
 Signatures travel as packed numpy blobs: a shuffle row per task and bucket.
 """
@@ -34,8 +38,9 @@ from strata.llm.shingles import mix64, set_hash, shingle_sets
 
 HOT = 10                 # sets per signature that are compared pairwise
 SPREAD = 0.55            # segments as a share of the band's upper size
-BUCKET_ENTRIES = 1_500_000  # signatures that one reduce group holds
-BLOCK_SHINGLES = 1_500_000  # shingles whose signatures a task packs together
+BUCKET_ENTRIES = 1_000_000  # signatures that one reduce group holds
+COUNTERS = 1 << 22       # of the sketch that ranks shingles of short sets: 4 MB, whatever the data
+BLOCK_SHINGLES = 1_000_000  # shingles whose signatures a task packs together
 THRESHOLD = 75           # per cent
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _U32 = np.uint64(32)
@@ -81,11 +86,35 @@ class Bands:
         top = self.top(band)
         return self.difference(top, top * 100 // self.t) // 2 + 1
 
+    def neighbourhoods(self, band: int) -> bool:
+        """Allocation by cost: one deletion on half the segments, where the empty
+        ones among M (two deviations over their mean) would use up M - H."""
+        m, low = self.segments(band), self.low[band]
+        empty = m * math.exp(-low / m)
+        return empty + 2 * math.sqrt(empty) >= m - self.worst(low, band)
+
+    def spare(self, n: int, band: int) -> int:
+        """Segments in which a set of n surely meets any partner under a scheme."""
+        h = self.worst(n, band)
+        return self.wide_segments(band) - h // 2 if self.neighbourhoods(band) else self.segments(band) - h
+
     def schemes(self, n: int) -> list[int]:
         b = self.of(n)
         return [b] if b == 0 else [b, b - 1]
 
 
+class _Schemes:
+    """``Bands.neighbourhoods``, remembered."""
+
+    def __init__(self, bands: Bands):
+        self.bands, self.known = bands, {}
+
+    def neighbourhoods(self, band: int) -> bool:
+        if band not in self.known:
+            self.known[band] = self.bands.neighbourhoods(band)
+        return self.known[band]
+
+
 def _segment_starts(s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
     seg = ((s >> _U32) * np.uint64(m)) >> _U32
     return seg, np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
@@ -101,13 +130,16 @@ def _signature(seg: np.ndarray, inner: np.ndarray, scheme: int) -> np.ndarray:
     return mix64(inner + (seg + np.uint64(1)) * _MULT + np.uint64(scheme * 1_000_003 + 1))
 
 
-def segment_bytes(s: np.ndarray, band: int, bands: Bands) -> bytes:
-    """One byte per segment; sets differ at least as often as their bytes do."""
-    m = bands.segments(band)
-    seg, _, inner = _segment(s, m)
-    out = np.zeros(m, np.uint8)
-    out[seg.astype(np.int64)] = (_signature(seg, inner, band) & np.uint64(255)).astype(np.uint8) | np.uint8(1)
-    return out.tobytes()
+def parity_bits(s: np.ndarray, n_bits: int) -> np.ndarray:
+    """One bit per slot of the hash universe: is the number of shingles odd?
+    Sets differ in at least as many shingles as their bits differ."""
+    slot = ((s >> _U32) * np.uint64(n_bits)) >> _U32
+    return (np.bincount(slot.astype(np.int64), minlength=n_bits) & 1).astype(np.uint8)
+
+
+def parities(s: np.ndarray, band: int, bands: Bands) -> bytes:
+    """``parity_bits``, about four per shingle, equally many for a band's partners."""
+    return np.packbits(parity_bits(s, 8 * (bands.top(band) // 2 + 1))).tobytes()
 
 
 def exact_signatures(s: np.ndarray, band: int, bands: Bands) -> np.ndarray:
@@ -267,11 +299,14 @@ def _met(entries: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- the join
 def shingle_nodes(docs: DataFrame, threshold: int) -> DataFrame:
-    """Per row: id, n, node (hash of its set), band, and the number of empty
-    segments under the schemes of its band and the one below."""
+    """Per row: id, n, node (hash of its set), band, and the number of segments
+    that are not indexed (empty) under the schemes of its band and the one below."""
     bands = Bands(threshold)
+    schemes = _Schemes(bands)
 
     def empty(s: np.ndarray, scheme: int) -> int:
+        if schemes.neighbourhoods(scheme):
+            return 0
         m = bands.segments(scheme)
         return m - len(_segment_starts(s, m)[1])
 
@@ -293,12 +328,24 @@ def shingle_nodes(docs: DataFrame, threshold: int) -> DataFrame:
         rows, f"id {dict(docs.dtypes)['id']}, n long, node long, band long, gaps long, low_gaps long")
 
 
-def _entries(docs: DataFrame, n_buckets: int, threshold: int, wanted: DataFrame | None = None) -> DataFrame:
-    """Packed signatures of all rows, or with one-deletion neighbourhoods of at
-    least the wanted ids."""
-    bands, deletions = Bands(threshold), wanted is not None
-    slot, near = likely_in(wanted, "id") if deletions else (F.lit(0).alias("__slot"), lambda b: b)
+def _entries(docs: DataFrame, n_buckets: int, threshold: int) -> DataFrame:
+    """Packed signatures of all rows under the schemes of their bands."""
+    bands = Bands(threshold)
+    schemes = _Schemes(bands)
 
+    def signatures(s: np.ndarray, h: int):
+        for k in bands.schemes(len(s)):
+            if schemes.neighbourhoods(k):
+                whole, less = neighbourhood_signatures(s, k, bands)
+                yield k, (whole, h, 0)
+                yield k, (less, h, 1)
+            else:
+                yield k, (exact_signatures(s, k, bands), h, int(k != bands.of(len(s))))
+
+    return _packed_rows(docs.where("text is not null").select("text"), lambda b: b, signatures, n_buckets)
+
+
+def _packed_rows(texts: DataFrame, near, signatures, n_buckets: int) -> DataFrame:
     def rows(batches):
         groups, seen, waiting = {}, set(), 0
         for b in batches:
@@ -307,19 +354,15 @@ def _entries(docs: DataFrame, n_buckets: int, threshold: int, wanted: DataFrame
                 if not len(s) or h in seen:
                     continue
                 seen.add(h)
-                for k in bands.schemes(len(s)):
-                    if deletions:
-                        whole, less = neighbourhood_signatures(s, k, bands)
-                        groups.setdefault(k, []).extend([(whole, h, 0), (less, h, 1)])
-                    else:
-                        groups.setdefault(k, []).append((exact_signatures(s, k, bands), h, int(k != bands.of(len(s)))))
+                for scheme, item in signatures(s, h):
+                    groups.setdefault(scheme, []).append(item)
                 waiting += len(s)
                 if waiting > BLOCK_SHINGLES:
                     yield from _batch(_pack(groups, n_buckets))
                     groups, seen, waiting = {}, set(), 0
         yield from _batch(_pack(groups, n_buckets))
 
-    return docs.where("text is not null").select("text", slot).mapInArrow(rows, ENTRY_SCHEMA)
+    return texts.mapInArrow(rows, ENTRY_SCHEMA)
 
 
 def _batch(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
@@ -328,8 +371,8 @@ def _batch(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("blob", pa.binary())]))
 
 
-def _segment_bytes(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
-    """(node, own, low): segment bytes of at least the wanted ids."""
+def _parities(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
+    """(node, own, low): parities of at least the wanted ids."""
     bands, (slot, near) = Bands(threshold), likely_in(wanted, "id")
 
     def rows(batches):
@@ -338,14 +381,29 @@ def _segment_bytes(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFr
             own = [bands.of(len(s)) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_hash(s) for s in sets], pa.int64()),
-                 pa.array([segment_bytes(s, k, bands) for s, k in zip(sets, own)], pa.binary()),
-                 pa.array([segment_bytes(s, k - 1, bands) if k else None for s, k in zip(sets, own)], pa.binary())],
+                 pa.array([parities(s, k, bands) for s, k in zip(sets, own)], pa.binary()),
+                 pa.array([parities(s, k - 1, bands) if k else None for s, k in zip(sets, own)], pa.binary())],
                 ["node", "own", "low"])
 
     return (docs.select("text", slot).mapInArrow(rows, "node long, own binary, low binary")
             .dropDuplicates(["node"]))
 
 
+def _parity_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, bits): 1024 parities as 16 longs, of at least the wanted ids; for
+    conditions of joins among small sets."""
+    slot, near = likely_in(wanted, "id")
+
+    def rows(batches):
+        for b in batches:
+            sets = [s for s in shingle_sets(column(near(b), "text")) if len(s)]
+            words = [np.packbits(parity_bits(s, 1024)).view(np.int64).tolist() for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
+                                              pa.array(words, pa.list_(pa.int64()))], ["node", "bits"])
+
+    return docs.select("text", slot).mapInArrow(rows, "node long, bits array<long>").dropDuplicates(["node"])
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, items): whole shingle sets of at least the wanted ids."""
     slot, near = likely_in(wanted, "id")
@@ -360,8 +418,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The links (u, v) among pairs (scheme, u, v): sizes and segment bytes must
-    allow one, then the whole sets decide."""
+    """The links (u, v) among pairs (scheme, u, v): sizes and parities must allow
+    one, then the whole sets decide."""
     bands = Bands(threshold)
 
     def possible(batches):
@@ -369,7 +427,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int
             keep = []
             for n, m, x, y in zip(*(column(b, c).to_pylist() for c in ("un", "vn", "ubytes", "vbytes"))):
                 p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                keep.append(len(p) == len(q) and np.count_nonzero(p != q) <= bands.difference(n, m))
+                keep.append(len(p) == len(q) and int(np.bitwise_count(p ^ q).sum()) <= bands.difference(n, m))
             yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v", "uid", "vid"])
 
     def linked(batches):
@@ -387,11 +445,12 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int
     kind = dict(classes.dtypes)["id"]
     side = lambda s: classes.select(F.col("node").alias(s), *[F.col(c).alias(s + c) for c in ("id", "n", "band")])
     pairs = saved(pairs.join(side("u"), "u").join(side("v"), "v")
-                  .where((F.least("uband", "vband") == F.col("scheme"))
-                         & (F.least("un", "vn") * 100 >= F.greatest("un", "vn") * threshold)))
+                  .where(((F.least("uband", "vband") == F.col("scheme")) | (F.col("scheme") < 0))
+                         & (F.least("un", "vn") * 100 >= F.greatest("un", "vn") * threshold))
+                  .withColumn("scheme", F.least("uband", "vband")))
     ids = lambda p: p.select(F.col("uid").alias("id")).union(p.select("vid"))
-    segments = saved(_segment_bytes(docs, ids(pairs), threshold))
-    part = lambda s: segments.select(F.col("node").alias(s), F.col("own").alias(f"{s}own"), F.col("low").alias(f"{s}low"))
+    held = saved(_parities(docs, ids(pairs), threshold))
+    part = lambda s: held.select(F.col("node").alias(s), F.col("own").alias(f"{s}own"), F.col("low").alias(f"{s}low"))
     which = lambda s: F.when(F.col(f"{s}band") == F.col("scheme"), F.col(f"{s}own")).otherwise(F.col(f"{s}low"))
     likely = saved(pairs.join(part("u"), "u").join(part("v"), "v")
                    .select("u", "v", "uid", "vid", "un", "vn", which("u").alias("ubytes"), which("v").alias("vbytes"))
@@ -433,12 +492,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .join(hot, ["scheme", "node"], "left")
             .select("scheme", "node", "size", (F.col("empty") + F.coalesce("hot", F.lit(0))).alias("lost")))
     top_band = classes.agg(F.max("band")).first()[0]
-    segments = F.array(*[F.lit(bands.segments(b)) for b in range((top_band or 0) + 1)])
+    all_bands = range((top_band or 0) + 1)
+    segments = F.array(*[F.lit(bands.segments(b)) for b in all_bands])
+    by_neighbour = F.array(*[F.lit(bands.neighbourhoods(b)) for b in all_bands])
+    of_band = lambda a: F.element_at(a, (F.col("scheme") + 1).cast("int"))
     side = lambda s: room.select("scheme", F.col("node").alias(s), F.col("size").alias(f"{s}size"),
                                  F.col("lost").alias(f"{s}lost"))
-    need = (F.element_at(segments, (F.col("scheme") + 1).cast("int"))
-            - F.floor((F.col("usize") + F.col("vsize")) * (100 - threshold) / (100 + threshold))
-            - F.least("ulost", "vlost"))
+    need = F.when(of_band(by_neighbour), F.lit(1)).otherwise(
+        of_band(segments) - F.floor((F.col("usize") + F.col("vsize")) * (100 - threshold) / (100 + threshold))
+        - F.least("ulost", "vlost"))
     pairs = (pairs.join(side("u"), ["scheme", "u"]).join(side("v"), ["scheme", "v"])
              .where(F.col("n") >= need).select("scheme", "u", "v"))
     hubs = stars.where("u <> v").select(
@@ -455,25 +517,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = members.groupBy("scheme", "gid").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
     open_hot = (members.join(mixed.select("scheme", "gid"), ["scheme", "gid"], "left_semi")
                 .groupBy("scheme", "node").agg(F.count(F.lit(1)).alias("open")))
-    worst = F.when(F.col("scheme") == F.col("band"), F.col("own_worst")).otherwise(F.col("low_worst"))
+    wide = F.array(*[F.lit(bands.wide_segments(b)) for b in all_bands])
     tops = F.array(*[F.lit(bands.top(b)) for b in range((top_band or 0) + 2)])
-    at = lambda c: F.element_at(tops, c.cast("int"))
-    diff = lambda a, b: F.floor((a + b) * (100 - threshold) / (100 + threshold))
-    largest = F.floor(F.col("n") * 100 / threshold)
-    bounds = classes.select(
-        "node", "id", "n", "band",
-        diff(F.col("n"), F.least(largest, at(F.col("band") + 2))).alias("own_worst"),
-        F.when(F.col("band") > 0, diff(F.col("n"), at(F.greatest(F.col("band"), F.lit(1))))).alias("low_worst"))
-    short = (room.join(open_hot, ["scheme", "node"], "left").join(hot, ["scheme", "node"], "left")
-             .join(bounds, "node")
-             .where(F.element_at(segments, (F.col("scheme") + 1).cast("int")) - worst
-                    <= F.col("lost") - F.coalesce("hot", F.lit(0)) + F.coalesce("open", F.lit(0)))
-             .select("node", "id").distinct())
-    short = saved(short)
-    extra = _short_links(docs, short, classes, groups, threshold)
+    own = F.col("scheme") == F.col("band")
+    largest = F.when(own, F.least(F.floor(F.col("n") * 100 / threshold), F.element_at(tops, (F.col("band") + 2).cast("int")))
+                     ).otherwise(F.element_at(tops, F.greatest(F.col("band"), F.lit(1)).cast("int")))
+    worst = F.floor((F.col("n") + largest) * (100 - threshold) / (100 + threshold))
+    spare = F.when(of_band(by_neighbour), of_band(wide) - F.floor(worst / 2)).otherwise(of_band(segments) - worst)
+    short = saved(room.join(open_hot, ["scheme", "node"], "left").join(hot, ["scheme", "node"], "left")
+                  .join(classes.select("node", "id", "n", "band"), "node")
+                  .where(spare <= F.col("lost") - F.coalesce("hot", F.lit(0)) + F.coalesce("open", F.lit(0)))
+                  .select("node", "id").distinct())
+    extra = _short_links(docs, short, classes, groups, links, threshold)
     if extra is not None:
-        links = links.union(extra)
-        groups = components(links)
+        groups = components(links.union(extra))
 
     edge = classes.select("node", "id").join(groups, "node")
     smallest = edge.groupBy("component").agg(F.min("id").alias("least"))
@@ -486,27 +543,104 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .alias("component_id")))
 
 
-def _short_links(docs, short, classes, groups, threshold):
-    """Links among short sets through one-deletion neighbourhoods; every pair of
-    a signature is a candidate unless it is known to be connected."""
-    n = short.count()
-    if n < 2:
+def _counts(docs: DataFrame, slot, near) -> np.ndarray:
+    """About how many of the wanted texts hold a shingle, by hash: a sketch of
+    COUNTERS saturating counters, merged in 64 parts."""
+    parts, each = 64, COUNTERS // 64
+
+    def rows(batches):
+        total = np.zeros(COUNTERS, np.uint32)
+        for b in batches:
+            for s in shingle_sets(column(near(b), "text")):
+                np.add.at(total, (s >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64), 1)
+        if total.any():
+            low = np.minimum(total, 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(parts), pa.int64()),
+                 pa.array([low[i * each:(i + 1) * each].tobytes() for i in range(parts)], pa.binary())], ["part", "low"])
+
+    def merge(key, table):
+        total = np.zeros(each, np.uint32)
+        for x in column(table, "low").to_pylist():
+            total += np.frombuffer(x, np.uint8)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()),
+                         "low": pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()], pa.binary())})
+
+    merged = (docs.select("text", slot).mapInArrow(rows, "part long, low binary").groupBy("part")
+              .applyInArrow(merge, "part long, low binary").collect())        # 64 rows of 64 kB
+    out = np.zeros(COUNTERS, np.uint8)
+    for r in merged:
+        out[r.part * each:(r.part + 1) * each] = np.frombuffer(bytes(r.low), np.uint8)
+    return out
+
+
+def _short_links(docs, short, classes, groups, links, threshold):
+    """Links among short sets.  Rarest shingles come first in one order of all;
+    a pair must share one of both sets' first n - ceil(t n) + 1, and from the
+    places of the first such shingle on enough must be left in both.
+
+    Who shares a shingle is compared with the smallest set among them first;
+    then only pairs in different components remain, found by the few distinct
+    (size, place) classes of a shingle before any rows are paired."""
+    if short.limit(2).count() < 2:
         return None
-    total = classes.join(short.select("node"), "node", "left_semi").agg(F.sum("n")).first()[0]
-    met = saved(_met(_entries(docs, max(4, math.ceil(2 * total / BUCKET_ENTRIES)), threshold, short)))
-    comp = groups.select("node", "component")
-    name = lambda s: comp.select(F.col("node").alias(s), F.col("component").alias(f"{s}c"))
-    def apart(p):
-        return (p.join(name("u"), "u", "left").join(name("v"), "v", "left")
-                .where(F.coalesce("uc", "u") != F.coalesce("vc", "v")).select("scheme", "u", "v"))
-    stars = met.where("gid is not null")
-    small = met.where("gid is null").select("scheme", "u", "v").distinct()
-    members = stars.select("scheme", "gid", F.col("v").alias("node")).union(
-        stars.select("scheme", "gid", "u")).distinct().join(comp, "node", "left").select(
-        "scheme", "gid", "node", F.coalesce("component", "node").alias("label"))
-    mixed = members.groupBy("scheme", "gid").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-    members = members.join(mixed.select("scheme", "gid"), ["scheme", "gid"], "left_semi")
-    other = members.select("scheme", "gid", F.col("node").alias("v"), F.col("label").alias("other"))
-    hot = (members.withColumnRenamed("node", "u").join(other, ["scheme", "gid"])
-           .where("u < v and label <> other").select("scheme", "u", "v"))
-    return _links(apart(small).union(hot).distinct(), docs, classes, threshold)
+    docs = docs.where("text is not null")
+    slot, near = likely_in(short, "id")
+    rank = docs.sparkSession.sparkContext.broadcast(_counts(docs, slot, near))
+
+    def rows(batches):
+        for b in batches:
+            sig, node, size, place = [], [], [], []
+            for s in shingle_sets(column(near(b), "text")):
+                if not len(s):
+                    continue
+                times = rank.value[(s >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)]
+                first = np.lexsort((s, times))[:len(s) - -(-threshold * len(s) // 100) + 1]
+                sig.append(s[first].view(np.int64))
+                node.append(np.full(len(first), set_hash(s), np.int64))
+                size.append(np.full(len(first), len(s), np.int64))
+                place.append(np.arange(len(first)))
+            if sig:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sig, node, size, place)],
+                                                 ["sig", "node", "n", "place"])
+
+    probes = docs.select("text", slot).mapInArrow(rows, "sig long, node long, n long, place long").distinct()
+    shared = probes.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.min_by("node", F.struct("n", "node")).alias("hub"))
+    probes = saved(probes.join(shared.where("k > 1").select("sig", "hub"), "sig"))
+    ordered = [F.lit(-1).cast("long").alias("scheme"), F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")]
+    comp = lambda g, s: g.select(F.col("node").alias(s), F.col("component").alias(f"{s}c"))
+    apart = F.coalesce("uc", "u") != F.coalesce("vc", "v")
+    stars = (probes.select(F.col("hub").alias("u"), F.col("node").alias("v")).where("u <> v").distinct()
+             .join(comp(groups, "u"), "u", "left").join(comp(groups, "v"), "v", "left").where(apart))
+    found = _links(stars.select(*ordered).distinct(), docs, classes, threshold)
+    groups = components(links.union(found))
+
+    members = saved(probes.join(groups, "node", "left").select(
+        "sig", "node", "n", "place", F.coalesce("component", "node").alias("label")))
+    kinds = members.groupBy("sig", "n", "place").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = members.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("sig")
+    kinds = saved(kinds.join(mixed, "sig", "left_semi"))
+    more = kinds.select("sig", *[F.col(c).alias(f"{c}2") for c in ("n", "place", "low", "high")])
+    left = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    kinds = (kinds.join(more, "sig")
+             .where((F.struct("n", "place") <= F.struct(F.col("n2").alias("n"), F.col("place2").alias("place")))
+                    & (left * (100 + threshold) >= (F.col("n") + F.col("n2")) * threshold)
+                    & ~((F.col("low") == F.col("high")) & (F.col("low2") == F.col("high2")) & (F.col("low") == F.col("low2"))))
+             .select("sig", "n", "place", "n2", "place2"))
+    kinds = saved(kinds)
+    # a pair is listed once, at the first of the shingles that both probe
+    listed = members.join(kinds.select("sig").distinct(), "sig", "left_semi")
+    bits = _parity_words(docs, classes.join(listed.select("node").distinct(), "node", "left_semi").select("id"))
+    probed = listed.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sig"))),
+                                                    lambda x: x["sig"]).alias("probed"))
+    listed = saved(listed.join(probed.join(bits, "node"), "node"))
+    side = lambda c, s: listed.select(
+        "sig", F.col("n").alias(f"n{c}"), F.col("place").alias(f"place{c}"), F.col("node").alias(s),
+        F.col("label").alias(f"{s}c"), F.col("probed").alias(f"{s}p"), F.col("bits").alias(f"{s}b"))
+    differ = F.aggregate(F.zip_with("ub", "vb", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, x: t + x)
+    pairs = (kinds.join(side("", "u"), ["sig", "n", "place"]).join(side("2", "v"), ["sig", "n2", "place2"])
+             .where((F.col("uc") != F.col("vc"))
+                    & (differ * (100 + threshold) <= (F.col("n") + F.col("n2")) * (100 - threshold)) & (F.get(F.array_intersect("up", "vp"), 0) == F.col("sig"))
+                    & ((F.col("n") < F.col("n2")) | (F.col("place") < F.col("place2")) | (F.col("u") < F.col("v"))))
+             .select(*ordered).distinct())
+    return found.union(_links(pairs, docs, classes, threshold))

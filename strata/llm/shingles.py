@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 21          # bytes of text that are hashed at once
+BLOCK = 1 << 19          # bytes of text that are hashed at once
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from strata.llm.common import column
 
 START = "▁"         # mark that pieces at the start of a word begin with
-CACHE = 500_000          # words that a worker remembers
+CACHE = 300_000          # words that a worker remembers
 _ROOT, _INNER, _NONE = 0, 1, -1
 _UNKNOWN = 1 << 40       # added to a word's count of one if it has no pieces
 _MADE: dict = {}

@@ -15,7 +15,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import SparkSession
 
-CACHE = 600_000          # parts that a worker remembers for certain, at most twice that in all
+CACHE = 250_000          # parts that a worker remembers for certain, at most twice that in all
 # Fixed value: the split pattern for which the shortcuts below hold.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same split for ASCII and Latin-1 letters, which no normalisation changes but for case.

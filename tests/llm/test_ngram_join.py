@@ -88,8 +88,8 @@ def test_pigeonhole_holds_for_pairs_at_the_threshold():
             if 100 * common < 75 * (len(a) + len(b) - common):
                 continue
             k = min(bands.of(len(a)), bands.of(len(b)))
-            x, y = (np.frombuffer(J.segment_bytes(s, k, bands), np.uint8) for s in (a, b))
-            assert np.count_nonzero(x != y) <= bands.difference(len(a), len(b))
+            x, y = (np.frombuffer(J.parities(s, k, bands), np.uint8) for s in (a, b))
+            assert len(x) == len(y) and np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * common
             (wa, da), (wb, db) = (J.neighbourhood_signatures(s, k, bands) for s in (a, b))
             assert set(wa.tolist()) & set(wb.tolist()) or set(wa.tolist()) & set(db.tolist()) \
                 or set(da.tolist()) & set(wb.tolist())
