@@ -25,7 +25,7 @@ def test_statistics_of_known_texts(spark, docs):
     assert all(getattr(rows[0], s) == getattr(rows[1], s) == 0.0 for s in Q.STATISTICS)
     r = rows[2]
     assert (r.longest, r.bars, r.doubled, r.distinct_words, r.distinct_lines) == (3.0, 1 / 6, 1 / 6, 4 / 6, 1.0)
-    assert (r.upper, r.digits, r.symbols) == (2 / 13, 2 / 13, 2 / 13)
+    assert (r.upper, r.digits, r.symbols) == (2 / 14, 2 / 14, 2 / 14)
     assert rows[3].longest == 5000.0 and rows[4].repeats == 0.5 and rows[4].short_words == 1.0
 
 
