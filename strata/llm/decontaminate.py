@@ -163,14 +163,17 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tu
 
 
 def matches(codes: np.ndarray, items: Items) -> list[tuple[int, int, int, int]]:
-    """(item, start, end, edits) of every passage in normalised codes; of
-    overlapping passages of an item the one with fewer edits, then the first."""
+    """(item, start, end, edits) of every passage in normalised codes, each within
+    one document (between two _STOPs or an end); of overlapping passages of an
+    item the one with fewer edits, then the first."""
     h = gram_hashes(codes, items.q)
     if not len(h) or not items.items:
         return []
     flags = items.known[(h >> items.shift).astype(np.int64)]
     total = np.zeros(len(flags) + 1, np.int32)
     np.cumsum(flags, out=total[1:])
+    stops = np.flatnonzero(codes == _STOP)
+    bounds = np.concatenate(([0], stops + 1, [len(codes) + 1]))    # document d: bounds[d] to bounds[d + 1] - 1
     found: dict[int, list] = defaultdict(list)
     for members, width, need in items.classes:
         for a, z in _regions(total, width, need):
@@ -180,13 +183,22 @@ def matches(codes: np.ndarray, items: Items) -> list[tuple[int, int, int, int]]:
             at, slot = at[real], slot[real]
             times = items.times[slot]
             post = np.repeat(items.first[slot], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            owner, diagonal = items.owner[post], np.repeat(at, times) - items.place[post]
+            # hits are counted per item and document, on diagonals within the document
+            doc = np.searchsorted(stops, at)
+            owner = items.owner[post]
+            diagonal = np.repeat(at - bounds[doc], times) - items.place[post]
             mine = members[owner]
-            owner, diagonal = owner[mine], diagonal[mine]
-            for i in np.unique(owner).tolist():
-                if np.count_nonzero(owner == i) < items.need(i):
+            pair, diagonal = (np.repeat(doc, times) * len(items.items) + owner)[mine], diagonal[mine]
+            order = np.lexsort((diagonal, pair))
+            pair, diagonal = pair[order], diagonal[order]
+            pairs, first = np.unique(pair, return_index=True)
+            for x, lo, hi in zip(pairs.tolist(), first.tolist(), [*first[1:].tolist(), len(pair)]):
+                d, i = divmod(x, len(items.items))
+                if hi - lo < items.need(i):
                     continue
-                found[i] += _passages(codes, items, i, np.sort(diagonal[owner == i]))
+                begin = int(bounds[d])
+                passages = _passages(codes[begin:int(bounds[d + 1]) - 1], items, i, diagonal[lo:hi])
+                found[i] += [(edits, start + begin, end + begin) for edits, start, end in passages]
     out = []
     for i, spans in found.items():
         taken: list[tuple[int, int]] = []
@@ -198,8 +210,8 @@ def matches(codes: np.ndarray, items: Items) -> list[tuple[int, int, int, int]]:
 
 
 def _passages(codes, items: Items, i: int, diagonals: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Verified (edits, start, end) of one item; bands of 2 * (k + 1) diagonals,
-    one beginning every k + 1."""
+    """Verified (edits, start, end) of one item in one document's codes; bands of
+    2 * (k + 1) diagonals, one beginning every k + 1."""
     _, item, k = items.items[i]
     step, need = k + 1, items.need(i)
     band = (diagonals // step)
@@ -284,6 +296,5 @@ def _scan_group(group: list[tuple[int, str]], table: Items) -> list[tuple]:
     for i, start, end, edits in matches(norm, table):
         a, z = int(at[start]), int(at[end - 1]) + 1
         row = int(np.searchsorted(begin, a, side="right")) - 1
-        if z <= begin[row + 1]:
-            out.append((group[row][0], i, a - int(begin[row]), z - int(begin[row]), edits))
+        out.append((group[row][0], i, a - int(begin[row]), z - int(begin[row]), edits))
     return out

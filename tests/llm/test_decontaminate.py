@@ -73,6 +73,30 @@ def test_windows_are_never_lost_between_strides_and_groups(monkeypatch, spark, d
     assert {(x.doc_id, x.item_id) for x in contaminated(docs(texts), bench).collect()} == {(k, k % 5) for k in range(40)}
 
 
+def test_passages_cut_at_the_bounds_of_documents(spark, docs):
+    """Documents of one scan group that begin or end with an item without its
+    first or last 1..k characters, and an item dealt over two documents."""
+    item = text_of(40, 3)
+    k = D.edit_budget(len(norm(item)))
+    codes = D.normalise(D.codes_of(item))[0].tolist()
+    least = lambda t: distance(codes, D.normalise(D.codes_of(t))[0].tolist())
+    assert k > 3
+    texts, want = [text_of(30, 1)], {}
+    for cut in range(1, k + 1):
+        for t in (item[cut:] + " " + text_of(25, cut), text_of(25, 99 + cut) + " " + item[:-cut], item[cut:], item[:-cut]):
+            if least(t) <= k:
+                want[len(texts)] = least(t)
+            texts.append(t)
+    assert len(want) > 3 * k
+    texts += [text_of(20, 5) + " " + item[:len(item) // 2], item[len(item) // 2:] + " " + text_of(20, 6)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    together = contaminated(docs(texts).coalesce(1), bench).collect()
+    assert {x.doc_id: x.edits for x in together} == want
+    for x in together:
+        assert 0 <= x.start < x.end <= len(texts[x.doc_id])
+        assert least(texts[x.doc_id][x.start:x.end]) == x.edits
+
+
 def test_align_against_full_table():
     r = random.Random(8)
     for _ in range(200):
