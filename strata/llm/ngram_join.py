@@ -299,7 +299,7 @@ def _met(entries: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- the join
 def shingle_nodes(docs: DataFrame, threshold: int) -> DataFrame:
-    """Per row: id, n, node (hash of its set), band, and the number of segments
+    """Per row: id, key, n, node (hash of its set), band, and the number of segments
     that are not indexed (empty) under the schemes of its band and the one below."""
     bands = Bands(threshold)
     schemes = _Schemes(bands)
@@ -321,11 +321,11 @@ def shingle_nodes(docs: DataFrame, threshold: int) -> DataFrame:
                 gaps.append(empty(s, own) if len(s) else None)
                 low_gaps.append(empty(s, own - 1) if own else None)
             yield pa.RecordBatch.from_arrays(
-                [column(b, "id"), *(pa.array(x, pa.int64()) for x in (n, node, band, gaps, low_gaps))],
-                ["id", "n", "node", "band", "gaps", "low_gaps"])
+                [column(b, "id"), column(b, "key"), *(pa.array(x, pa.int64()) for x in (n, node, band, gaps, low_gaps))],
+                ["id", "key", "n", "node", "band", "gaps", "low_gaps"])
 
-    return docs.select("id", "text").mapInArrow(
-        rows, f"id {dict(docs.dtypes)['id']}, n long, node long, band long, gaps long, low_gaps long")
+    return docs.select("id", "text", "key").mapInArrow(
+        rows, f"id {dict(docs.dtypes)['id']}, key long, n long, node long, band long, gaps long, low_gaps long")
 
 
 def _entries(docs: DataFrame, n_buckets: int, threshold: int) -> DataFrame:
@@ -372,8 +372,8 @@ def _batch(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
 
 
 def _parities(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
-    """(node, own, low): parities of at least the wanted ids."""
-    bands, (slot, near) = Bands(threshold), likely_in(wanted, "id")
+    """(node, own, low): parities of at least the wanted keys."""
+    bands, (slot, near) = Bands(threshold), likely_in(wanted, "key")
 
     def rows(batches):
         for b in batches:
@@ -390,9 +390,9 @@ def _parities(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
 
 
 def _parity_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, bits): 1024 parities as 16 longs, of at least the wanted ids; for
+    """(node, bits): 1024 parities as 16 longs, of at least the wanted keys; for
     conditions of joins among small sets."""
-    slot, near = likely_in(wanted, "id")
+    slot, near = likely_in(wanted, "key")
 
     def rows(batches):
         for b in batches:
@@ -405,8 +405,8 @@ def _parity_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, items): whole shingle sets of at least the wanted ids."""
-    slot, near = likely_in(wanted, "id")
+    """(node, items): whole shingle sets of at least the wanted keys."""
+    slot, near = likely_in(wanted, "key")
 
     def rows(batches):
         for b in batches:
@@ -428,7 +428,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int
             for n, m, x, y in zip(*(column(b, c).to_pylist() for c in ("un", "vn", "ubytes", "vbytes"))):
                 p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
                 keep.append(len(p) == len(q) and int(np.bitwise_count(p ^ q).sum()) <= bands.difference(n, m))
-            yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v", "uid", "vid"])
+            yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v", "ukey", "vkey"])
 
     def linked(batches):
         for b in batches:
@@ -442,20 +442,19 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int
                 keep.append(100 * common >= threshold * (len(p) + len(q) - common))
             yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
 
-    kind = dict(classes.dtypes)["id"]
-    side = lambda s: classes.select(F.col("node").alias(s), *[F.col(c).alias(s + c) for c in ("id", "n", "band")])
+    side = lambda s: classes.select(F.col("node").alias(s), *[F.col(c).alias(s + c) for c in ("key", "n", "band")])
     pairs = saved(pairs.join(side("u"), "u").join(side("v"), "v")
                   .where(((F.least("uband", "vband") == F.col("scheme")) | (F.col("scheme") < 0))
                          & (F.least("un", "vn") * 100 >= F.greatest("un", "vn") * threshold))
                   .withColumn("scheme", F.least("uband", "vband")))
-    ids = lambda p: p.select(F.col("uid").alias("id")).union(p.select("vid"))
-    held = saved(_parities(docs, ids(pairs), threshold))
+    keys = lambda p: p.select(F.col("ukey").alias("key")).union(p.select("vkey"))
+    held = saved(_parities(docs, keys(pairs), threshold))
     part = lambda s: held.select(F.col("node").alias(s), F.col("own").alias(f"{s}own"), F.col("low").alias(f"{s}low"))
     which = lambda s: F.when(F.col(f"{s}band") == F.col("scheme"), F.col(f"{s}own")).otherwise(F.col(f"{s}low"))
     likely = saved(pairs.join(part("u"), "u").join(part("v"), "v")
-                   .select("u", "v", "uid", "vid", "un", "vn", which("u").alias("ubytes"), which("v").alias("vbytes"))
-                   .mapInArrow(possible, f"u long, v long, uid {kind}, vid {kind}"))
-    sets = saved(_sets(docs, ids(likely)))
+                   .select("u", "v", "ukey", "vkey", "un", "vn", which("u").alias("ubytes"), which("v").alias("vbytes"))
+                   .mapInArrow(possible, "u long, v long, ukey long, vkey long"))
+    sets = saved(_sets(docs, keys(likely)))
     return saved(likely.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u")
                  .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
                  .select("u", "v", "a", "b").mapInArrow(linked, "u long, v long"))
@@ -473,10 +472,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     bands = Bands(threshold)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    # names a class's text before it is shingled: never null, unlike its id
+    docs = docs.withColumn("key", F.xxhash64("id", "text"))
     nodes = saved(shingle_nodes(docs, threshold))
     rest = ["n", "band", "gaps", "low_gaps"]
     classes = saved(nodes.where("n > 0").groupBy("node").agg(
-        F.min("id").alias("id"), *[F.first(c).alias(c) for c in rest]))
+        F.min("id").alias("id"), F.min("key").alias("key"), *[F.first(c).alias(c) for c in rest]))
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_buckets = max(4, math.ceil(total / BUCKET_ENTRIES))
     met = saved(_met(_entries(docs, n_buckets, threshold)))
@@ -525,9 +526,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     worst = F.floor((F.col("n") + largest) * (100 - threshold) / (100 + threshold))
     spare = F.when(of_band(by_neighbour), of_band(wide) - F.floor(worst / 2)).otherwise(of_band(segments) - worst)
     short = saved(room.join(open_hot, ["scheme", "node"], "left").join(hot, ["scheme", "node"], "left")
-                  .join(classes.select("node", "id", "n", "band"), "node")
+                  .join(classes.select("node", "key", "n", "band"), "node")
                   .where(spare <= F.col("lost") - F.coalesce("hot", F.lit(0)) + F.coalesce("open", F.lit(0)))
-                  .select("node", "id").distinct())
+                  .select("node", "key").distinct())
     extra = _short_links(docs, short, classes, groups, links, threshold)
     if extra is not None:
         groups = components(links.union(extra))
@@ -585,7 +586,7 @@ def _short_links(docs, short, classes, groups, links, threshold):
     if short.limit(2).count() < 2:
         return None
     docs = docs.where("text is not null")
-    slot, near = likely_in(short, "id")
+    slot, near = likely_in(short, "key")
     rank = docs.sparkSession.sparkContext.broadcast(_counts(docs, slot, near))
 
     def rows(batches):
@@ -630,7 +631,7 @@ def _short_links(docs, short, classes, groups, links, threshold):
     kinds = saved(kinds)
     # a pair is listed once, at the first of the shingles that both probe
     listed = members.join(kinds.select("sig").distinct(), "sig", "left_semi")
-    bits = _parity_words(docs, classes.join(listed.select("node").distinct(), "node", "left_semi").select("id"))
+    bits = _parity_words(docs, classes.join(listed.select("node").distinct(), "node", "left_semi").select("key"))
     probed = listed.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sig"))),
                                                     lambda x: x["sig"]).alias("probed"))
     listed = saved(listed.join(probed.join(bits, "node"), "node"))

@@ -141,3 +141,27 @@ def test_empty_table_extra_columns_and_null_ids(spark, docs):
                                "doc_id long, text string, n long, node long, id string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df).collect()), key=str)
     assert got == sorted([(3, 2, 2), (None, 2, 2), (None, 0, None), (2, 2, 2), (2, 2, 2)], key=str)
+
+
+def test_null_ids_link_and_bridge(docs):
+    """Null ids with sets of their own: near copies of one document, and the only
+    link between two; long texts, and short ones that probe single shingles."""
+    rows = []
+    for k, n in enumerate((200, 60, 12, 9)):
+        base = [f"g{k}w{i}" for i in range(n)]
+        # a chain: neighbours link, its ends do not
+        step = max(1, n // 12)
+        chain = [base[step * j:] + [f"g{k}x{i}" for i in range(step * j)] for j in range(3)]
+        near, alone = [f"g{k}n{i}" for i in range(n)], [f"g{k}a{i}" for i in range(n)]
+        rows += [(10 * k + 2, chain[0]), (None, chain[1]), (10 * k + 1, chain[2]),
+                 (10 * k + 5, near), (None, near[1:]), (None, alone), (None, alone[1:])]
+    texts = [" ".join(t) for _, t in rows]
+    numbered, _ = brute(list(enumerate(texts)))
+    least = {}
+    for j, (i, _) in enumerate(rows):
+        if i is not None:
+            least[numbered[j]] = min(i, least.get(numbered[j], i))
+    want = sorted(((i, len(shingles(t)), least.get(numbered[j])) for j, ((i, _), t) in enumerate(zip(rows, texts))), key=str)
+    assert sum(c is not None and i is None for i, _, c in want) >= 6 and any(i == 2 and c == 1 for i, _, c in want)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(docs(texts, [i for i, _ in rows])).collect()]
+    assert sorted(got, key=str) == want
