@@ -28,20 +28,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored(docs, _table(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
 
 
+KEY = "__key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows named by id (null last) and text, never null: decisions depend on no
+    more, so rows that share a key share a decision, whatever their ids."""
+    return docs.withColumn(KEY, F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id",
+                                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")))
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the smallest doc_id.
-    Documents without an id stay: no decision can name them."""
+    """One document of each near-duplicate group stays: the smallest doc_id (null
+    last), then text digest.  Documents without words are in no group and stay."""
     prepare(spark)
-    first = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    wordless = F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    first = near_duplicates(_keyed(docs), KEY).where(F.col(KEY) == F.col("component_id")).select(KEY).distinct()
+    kept = _keyed(docs.where(~wordless)).dropDuplicates([KEY]).join(first, KEY, "left_semi").select(*docs.columns)
+    return kept.unionByName(docs.where(wordless))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     prepare(spark)
-    held = contaminated(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
+    held = contaminated(_keyed(docs), _table(spark, sf_dir, "benchmark"), KEY).select(KEY).distinct()
+    return _keyed(docs).join(held, KEY, "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,6 +52,26 @@ def test_every_stage_takes_effect(spark, docs, tmp_path):
     assert sum(p.length for p in whole) == sum(p.length for p in pieces)
 
 
+def test_null_and_repeated_ids(spark, docs, tmp_path):
+    """Copies, near copies and benchmark passages among rows whose ids are null or repeated."""
+    texts, bench, *_ = corpus()
+    t, leak = texts, lambda k: texts[k] + " " + bench[k % 4] + " end"
+    near = " ".join([*t[0].split()[:-1], "changed"])
+    spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(5, t[0]), (None, t[0]), (None, near),                   # an id before null ones
+            (None, t[1]), (None, t[1]), (None, t[1]),                # copies without ids: one stays
+            (7, t[2]), (7, t[3]), (7, t[3]),                         # an id with two texts: both stay
+            (None, ""), (None, ""), (None, None), (8, " "), (8, " "),    # without words: all stay
+            (None, leak(20)), (None, t[4]), (9, leak(21)), (9, t[5])]
+    table = docs([x for _, x in rows], [i for i, _ in rows])
+    plain = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    once = [rows[k] for k in (0, 3, 6, 7, 9, 10, 11, 12, 13, 14, 15, 16, 17)]
+    kept = corpus_pipeline.deduplicate(spark, table, str(tmp_path))
+    assert kept.columns == table.columns and plain(kept) == sorted(once, key=str)
+    clean = corpus_pipeline.decontaminate(spark, table, str(tmp_path))
+    assert clean.columns == table.columns and plain(clean) == sorted(rows[:14] + [rows[15], rows[17]], key=str)
+
+
 def test_stages_take_empty_tables(spark, docs, tmp_path):
     docs([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
