@@ -15,7 +15,9 @@ from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
 from strata.llm.packing import pack
 from strata.llm.quality import scored
+from strata.llm.ranked_search import search
 from strata.llm.sharding import uniform_shards
+from strata.llm.suffix_tree import suffix_tree_scores
 from strata.llm.token_counts import count_tokens, sentencepiece_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +141,33 @@ def op6(spark, sf_dir):
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
         "edited_fingerprint", "near_edited", "near_next",
         "length_partition")
+
+
+@query("op11_suffix_tree")
+def op11(spark, sf_dir):
+    """Word-level log10 probabilities of every document: doc_id, held_out,
+    n_tokens, n_known, train_tokens, base_score, score."""
+    return suffix_tree_scores(documents(spark, sf_dir))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query("op12_ranked_search", f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+    s AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0),
+    q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+    p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d)
+          WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+    w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+          FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+    m AS (SELECT r, doc_id, 100 - 50 + (50 * len(ts) * n_docs) // total AS m FROM d, s WHERE len(ts) > 0),
+    f AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+          FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id)
+    SELECT item_id, rank::INT AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM f WHERE score > 0)
+    WHERE rank <= 50""")
+def op12(spark, sf_dir):
+    """The 50 best documents of every benchmark item: item_id, rank, doc_id, score."""
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
