@@ -14,6 +14,7 @@ from strata.llm.common import documents, null_as_empty
 from strata.llm.decontaminate import contaminated
 from strata.llm.ngram_join import near_duplicates
 from strata.llm.packing import pack
+from strata.llm.prefix_trie import prefix_trie
 from strata.llm.quality import scored
 from strata.llm.ranked_search import search
 from strata.llm.sharding import uniform_shards
@@ -171,3 +172,37 @@ _TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
 def op12(spark, sf_dir):
     """The 50 best documents of every benchmark item: item_id, rank, doc_id, score."""
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+# crc32 bit by bit: DuckDB has no function for it; 3988292384 is its polynomial
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                                          lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+
+@query("op13_prefix_trie", f"""
+    WITH own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+                        [coalesce(role, ''), coalesce(text, '')] AS t
+                 FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+    turns AS (SELECT c.conv_id, pos - 4 AS pos, t FROM c JOIN own ON own.conv_id = c.base WHERE pos < h
+              UNION ALL SELECT conv_id, pos, t FROM c JOIN own USING (conv_id) WHERE pos >= h),
+    seqs AS (SELECT c.conv_id, coalesce(l, []) AS l FROM c LEFT JOIN
+             (SELECT conv_id, list(t ORDER BY pos) AS l FROM turns GROUP BY conv_id) USING (conv_id)),
+    m AS (SELECT conv_id, d, l[1:d] AS node, len(l) = d AS ends FROM (SELECT *, unnest(range(len(l) + 1)) AS d FROM seqs)),
+    nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                     (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(node[d][2], '[^\x20\x09-\x0D]+')) END AS kept,
+                     sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+              FROM m GROUP BY node, d),
+    kids AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+    below AS (SELECT a.node, sum(n.kept)::BIGINT AS saved_tokens, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves
+              FROM (SELECT DISTINCT x.node, y.node AS deeper FROM m x JOIN m y ON x.conv_id = y.conv_id AND y.d >= x.d) a
+              JOIN nodes n ON n.node = a.deeper LEFT JOIN kids k ON k.node = a.deeper GROUP BY a.node)
+    SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+           b.n_leaves, b.saved_tokens, n.ends_sha256
+    FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN kids k ON k.node = n.node
+    LEFT JOIN nodes p ON n.d > 0 AND p.node = n.node[1:n.d - 1]""")
+def op13(spark, sf_dir):
+    """The trie of rebuilt conversations: conv_id, depth, parent_conv_id, n_convs,
+    n_children, n_leaves, saved_tokens, ends_sha256."""
+    return prefix_trie(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
