@@ -87,6 +87,10 @@ def _rows_of_words(texts: pa.Array) -> Iterator[np.ndarray]:
         i = j
 
 
+def _by_frequency(times: np.ndarray) -> np.ndarray:
+    return np.argsort(-times.astype(np.int64), kind="stable")
+
+
 def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     """docs (id, held, text) as blocks of pieces; a piece of a longer text starts
     with the DEPTH words before it, which it does not count (``carry``)."""
@@ -95,7 +99,9 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
         def block():
             t = np.concatenate([p[2] for p in pieces])
-            words, number = np.unique(t, return_inverse=True)
+            words, number, times = np.unique(t, return_inverse=True, return_counts=True)
+            # frequent words get small numbers, which cost fewer bytes
+            number = np.argsort(_by_frequency(times))[number]
             real = [len(p[2]) - p[3] for p in pieces]
             return pa.RecordBatch.from_pylist([{
                 "block": task << 32 | made, "n": sum(real), "train": sum(n for n, p in zip(real, pieces) if not p[1]),
@@ -103,13 +109,13 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
                 "held": np.array([p[1] for p in pieces], np.uint8).tobytes(),
                 "sizes": np.array([len(p[2]) for p in pieces], np.int64).tobytes(),
                 "carry": np.array([p[3] for p in pieces], np.uint8).tobytes(),
-                "words": _squeeze_sorted(words), "numbers": _squeeze(number.astype(np.uint32))}], schema)
+                "words": _squeeze_sorted(words), "times": _squeeze(times.astype(np.uint32)), "numbers": _squeeze(number.astype(np.uint32))}], schema)
 
         for b in batches:
             ids, held = column(b, "id").to_pylist(), column(b, "held").to_pylist()
             schema = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("train", pa.int64()),
                                 ("rows", pa.list_(pa.int64())), ("ids", pa.list_(b.schema.field("id").type)),
-                                *((c, pa.binary()) for c in ("held", "sizes", "carry", "words", "numbers"))])
+                                *((c, pa.binary()) for c in ("held", "sizes", "carry", "words", "times", "numbers"))])
             for i, w in enumerate(_rows_of_words(column(b, "text"))):
                 w = np.append(w, END)
                 for a in range(0, len(w), block_tokens):
@@ -125,7 +131,7 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
             yield block()
 
     return docs.mapInArrow(rows, f"block long, n long, train long, rows array<long>, ids array<{dict(docs.dtypes)['id']}>, "
-                                 "held binary, sizes binary, carry binary, words binary, numbers binary")
+                                 "held binary, sizes binary, carry binary, words binary, times binary, numbers binary")
 
 
 class _Block:
@@ -135,11 +141,12 @@ class _Block:
         get = lambda c: column(table, c)[0].as_py()
         self.block, self.rows, self.ids = get("block"), column(table, "rows").flatten(), column(table, "ids").flatten()
         self.words = _spread_sorted(get("words"))
-        self.number = _spread(get("numbers"), np.uint32).astype(np.int64)
+        at = _by_frequency(_spread(get("times"), np.uint32)).astype(np.int32)
+        self.number = at[_spread(get("numbers"), np.uint32)]
         self.held = np.frombuffer(get("held"), np.uint8).astype(bool)
         sizes, carry = np.frombuffer(get("sizes"), np.int64), np.frombuffer(get("carry"), np.uint8).astype(np.int64)
         self.starts = np.cumsum(sizes) - sizes
-        self.place = np.arange(len(self.number)) - np.repeat(self.starts, sizes)
+        self.place = (np.arange(len(self.number)) - np.repeat(self.starts, sizes)).astype(np.int32)
         self.real = self.place >= np.repeat(carry, sizes)
         self.train = self.real & ~np.repeat(self.held, sizes)
         t = self.words[self.number]
@@ -150,11 +157,12 @@ class _Block:
             run = np.concatenate((t[:k], mix64(run[k - 1:-1] * _M + t[k:])))
             at = np.flatnonzero(self.place >= k)
             keys, first, inverse = np.unique(run[at], return_index=True, return_inverse=True)
-            of = np.full(len(t), -1, np.int64)
+            of = np.full(len(t), -1, np.int32)
             of[at] = inverse
+            del inverse
             self.keys.append(keys)
             self.of.append(of)
-            self.first.append(at[first])
+            self.first.append(at[first].astype(np.int32))
 
     def counts(self, k: int) -> np.ndarray:
         at = self.of[k][self.train & (self.place >= k)]
@@ -232,7 +240,9 @@ def _divergence(c, n, p) -> np.ndarray:
 
 
 def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(at, values[:, i], n) for i in range(values.shape[1])], 1).astype(np.float32)
+    sums = np.stack([np.bincount(at, values[:, i], n) for i in range(values.shape[1])], 1).astype(np.float32)
+    # 16 significant bits are enough to choose a weight; the last byte plane is zero
+    return (sums.view(np.uint32) & np.uint32(0xFFFFFF00)).view(np.float32)
 
 
 def _mixed(c, n, choice, p) -> np.ndarray:
@@ -260,12 +270,19 @@ class _Known(_Block):
         found, owns = self.heard.get(k, (np.empty(0), np.empty(0, bool)))
         return found, owns
 
-    def chosen(self, k: int, keys: int) -> np.ndarray:
-        """Weight numbers of all contexts of k words; 0: cut."""
-        out = np.zeros(keys, np.int64)
-        if 3 + k in self.heard:
-            out[self.frequent(k)] = self.heard[3 + k][0]
-        return out
+    def one_word(self):
+        """Weight numbers of all words as contexts (0: cut); for each distinct pair
+        that of its first word, and P of the second word behind the first."""
+        at = self.first[1]
+        v, x = self.number[at - 1], self.number[at]
+        kept = np.zeros(len(self.words), np.uint8)
+        if 4 in self.heard:
+            kept[self.frequent(1)] = self.heard[4][0]
+        return kept, kept[v], _mixed(self.c[1], self.c[0][v], kept[v], self.p0[x])
+
+    def pairs(self, kept: np.ndarray) -> np.ndarray:
+        """Numbers of the pairs that can be contexts: frequent, their last word kept."""
+        return np.flatnonzero((self.c[1] >= self.min) & (kept[self.number[self.first[1]]] > 0))
 
     def behind(self) -> np.ndarray:
         """Numbers of the triples behind a frequent pair: those that are asked for."""
@@ -322,33 +339,28 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     second = saved(_answers(_cogrouped(blocks, first, grow, ASK_SCHEMA)))
     known = first.unionByName(second)
 
-    def one_word(own):
-        """P of each distinct pair's second word behind its first, where that is kept."""
-        at = own.first[1]
-        v, x = own.number[at - 1], own.number[at]
-        kept = own.chosen(1, len(own.words))[v]
-        return kept, _mixed(own.c[1], own.c[0][v], kept, own.p0[x])
-
     def grow_again(left, right):
         """Divergences of two-word contexts whose suffix is kept."""
         own = _Known(left, right, total, distinct, min_count)
         triples, (found, owns) = own.behind(), own.owned(2)
-        kept, p = one_word(own)
+        words, kept, p = own.one_word()
         use = np.flatnonzero(owns & (found > 0)) if len(triples) else np.empty(0, np.int64)
         at = own.first[2][triples[use]]
         context, pair = own.of[1][at - 1], own.of[1][at]
         keep = kept[pair] > 0
         context, pair, c = context[keep], pair[keep], found[use[keep]]
         sums = _sums(context, _divergence(c, own.c[1][context], p[pair]), len(own.keys[1]))
-        often = own.frequent(2)
+        often = own.pairs(words)
         return pa.Table.from_pylist([*_ask(own.block, 5, own.keys[1][often], sums[often], n_buckets)], ASK)
 
     third = _answers(_cogrouped(blocks, known, grow_again, ASK_SCHEMA))
 
     def score(left, right):
         own = _Known(left, right, total, distinct, min_count)
-        kept, p = one_word(own)
-        two = own.chosen(2, len(own.keys[1]))
+        words, kept, p = own.one_word()
+        two = np.zeros(len(own.keys[1]), np.uint8)
+        if 5 in own.heard:
+            two[own.pairs(words)] = own.heard[5][0]
         value = own.p0[own.number]
         base = np.log10(value)
         has = own.place >= 1
@@ -358,7 +370,7 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             at = own.first[2][triples]
             context, pair = own.of[1][at - 1], own.of[1][at]
             better = np.full(len(own.keys[2]), -1.0)
-            better[triples] = np.where((two[context] > 0) & (kept[pair] > 0), _mixed(
+            better[triples] = np.where(two[context] > 0, _mixed(
                 found.astype(np.float64), own.c[1][context], two[context], p[pair]), -1.0)
             deep = np.flatnonzero(own.place >= 2)
             own_p = better[own.of[2][deep]]
