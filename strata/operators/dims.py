@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType
 
 from strata.functions.columns import QUALITY_TIERS, SCORING_TIERS, tier
+from strata.operators.sample import key_hash
 
 Classify = Callable[[Column], Column]
 
@@ -139,3 +140,43 @@ def actor_history(films: DataFrame, end_year: int, with_films: bool = True) -> D
                               stats=stats, static=["actor"],
                               classify=quality_class, class_name="quality_class",
                               history_name="film_years")
+
+
+# ------------------------------------------------------- films in chunks
+
+
+def film_chunks(films: DataFrame, size: int = 1000, key: str = "actorid", year: str = "year") -> DataFrame:
+    """D3/A14 in rows of bounded size: (key, year, chunk) with about ``size`` films.
+
+    An entity-year of n films has ceil(n / size) chunks, and a film goes to one by
+    the hash of its id, so no task sees all films of a hot entity-year.  The counts
+    are joined by (key, year, part): each count is repeated for 16 parts of the
+    films, which keeps a hot entity-year's films apart there too."""
+    parts, h = 16, key_hash(["filmid"])
+    counts = films.groupBy(key, year).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    x = films.withColumn("_part", F.pmod(F.xxhash64("filmid"), F.lit(parts)).cast("int")).join(counts, [key, year, "_part"])
+    chunk = (h % F.ceil(F.col("_n") / size)).cast("int")
+    return (x.groupBy(key, year, chunk.alias("chunk"))
+             .agg(F.array_sort(F.collect_list(F.struct("film", "votes", "rating", "filmid"))).alias("films")))
+
+
+def actor_references(films: DataFrame, end_year: int, size: int = 1000) -> DataFrame:
+    """D4 over chunks: as ``actor_history``, but a year of the history holds its
+    sums and the number of its chunks; ``film_chunks`` has the films."""
+    yearly = (films.groupBy("actorid", "year")
+                   .agg(F.max("actor").alias("actor"), F.sum(_rating_c()).alias("rating_c_sum"),
+                        F.count(F.lit(1)).alias("num_films"))
+                   .withColumn("num_chunks", F.ceil(F.col("num_films") / size).cast("bigint")))
+    return cumulative_history(yearly, "actorid", "year", end_year, stats=["rating_c_sum", "num_films", "num_chunks"],
+                              static=["actor"], classify=quality_class, class_name="quality_class",
+                              history_name="film_years")
+
+
+def films_so_far(history: DataFrame, chunks: DataFrame, period: str = "current_year") -> DataFrame:
+    """The chunks that rows of ``actor_references`` refer to: (actorid, period,
+    year, chunk, films)."""
+    refs = history.select("actorid", period, F.explode("film_years").alias("_y"))
+    refs = refs.select("actorid", period, F.col("_y.year").alias("year"),
+                       F.explode(F.sequence(F.lit(0), (F.col("_y.num_chunks") - 1).cast("int"))).alias("chunk"))
+    return refs.join(chunks, ["actorid", "year", "chunk"])

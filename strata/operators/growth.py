@@ -148,6 +148,24 @@ def growth_accounting_history(events: DataFrame, end_ds, user="user_id",
         "date")
 
 
+def growth_accounting_snapshot(events: DataFrame, ds, user="user_id", ts="event_time") -> DataFrame:
+    """D25, the snapshot of one day with its date lists (GA_COLS), from the events
+    up to that day: what the daily steps arrive at, without the days between.
+    A list holds a user's distinct active days, so it is bounded by the calendar."""
+    day = as_date(ds)
+    act = active_days(events.where(F.col(ts) < F.date_add(day, 1).cast("timestamp_ntz")), user, ts)
+    x = act.groupBy("user_id").agg(
+        F.min("day").alias("first_active_date"), F.max("day").alias("last_active_date"),
+        F.max(F.when(F.col("day") < day, F.col("day"))).alias("_y_last"),
+        F.array_sort(F.collect_list("day")).alias("dates_active"))
+    known = F.col("_y_last").isNotNull()
+    today = F.when(F.col("last_active_date") == day, day)
+    return x.select("user_id", "first_active_date", "last_active_date",
+                    _daily_state(known, F.col("_y_last"), F.date_sub(day, 1), today).alias("daily_active_state"),
+                    _weekly_state(known, F.col("_y_last"), F.date_sub(day, 1), today).alias("weekly_active_state"),
+                    "dates_active", day.alias("date"))
+
+
 # ----------------------------------------------------------- D26 retention
 
 

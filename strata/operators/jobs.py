@@ -54,7 +54,7 @@ def player_ranking(details: DataFrame, min_games: int = 5) -> DataFrame:
                      F.count(F.lit(1)).alias("games_played"))
                 .where(F.col("games_played") >= min_games))
     g = g.withColumn("skill_tier", tier("avg_kills", SKILL_TIERS, "Beginner"))
-    return global_rank(g, [F.desc("avg_kills")], name="kill_rank")
+    return global_rank(g, [("avg_kills", "desc")], name="kill_rank")
 
 
 def user_activity_monthly(events: DataFrame, homepage: str = "/") -> DataFrame:
@@ -85,6 +85,13 @@ def users_and_devices(agg: DataFrame, users: DataFrame) -> DataFrame:
                       F.array_sort(F.collect_list("device_id")).alias("devices")))
 
 
+def user_device_rows(agg: DataFrame) -> DataFrame:
+    """D40a in rows: per (user, device) its events, the user's largest event count
+    and number of devices; nothing is collected per user."""
+    users = agg.groupBy("user_id").agg(F.max("event_counts").alias("total_hits"), F.count(F.lit(1)).alias("num_devices"))
+    return agg.select("user_id", "device_id", "event_counts").join(users, "user_id")
+
+
 def devices_on_events(agg: DataFrame, devices: DataFrame) -> DataFrame:
     """Per device, its users with the hosts they visited.  One device can
     be shared by a very large share of users, so the users are returned as

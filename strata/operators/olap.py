@@ -332,6 +332,11 @@ def _rolling3_mean_of_means(w) -> Column:
     return round_ratio(num, den, 0) / 100.0
 
 
+# The trend labels.
+ACTIVITY_TRENDS = ("↗ More Active", "→ Same Activity", "↘ Less Active")
+QUALITY_TRENDS = ("↗ Much Better", "↗ Better", "→ Similar", "↘ Worse")
+
+
 def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
                   top_share: float = 0.8) -> DataFrame:
     """Per entity-year count and average, year-over-year change,
@@ -357,10 +362,11 @@ def yearly_trends(films: DataFrame, key: str = "actorid", k: int = 25,
         "rolling_3yr_avg_rating",
         round_ratio("_r3n_s", "_r3n_k", 1).alias("rolling_3yr_avg_films_per_year"))
     y = percent_ranks_integral(y, "year", ["_avg_c", "films_that_year"], ["_pr", "_pp"])
-    activity = (F.when(F.col("_dn") > 0, "More Active").when(F.col("_dn") < 0, "Less Active")
-                 .otherwise("Same Activity"))
-    quality = (F.when(F.col("_dr") >= 50, "Much Better").when(F.col("_dr") > 0, "Better")
-                .when(F.col("_dr") >= -50, "Similar").otherwise("Worse"))
+    more, equal, less = ACTIVITY_TRENDS
+    activity = F.when(F.col("_dn") > 0, more).when(F.col("_dn") < 0, less).otherwise(equal)
+    much, better, similar, worse = QUALITY_TRENDS
+    quality = (F.when(F.col("_dr") >= 50, much).when(F.col("_dr") > 0, better)
+                .when(F.col("_dr") >= -50, similar).otherwise(worse))
     pct = lambda p: F.when(F.col(p + "_n") <= 1, F.lit(0.0)).otherwise(
         round_ratio(F.col(p + "_less") * 100, F.col(p + "_n") - 1, 1))
     out = y.where((F.col("_pr") >= top_share) | (F.col("_pp") >= top_share)).select(

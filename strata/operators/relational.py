@@ -2,7 +2,8 @@
 
 Thin, parameterised wrappers over the DataFrame API.  They exist so that the
 pattern operators state intent (``dedupe`` with a mandatory total order, a
-broadcast only behind a size check, a union by name) in one place.
+broadcast only behind a measured size, a union by name) in one place.  Scans in
+order (sequences, ranks) are in ``ordered``.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.columns import col_
-from strata.session import ensure_checkpoint_dir
+from strata.operators.ordered import keyed_sequence, ranks as global_rank  # noqa: F401
 
 
 def _cols(cs) -> list[Column]:
@@ -67,6 +68,22 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     return left.join(right, on, how)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as text, by one aggregate: what a broadcast would hold,
+    up to a small factor."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return df.agg(F.coalesce(F.sum(F.octet_length(row)), F.lit(0))).first()[0] if df.columns else 0
+
+
+def sized_join(left: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = 64 << 20) -> DataFrame:
+    """An explicit broadcast of ``small`` if its measured bytes are within the
+    budget, else a sort-merge join; the rows are the same.  ``small`` should be
+    projected to what the join needs; measuring reads it once."""
+    if measured_bytes(small) <= max_bytes:
+        return left.join(F.broadcast(small), on, how)
+    return left.hint("merge").join(small.hint("merge"), on, how)
+
+
 def union_all(*dfs: DataFrame, label: str | None = None,
               labels: Sequence[str] | None = None) -> DataFrame:
     """UNION ALL by column name, optionally tagging each branch."""
@@ -84,68 +101,6 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """``RANK() OVER (ORDER BY ...)`` over a large table without pulling
-    every row into one task.
-
-    The table is range-partitioned and sorted by the order keys (equal keys
-    always land in the same range partition), checkpointed so both uses below
-    read identical partitions, ranked inside each partition, and shifted by
-    the number of rows in all earlier partitions (a table of one row per
-    partition).  Uses the shared checkpoint folder of the session.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    s = df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
-    s = s.checkpoint(eager=True)
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offs = counts.select("_pid", (F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    local = F.rank().over(Window.partitionBy("_pid").orderBy(*order))
-    out = s.withColumn("_local", local).join(F.broadcast(offs), "_pid")
-    return out.withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("int")) \
-              .drop("_pid", "_local", "_off")
-
-
-def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                   name: str = "seq", running: str | Sequence[str] | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` -- and
-    optionally a running ``SUM(running)`` in the same order -- without
-    putting all rows of one key into one task.
-
-    The rows are range-partitioned and sorted by (keys, order), so the rows of
-    a hot key are spread over several consecutive range partitions.  Each
-    partition numbers (and sums) its own rows per key; a small table of
-    per-(partition, key) counts and sums gives every partition the totals of
-    the same key in earlier partitions, which are added as offsets.  The sorted
-    table is checkpointed (shared checkpoint folder) so both uses read the
-    same partitions.  Output: the input columns plus ``name`` (1-based) and
-    ``<running>_cum``.
-    """
-    keys = list(keys)
-    ensure_checkpoint_dir(df.sparkSession)
-    s = (df.orderBy(*[F.col(k) for k in keys], *order)
-           .withColumn("_pid", F.spark_partition_id())
-           .checkpoint(eager=True))
-    runs = [running] if isinstance(running, str) else list(running or [])
-    w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
-    upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = s.withColumn("_lrn", F.row_number().over(w_local))
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    for i, r in enumerate(runs):
-        local = local.withColumn(f"_lsum{i}", F.sum(r).over(upto))
-        aggs.append(F.sum(r).alias(f"_tot{i}"))
-    per = s.groupBy("_pid", *keys).agg(*aggs)
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per.select("_pid", *keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-                      *[F.coalesce(F.sum(f"_tot{i}").over(before), F.lit(0)).alias(f"_soff{i}")
-                        for i in range(len(runs))])
-    out = local.join(offs, ["_pid", *keys]).withColumn(name, F.col("_off") + F.col("_lrn"))
-    for i, r in enumerate(runs):
-        out = out.withColumn(f"{r}_cum", F.col(f"_soff{i}") + F.col(f"_lsum{i}"))
-    return out.drop("_pid", "_lrn", "_off", *[f"_lsum{i}" for i in range(len(runs))],
-                    *[f"_soff{i}" for i in range(len(runs))])
-
-
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Aggregate once, use several times, release.  MEMORY_AND_DISK so a

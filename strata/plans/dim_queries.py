@@ -71,23 +71,21 @@ def d01_cumulate_dimension(t):
     return _player_out(step)
 
 
-_STREAK_SQL = _PLAYERS_SQL.format(end=LAST_SEASON_SQL) + """,
-started AS (
-  SELECT player_name, current_season, scoring_class, is_active,
-         CASE WHEN LAG({cols_first}) OVER w IS NULL {changed} THEN 1 ELSE 0 END AS did_change
-  FROM players WINDOW w AS (PARTITION BY player_name ORDER BY current_season)),
-ident AS (
-  SELECT *, SUM(did_change) OVER (PARTITION BY player_name ORDER BY current_season
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
-  FROM started)
+def _streaks_sql(*cols: str) -> str:
+    """Seasons without an equal neighbour before them begin a streak, those without
+    one after them end it; a streak ends at the first end from its begin on."""
+    equal = " AND ".join(f"q.{c} = p.{c}" for c in cols)
+    side = lambda step: (f"SELECT player_name, current_season, {', '.join(cols)} FROM players p WHERE NOT EXISTS "
+                         f"(FROM players q WHERE q.player_name = p.player_name AND q.current_season = p.current_season {step} AND {equal})")
+    return _PLAYERS_SQL.format(end=LAST_SEASON_SQL) + f""",
+begins AS ({side("- 1")}), ends AS ({side("+ 1")}),
+streaks AS (SELECT b.*, (SELECT MIN(e.current_season) FROM ends e WHERE e.player_name = b.player_name
+                         AND e.current_season >= b.current_season) AS until FROM begins b)
 """
 
 
-@query("d05_scd2_streaks", oracle=_STREAK_SQL.format(
-    cols_first="scoring_class", changed="OR LAG(scoring_class) OVER w <> scoring_class") + """
-SELECT player_name, scoring_class, MIN(current_season) AS start_date,
-       MAX(current_season) AS end_date
-FROM ident GROUP BY player_name, scoring_class, sid
+@query("d05_scd2_streaks", oracle=_streaks_sql("scoring_class") + """
+SELECT player_name, scoring_class, current_season AS start_date, until AS end_date FROM streaks
 """)
 def d05_scd2_streaks(t):
     """Streaks of equal scoring class per player (SCD2 generation)."""
@@ -95,26 +93,21 @@ def d05_scd2_streaks(t):
     return scd.scd2_streaks(h, "player_name", "current_season", ["scoring_class"])
 
 
-@query("d09_scd2_incremental", headline=True, oracle=_STREAK_SQL.format(
-    cols_first="scoring_class",
-    changed="OR LAG(scoring_class) OVER w <> scoring_class OR LAG(is_active) OVER w <> is_active")
-    + f"""
-SELECT player_name, scoring_class, is_active, MIN(current_season) AS start_season,
-       MAX(current_season) AS end_season, CAST({LAST_SEASON_SQL} AS BIGINT) AS current_season
-FROM ident GROUP BY player_name, scoring_class, is_active, sid
+@query("d09_scd2_incremental", headline=True, oracle=_streaks_sql("scoring_class", "is_active") + f"""
+SELECT player_name, scoring_class, is_active, current_season AS start_season, until AS end_season,
+       CAST({LAST_SEASON_SQL} AS BIGINT) AS current_season
+FROM streaks
 """)
 def d09_scd2_incremental(t):
     """Last season's SCD (class, active) plus this season's snapshot -> this
-    season's SCD."""
+    season's SCD.  Both come from one history, built once."""
     end = last_season(t)
-    prev_h = player_history(t, end - 1).select(
-        "player_name", "current_season", "scoring_class", "is_active")
-    prev_scd = (scd.scd2_streaks(prev_h, "player_name", "current_season",
+    h = player_history(t).select("player_name", "current_season", "scoring_class", "is_active").checkpoint()
+    prev_scd = (scd.scd2_streaks(h.where(F.col("current_season") < end), "player_name", "current_season",
                                  ["scoring_class", "is_active"], "start_season", "end_season")
                    .withColumn("current_season", F.lit(end - 1).cast("bigint")))
-    cur = player_history(t).where(F.col("current_season") == end)
-    return scd.scd2_incremental(prev_scd, cur, "player_name", ["scoring_class", "is_active"],
-                                end)
+    return scd.scd2_incremental(prev_scd, h.where(F.col("current_season") == end), "player_name",
+                                ["scoring_class", "is_active"], end)
 
 
 # ------------------------------------------------------------------ actors
@@ -203,10 +196,11 @@ hist AS (
 """
 
 
-def actor_scd(t, end=None):
-    end = last_season(t) if end is None else end
-    h = actor_history(t, end).select("actorid", "actor", "current_year", "quality_class",
-                                     "is_active")
+def _actor_states(t):
+    return actor_history(t).select("actorid", "actor", "current_year", "quality_class", "is_active")
+
+
+def actor_scd(h):
     return scd.scd2_backfill(h, "actorid", "current_year", ["quality_class", "is_active"],
                              extra=["actor"])
 
@@ -214,17 +208,16 @@ def actor_scd(t, end=None):
 @query("d06_scd2_backfill", headline=True, oracle=_SCD_ACTORS_SQL + "SELECT * FROM hist")
 def d06_scd2_backfill(t):
     """Dated SCD2 history of actors (quality class, activity)."""
-    return actor_scd(t)
+    return actor_scd(_actor_states(t))
 
 
 @query("d08_scd2_apply", oracle=_SCD_ACTORS_SQL + "SELECT * FROM hist")
 def d08_scd2_apply(t):
     """Apply the last year's actors snapshot to the SCD2 table built up to the
-    year before; equals the full backfill."""
-    end = last_season(t)
-    hist = actor_scd(t, end - 1)
-    new = actor_history(t).where(F.col("current_year") == end)
-    return scd.scd2_apply(hist, new, "actorid", "quality_class", end, extra=["actor"])
+    year before; equals the full backfill.  Both come from one history, built once."""
+    end, h = last_season(t), _actor_states(t).checkpoint()
+    hist = actor_scd(h.where(F.col("current_year") < end))
+    return scd.scd2_apply(hist, h.where(F.col("current_year") == end), "actorid", "quality_class", end, extra=["actor"])
 
 
 @query("d07_scd2_changes", oracle=_ACTORS_SQL.format(end=LAST_SEASON_SQL) + """,
@@ -247,11 +240,9 @@ WHERE n.current_year = {y}
 """.format(y=LAST_SEASON_SQL))
 def d07_scd2_changes(t):
     """Classify this year's actors against their current SCD2 row."""
-    end = last_season(t)
-    cur = actor_scd(t, end - 1)
-    new = (actor_history(t).where(F.col("current_year") == end)
-           .select("actorid", "quality_class", "is_active"))
-    return scd.scd2_changes(new, cur, "actorid", "quality_class")
+    end, h = last_season(t), _actor_states(t).checkpoint()
+    new = h.where(F.col("current_year") == end).select("actorid", "quality_class", "is_active")
+    return scd.scd2_changes(new, actor_scd(h.where(F.col("current_year") < end)), "actorid", "quality_class")
 
 
 # The actor wording of the career states.

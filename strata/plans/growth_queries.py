@@ -30,42 +30,25 @@ def d27_funnel(t):
     return out.select("url", "num_units", r6("conversion_rate").alias("conversion_rate"))
 
 
+# A user's state on a day follows from whether the user is active that day and
+# from the days since the activity before it.
 _GA_SQL = with_views("web_events") + f""",
-act AS (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM web_events
-        WHERE user_id IS NOT NULL AND event_time < {LAST_DAY_SQL} + 1),
-firsts AS (SELECT user_id, MIN(day) AS first_active_date FROM act GROUP BY user_id),
-spine AS (
-  SELECT user_id, first_active_date,
-         CAST(unnest(generate_series(CAST(first_active_date AS TIMESTAMP),
-                                     CAST({LAST_DAY_SQL} AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-  FROM firsts),
-x AS (
-  SELECT s.user_id, s.first_active_date, s.date, a.day IS NOT NULL AS active
-  FROM spine s LEFT JOIN act a ON s.user_id = a.user_id AND s.date = a.day),
-r AS (
-  SELECT *, MAX(CASE WHEN active THEN date END) OVER w AS last_active_date,
-            COUNT(CASE WHEN active THEN 1 END) OVER w AS num_dates_active
-  FROM x WINDOW w AS (PARTITION BY user_id ORDER BY date
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-y AS (
-  SELECT *, LAG(last_active_date) OVER (PARTITION BY user_id ORDER BY date) AS y_last,
-         CASE WHEN active THEN date END AS today, date - 1 AS y_date,
-         date > first_active_date AS y_exists
-  FROM r),
-ga AS (
-  SELECT user_id, first_active_date, last_active_date,
-         CASE WHEN NOT y_exists THEN 'New'
-              WHEN y_last = today - 1 THEN 'Retained'
-              WHEN y_last < today - 1 THEN 'Resurrected'
-              WHEN today IS NULL AND y_last = y_date THEN 'Churned'
-              ELSE 'Stale' END AS daily_active_state,
-         CASE WHEN NOT y_exists THEN 'New'
-              WHEN y_last < today - 7 THEN 'Resurrected'
-              WHEN today IS NULL AND y_last = y_date - 7 THEN 'Churned'
-              WHEN COALESCE(today, y_last) + 7 >= y_date THEN 'Retained'
-              ELSE 'Stale' END AS weekly_active_state,
-         CAST(num_dates_active AS BIGINT) AS num_dates_active, date
-  FROM y)
+act AS (SELECT user_id, day, row_number() OVER (PARTITION BY user_id ORDER BY day) AS nth
+        FROM (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM web_events WHERE user_id IS NOT NULL)),
+daily(active, low, high, state) AS (VALUES
+  (true, 1, 1, 'Retained'), (true, 2, 100000, 'Resurrected'), (false, 1, 1, 'Churned'), (false, 2, 100000, 'Stale')),
+weekly(active, low, high, state) AS (VALUES
+  (true, 1, 7, 'Retained'), (true, 8, 100000, 'Resurrected'),
+  (false, 1, 7, 'Retained'), (false, 8, 8, 'Churned'), (false, 9, 100000, 'Stale')),
+calendar AS (SELECT unnest(range((SELECT MIN(day) FROM act), {LAST_DAY_SQL} + 1, INTERVAL 1 DAY))::DATE AS date),
+spine AS (SELECT a.user_id, a.day AS first_active_date, c.date FROM act a JOIN calendar c ON c.date >= a.day WHERE a.nth = 1),
+upto AS (SELECT s.*, l.day AS last_active_date, l.nth, l.day = s.date AS active
+         FROM spine s ASOF JOIN act l ON l.user_id = s.user_id AND l.day <= s.date),
+ga AS (SELECT u.user_id, u.first_active_date, u.last_active_date, ifnull(d.state, 'New') AS daily_active_state,
+              ifnull(w.state, 'New') AS weekly_active_state, u.nth AS num_dates_active, u.date
+       FROM upto u ASOF LEFT JOIN act p ON p.user_id = u.user_id AND p.day < u.date
+       LEFT JOIN daily d ON d.active = u.active AND u.date - p.day BETWEEN d.low AND d.high
+       LEFT JOIN weekly w ON w.active = u.active AND u.date - p.day BETWEEN w.low AND w.high)
 """
 
 
@@ -75,12 +58,13 @@ def d25_growth_accounting(t):
     return growth.growth_accounting_history(A.web_events(t), last_day(t))
 
 
-@query("d26_retention_curve", oracle=_GA_SQL + """
-SELECT CAST(date - first_active_date AS BIGINT) AS days_since_first_active,
-       ROUND(CAST(COUNT(CASE WHEN daily_active_state IN ('Retained','Resurrected','New')
-                             THEN 1 END) AS DOUBLE) / COUNT(*), 6) AS pct_active,
-       COUNT(*) AS num_users
-FROM ga GROUP BY 1
+@query("d26_retention_curve", oracle=_GA_SQL + f""",
+debut AS (SELECT user_id, day FROM act WHERE nth = 1),
+later AS (SELECT a.day - d.day AS since, COUNT(*) AS users FROM act a JOIN debut d USING (user_id) GROUP BY 1),
+ages AS (SELECT unnest(range({LAST_DAY_SQL} - day + 1)) AS since, COUNT(*) AS users FROM debut GROUP BY 1)
+SELECT CAST(a.since AS BIGINT) AS days_since_first_active, ROUND(ifnull(l.users, 0) / a.users, 6) AS pct_active,
+       a.users AS num_users
+FROM ages a LEFT JOIN later l ON l.since = a.since
 """)
 def d26_retention_curve(t):
     """J-curve: share of users active N days after their first activity."""

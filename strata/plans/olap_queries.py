@@ -179,71 +179,60 @@ def d34_best_stretch(t):
     return olap.best_stretch(A.actor_films(t))
 
 
-@query("d35_longest_streaks", headline=True, oracle=_SEQ_SQL + """,
-g AS (SELECT *, seq - ROW_NUMBER() OVER (PARTITION BY actorid, hq
-                                         ORDER BY year, votes DESC, film) AS grp FROM fo),
-isl AS (SELECT actorid, MAX(actor) AS actor, grp, COUNT(*) AS len, MIN(year) AS sy,
-               MAX(year) AS ey,
-               CAST((SUM(rc) * 200 + COUNT(*) * 100) // (COUNT(*) * 200) AS DOUBLE) / 100 AS av,
-               string_agg(film, ' | ' ORDER BY seq) AS films
-        FROM g WHERE hq = 1 GROUP BY actorid, grp HAVING COUNT(*) >= 2),
-best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY actorid ORDER BY len DESC, grp) AS rn FROM isl)
-SELECT actor, CAST(len AS BIGINT) AS consecutive_high_quality_films,
-       sy AS best_streak_start_year, ey AS best_streak_end_year,
-       av AS best_streak_avg_rating, films AS best_streak_films,
-       CAST(RANK() OVER (ORDER BY len DESC, av DESC) AS INTEGER) AS streak_rank
-FROM best WHERE rn = 1
-ORDER BY len DESC, av DESC, actor LIMIT 15
+# A run begins at a good film without a good one before it and ends at the first
+# good film from there on without a good one after it.
+@query("d35_longest_streaks", headline=True, oracle=_SEQ_SQL + f""",
+good AS (SELECT actorid, seq FROM fo WHERE hq = 1),
+begins AS (FROM good g WHERE (g.actorid, g.seq - 1) NOT IN (FROM good)),
+ends AS (FROM good g WHERE (g.actorid, g.seq + 1) NOT IN (FROM good)),
+runs AS (SELECT b.actorid, b.seq AS first, MIN(e.seq) AS last
+         FROM begins b JOIN ends e ON e.actorid = b.actorid AND e.seq >= b.seq GROUP BY ALL),
+longest AS (SELECT actorid, max((last - first + 1, -first)) AS best FROM runs WHERE last > first GROUP BY actorid),
+streaks AS (SELECT MAX(f.actor) AS actor, COUNT(*) AS n, SUM(f.rc) AS cents, MIN(f.year) AS since, MAX(f.year) AS until,
+                   string_agg(f.film, ' | ' ORDER BY f.seq) AS films
+            FROM longest l JOIN fo f ON f.actorid = l.actorid AND f.seq + l.best[2] BETWEEN 0 AND l.best[1] - 1 GROUP BY l.actorid),
+rated AS (SELECT *, {_AVG2} AS mean FROM streaks)
+SELECT x.actor, x.n AS consecutive_high_quality_films, x.since AS best_streak_start_year,
+       x.until AS best_streak_end_year, x.mean AS best_streak_avg_rating, x.films AS best_streak_films,
+       {_better("rated", "n", "mean")} AS streak_rank
+FROM (FROM rated ORDER BY n DESC, mean DESC, actor LIMIT 15) x
 """)
 def d35_longest_streaks(t):
     """Longest run of consecutive films rated 7+, top 15 actors."""
     return olap.longest_streaks(A.actor_films(t))
 
 
+# Years are joined with the years up to them: career numbers by counting, changes
+# from the year one number below, rolling means from the last three numbers;
+# percentiles from how many rows of the year have a smaller value.
 @query("d36_yearly_trends", headline=True, oracle=with_views("actor_films") + """,
-ys AS (SELECT actorid, MAX(actor) AS actor, year, COUNT(*) AS n,
-              SUM(CAST(round(rating * 100) AS BIGINT)) AS s
+ys AS (SELECT actorid, MAX(actor) AS actor, year, COUNT(*) AS n, CAST(SUM(CAST(round(rating * 100) AS BIGINT)) AS BIGINT) AS s
        FROM actor_films WHERE rating IS NOT NULL AND year IS NOT NULL GROUP BY actorid, year),
-y2 AS (SELECT *, (s * 2 + n) // (n * 2) AS avgc FROM ys),
-y3 AS (SELECT *, ROW_NUMBER() OVER w AS career_year_number,
-              LAG(n) OVER w AS pn, LAG(avgc) OVER w AS pavg,
-              LAG(s, 1) OVER w AS s1, LAG(n, 1) OVER w AS n1,
-              LAG(s, 2) OVER w AS s2, LAG(n, 2) OVER w AS n2,
-              SUM(n) OVER (PARTITION BY actorid ORDER BY year
-                           ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS r3s,
-              COUNT(*) OVER (PARTITION BY actorid ORDER BY year
-                             ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS r3k
-       FROM y2 WINDOW w AS (PARTITION BY actorid ORDER BY year)),
-y4 AS (SELECT *,
-              CAST(( (CASE WHEN n2 IS NOT NULL THEN s * n1 * n2 + s1 * n * n2 + s2 * n * n1
-                           WHEN n1 IS NOT NULL THEN s * n1 + s1 * n ELSE s END) * 2
-                   + (CASE WHEN n2 IS NOT NULL THEN n * n1 * n2 * 3
-                           WHEN n1 IS NOT NULL THEN n * n1 * 2 ELSE n END))
-                 // (2 * (CASE WHEN n2 IS NOT NULL THEN n * n1 * n2 * 3
-                                WHEN n1 IS NOT NULL THEN n * n1 * 2 ELSE n END)) AS DOUBLE) / 100
-                  AS rolling_3yr_avg_rating
-       FROM y3),
-pt AS (SELECT *, n - COALESCE(pn, 0) AS dn, avgc - COALESCE(pavg, 0) AS dr,
-              PERCENT_RANK() OVER (PARTITION BY year ORDER BY avgc) AS pr,
-              PERCENT_RANK() OVER (PARTITION BY year ORDER BY n) AS pp,
-              RANK() OVER (PARTITION BY year ORDER BY avgc) - 1 AS prl,
-              RANK() OVER (PARTITION BY year ORDER BY n) - 1 AS ppl,
-              COUNT(*) OVER (PARTITION BY year) AS yn
-       FROM y4 WHERE career_year_number >= 2)
-SELECT actor, year, n AS films_that_year, CAST(avgc AS DOUBLE) / 100 AS avg_rating_that_year,
-       career_year_number,
-       CASE WHEN dn > 0 THEN 'More Active' WHEN dn < 0 THEN 'Less Active'
-            ELSE 'Same Activity' END AS activity_trend,
-       CASE WHEN dr >= 50 THEN 'Much Better' WHEN dr > 0 THEN 'Better'
-            WHEN dr >= -50 THEN 'Similar' ELSE 'Worse' END AS quality_trend,
-       rolling_3yr_avg_rating,
-       CAST((r3s * 20 + r3k) // (r3k * 2) AS DOUBLE) / 10 AS rolling_3yr_avg_films_per_year,
-       CASE WHEN yn <= 1 THEN 0.0 ELSE CAST((prl * 2000 + (yn - 1)) // ((yn - 1) * 2) AS DOUBLE) / 10 END
-           AS rating_percentile,
-       CASE WHEN yn <= 1 THEN 0.0 ELSE CAST((ppl * 2000 + (yn - 1)) // ((yn - 1) * 2) AS DOUBLE) / 10 END
-           AS productivity_percentile
-FROM pt WHERE pr >= 0.8 OR pp >= 0.8
-ORDER BY year DESC, avgc DESC, actor LIMIT 25
+career AS (SELECT a.actorid, a.actor, a.year, a.n, a.s, (a.s * 2 + a.n) // (a.n * 2) AS cents, COUNT(*) AS k
+           FROM ys a JOIN ys b ON b.actorid = a.actorid AND b.year <= a.year GROUP BY ALL),
+last3 AS (SELECT a.actorid, a.k, CAST(product(b.n) AS HUGEINT) AS p, COUNT(*) AS years, SUM(b.n) AS films
+          FROM career a JOIN career b ON b.actorid = a.actorid AND b.k BETWEEN a.k - 2 AND a.k GROUP BY ALL),
+means AS (SELECT l.actorid, l.k, l.p * l.years AS d, SUM(b.s * (l.p // b.n)) AS total,
+                 CAST((l.films * 20 + l.years) // (l.years * 2) AS DOUBLE) / 10 AS films
+          FROM last3 l JOIN career b ON b.actorid = l.actorid AND b.k BETWEEN l.k - 2 AND l.k GROUP BY ALL),
+quality(low, label) AS (VALUES (50, '↗ Much Better'), (1, '↗ Better'), (-50, '→ Similar'), (-1000000, '↘ Worse')),
+c AS (SELECT a.*, a.n - b.n AS more, a.cents - b.cents AS better
+      FROM career a JOIN career b ON b.actorid = a.actorid AND b.k = a.k - 1),
+by_cents AS (SELECT year, cents, COUNT(*) AS m FROM c GROUP BY ALL), by_n AS (SELECT year, n, COUNT(*) AS m FROM c GROUP BY ALL),
+others AS (SELECT year, COUNT(*) - 1 AS others FROM c GROUP BY year),
+placed AS (SELECT c.*, o.others, (SELECT ifnull(SUM(h.m), 0) FROM by_cents h WHERE h.year = c.year AND h.cents < c.cents) AS worse,
+                  (SELECT ifnull(SUM(h.m), 0) FROM by_n h WHERE h.year = c.year AND h.n < c.n) AS lazier
+           FROM c JOIN others o USING (year))
+SELECT p.actor, p.year, p.n AS films_that_year, CAST(p.cents AS DOUBLE) / 100 AS avg_rating_that_year,
+       p.k AS career_year_number,
+       ['↘ Less Active', '→ Same Activity', '↗ More Active'][CAST(sign(p.more) AS INTEGER) + 2] AS activity_trend,
+       q.label AS quality_trend, CAST((m.total * 2 + m.d) // (m.d * 2) AS DOUBLE) / 100 AS rolling_3yr_avg_rating,
+       m.films AS rolling_3yr_avg_films_per_year,
+       CAST((p.worse * 2000 + p.others) // (p.others * 2) AS DOUBLE) / 10 AS rating_percentile,
+       CAST((p.lazier * 2000 + p.others) // (p.others * 2) AS DOUBLE) / 10 AS productivity_percentile
+FROM placed p JOIN means m ON m.actorid = p.actorid AND m.k = p.k ASOF JOIN quality q ON p.better >= q.low
+WHERE p.others > 0 AND (p.worse * 10 >= 8 * p.others OR p.lazier * 10 >= 8 * p.others)
+ORDER BY p.year DESC, p.cents DESC, p.actor LIMIT 25
 """)
 def d36_yearly_trends(t):
     """Year-over-year actor trends, top 20 % by rating or productivity."""

@@ -59,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and current:
         return current
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         try:

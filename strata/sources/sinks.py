@@ -47,15 +47,18 @@ def close_rows(target: DataFrame, changed_keys: DataFrame, keys: Sequence[str],
 
 
 def write_bucketed(df: DataFrame, name: str, buckets: int, col: str,
-                   sort_cols: Sequence[str] | None = None, partition_cols: Sequence[str] = ()) -> None:
-    """Bucketed (and sorted) managed table; two tables bucketed the same
-    way on the join key join without a shuffle (J11).  Rows are dealt to the
+                   sort_cols: Sequence[str] | None = None, partition_cols: Sequence[str] = (),
+                   path: str | None = None) -> None:
+    """Bucketed (and sorted) table, managed or below ``path``; two tables
+    bucketed the same way on the join key join without a shuffle (J11).  Rows are dealt to the
     buckets first, so a bucket is one file, not one per task."""
     w = df.repartition(buckets, col).write.mode("overwrite").format("parquet").bucketBy(buckets, col)
     if sort_cols:
         w = w.sortBy(*sort_cols)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 

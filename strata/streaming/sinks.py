@@ -53,20 +53,49 @@ def batch_once(written: DataFrame, keys: list[str]) -> DataFrame:
     return written.dropDuplicates([*keys, "batch_id"]).drop("batch_id")
 
 
-def multi_sink(writers: dict[str, Callable[[DataFrame], DataFrame]], sink: Callable) -> Callable:
+def multi_sink(writers: dict[str, Callable[[DataFrame], DataFrame]], sink: Callable,
+               finished: Callable | None = None) -> Callable:
     """One micro-batch feeds several aggregates.  ``writers`` maps a
-    name to a batch transformation; ``sink(name, df, batch_id)`` stores each.
+    name to a batch transformation; ``sink(name, df, batch_id)`` stores each, and
+    ``finished(spark, batch_id)`` records the batch after all of them.
     The batch is persisted once and released after all writes."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for name, fn in writers.items():
                 sink(name, fn(batch), batch_id)
+            if finished is not None:
+                finished(batch.sparkSession, batch_id)
         finally:
             batch.unpersist()
     return run
 
 
+class BatchFiles:
+    """Outputs of ``multi_sink`` in which every micro-batch is there once.
+
+    A sink's output of a batch is a folder of its own, replaced as a whole: a batch
+    that is repeated after a failure overwrites what the first try left.  A batch
+    counts for readers once it is recorded, which is done after its last sink, so
+    all sinks show the same batches."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def write(self, name: str, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={batch_id}")
+
+    def finished(self, spark, batch_id: int) -> None:
+        spark.range(1).select(F.lit(True).alias("whole")).write.mode("overwrite").parquet(
+            f"{self.path}/finished_batches/batch_id={batch_id}")
+
+    def read(self, spark, name: str, schema: str) -> DataFrame:
+        """The rows of a sink's recorded batches, with their ``batch_id``."""
+        done = spark.read.schema("whole boolean, batch_id bigint").parquet(f"{self.path}/finished_batches")
+        rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{self.path}/{name}")
+        return rows.join(done.select("batch_id").distinct(), "batch_id", "left_semi")
+
+
 def enrich_stream(events: DataFrame, ranges: DataFrame) -> DataFrame:
     """T5: stream-static join of events with the IP range table."""
     return geo_enrich(events, ranges)

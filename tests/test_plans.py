@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import catalog
-from strata.operators import growth, relational as R
+from strata.operators import growth, ordered, relational as R
 from strata.sources import adapters as A
 from strata.sources.readers import Tables
 from tests.conftest import SF_SMALL
@@ -34,11 +34,10 @@ def test_funnel_has_no_range_self_join(spark):
     assert "user_id" in joins[0][1] and "d#" in joins[0][1]
 
 
-def test_keyed_sequence_windows_are_per_range_partition(spark):
+def test_scans_in_order_do_not_shuffle_the_sorted_table(spark):
     df = spark.range(0, 1000).select((F.col("id") % 3).alias("k"), "id")
-    p = _plan(R.keyed_sequence(df, ["k"], [F.col("id")], "s"))
-    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\]", p)
-    assert windows and all("_pid" in w for w in windows[:1])
+    for out in (R.keyed_sequence(df, ["k"], [F.col("id")], "s"), ordered.next_event(df, ["k"], "id", [])):
+        assert "Exchange" not in _plan(out)
 
 
 def test_day_filter_reaches_scan(spark):

@@ -63,7 +63,7 @@ def test_sorted_layout_is_smaller_and_reported(spark, tmp_path):
 
 def test_global_rank_matches_window_rank(spark):
     df = spark.range(0, 5000).select((F.col("id") * 37 % 101).alias("v"), F.col("id"))
-    got = R.global_rank(df.repartition(7), [F.desc("v")], name="r")
+    got = R.global_rank(df.repartition(7), [("v", "desc")], name="r")
     ref = df.selectExpr("id", "rank() OVER (ORDER BY v DESC) AS r")
     assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, ref.collect()))
 
