@@ -72,27 +72,37 @@ def op7(spark, sf_dir):
                (((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT) >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)),
                'string_agg', '') AS payload_digest,
            CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
-           CASE WHEN page_id <> largest THEN largest END AS refers_to
+           CASE WHEN page_id <> largest THEN largest END AS refers_to, false AS damaged
     FROM d""")
 def op9(spark, sf_dir):
     """pages written as WARC archives and read back: page_id, payload_bytes,
-    payload_digest, record_type, refers_to."""
+    payload_digest, record_type, refers_to, and damaged: the payload cannot be read
+    whole or has another digest than its record says (of a revisit: its response's).
+    A damaged response keeps its record's digest and has no size unless it can be
+    read.  Archives are read once; what is kept of a record is small."""
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select(
         F.col("page_id").alias("id"), F.col("url").alias("uri"), null_as_empty("html").cast("binary").alias("payload"))
     path = f"{common.use_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     warc.write_archives(warc.duplicates(pages), path)
-    back = warc.reassembled(warc.read_records(spark, path))
+    return archived(warc.reassembled(warc.read_records(spark, path)))
+
+
+def archived(back: DataFrame) -> DataFrame:
+    """The columns of op9 from reassembled records."""
     page = lambda c: F.regexp_extract(c, r"^urn:capture:(-?\d+)", 1)
-    back = back.select(
+    back = common.saved(back.select(
         F.when(page("record_id") != "", page("record_id")).cast("long").alias("page_id"),
         F.col("kind").alias("record_type"), "digest", page("refers_to").try_cast("long").alias("refers_to"),
         F.octet_length("payload").cast("long").alias("bytes"),
-        F.when(F.col("payload").isNotNull(), warc.base32_sha1(F.col("payload"))).alias("own"))
-    full = back.where("record_type = 'response'").groupBy(
-        F.col("page_id").alias("refers_to"), F.col("own").alias("digest")).agg(F.max("bytes").alias("full"))
+        F.when(F.col("payload").isNotNull(), warc.base32_sha1(F.col("payload"))).alias("own")))
+    response = F.col("record_type") == "response"
+    full = back.where(response & (F.col("own") == F.col("digest"))).groupBy(
+        F.col("page_id").alias("refers_to"), "digest").agg(F.max("bytes").alias("full"))
     return (back.join(full, ["refers_to", "digest"], "left")
             .select("page_id", F.coalesce("bytes", "full").alias("payload_bytes"),
-                    F.coalesce("own", "digest").alias("payload_digest"), "record_type", "refers_to"))
+                    F.coalesce("own", "digest").alias("payload_digest"), "record_type", "refers_to",
+                    F.when(response, ~F.coalesce(F.col("own") == F.col("digest"), F.lit(False)))
+                    .otherwise(F.col("full").isNull()).alias("damaged")))
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm.common import column
+from strata.llm.common import column, saved
 
 SEGMENT = 16 * 1024          # bytes of a block that one record carries
 CHUNK = 4096                 # bytes of a transfer chunk
+TWINS = 500_000              # repeated payloads whose table is broadcast (about 25 MB)
 RECORDS_PER_FILE = 1000      # bounds an archive to about RECORDS_PER_FILE * SEGMENT bytes
 CRLF = b"\r\n"
 _HTTP = CRLF.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8",
@@ -218,9 +219,15 @@ def base32_sha1(payload: Column) -> Column:
 def duplicates(captures: DataFrame) -> DataFrame:
     """captures plus refers_to: of equal payloads the one with the largest id is
     the response, the others repeat it.  A null id yields to any other; rows that
-    share the largest id are all responses."""
-    marked = captures.withColumn("same", F.sha1(F.coalesce("payload", F.lit(b""))))
-    groups = (marked.groupBy("same").agg(F.max("id").alias("largest"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1").select("same", "largest"))
-    ref = F.when(F.col("id").isNull() | (F.col("id") < F.col("largest")), F.col("largest"))
-    return marked.join(groups, "same", "left").withColumn("refers_to", ref).drop("same", "largest")
+    share the largest id are all responses.  Other columns stay (a column
+    refers_to is replaced).
+
+    Payloads are read twice and, as long as the table of repeated payloads is small
+    (at most TWINS rows of about 50 bytes, counted first), never shuffled."""
+    key, top = "__payload_key", "__largest_id"
+    marked = captures.withColumn(key, F.sha1(F.coalesce("payload", F.lit(b""))))
+    groups = saved(marked.groupBy(key).agg(F.max("id").alias(top), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select(key, top))
+    found = marked.join(F.broadcast(groups) if groups.count() <= TWINS else groups, key, "left")
+    ref = F.when(F.col("id").isNull() | (F.col("id") < F.col(top)), F.col(top))
+    return found.withColumn("refers_to", ref).drop(key, top)

@@ -74,3 +74,40 @@ def test_empty_table(spark, tmp_path):
     path = f"file://{tmp_path}/c"
     W.write_archives(spark.createDataFrame([], CAPTURE), path)
     assert W.reassembled(W.read_records(spark, path)).count() == 0
+
+
+def test_other_columns_and_a_shuffled_join(spark, monkeypatch):
+    rows = [(1, "a", b"x", 5, "s"), (9, "b", b"x", 6, "t"), (3, "c", b"y", 7, "u")]
+    df = spark.createDataFrame(rows, "id long, uri string, payload binary, largest int, same string")
+    want = [(1, 5, "s", 9), (3, 7, "u", None), (9, 6, "t", None)]
+    assert sorted(tuple(r) for r in W.duplicates(df).select("id", "largest", "same", "refers_to").collect()) == want
+    monkeypatch.setattr(W, "TWINS", 0)
+    assert sorted(tuple(r) for r in W.duplicates(df).select("id", "largest", "same", "refers_to").collect()) == want
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from scripts.oracle_check import digest
+    from strata.llm.queries import ORACLE, QUERIES
+    from tests.conftest import SF_SMALL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS FROM read_parquet('{SF_SMALL}/pages.parquet')")
+    got, want = QUERIES["op9_warc"](spark, SF_SMALL), con.execute(ORACLE["op9_warc"])
+    names = [d[0] for d in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert digest(got.columns, [tuple(r) for r in got.collect()])[0] == digest(names, want.fetchall())[0]
+
+
+def test_damage_is_told(spark, tmp_path):
+    from strata.llm.queries import archived
+    rows = [(1, "u", b"a" * 3000, None), (2, "u", b"b" * 3000, None), (3, "u", b"b" * 3000, 2), (4, "u", b"a" * 3000, 1), (5, "u", b"c" * 900, None)]
+    path = f"file://{tmp_path}/d"
+    W.write_archives(spark.createDataFrame(rows, CAPTURE), path, segment=500)
+    r = W.read_records(spark, path)
+    origin = F.coalesce("origin", "record_id")
+    bad = r.where(~(origin.contains("capture:1:") & (F.coalesce("segment", F.lit(1)) == 2)))
+    bad = bad.withColumn("digest", F.when(origin.contains("capture:5:") & F.col("origin").isNull(), "OTHER").otherwise(F.col("digest")))
+    got = {x.page_id: (x.payload_bytes, x.payload_digest, x.damaged) for x in archived(W.reassembled(bad)).collect()}
+    a, b, c = (W.digest(x) for x in (b"a" * 3000, b"b" * 3000, b"c" * 900))
+    assert got == {1: (None, a, True), 2: (3000, b, False), 3: (3000, b, False), 4: (None, a, True), 5: (900, c, True)}
