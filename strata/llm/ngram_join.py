@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strata.llm.common import column, likely_in, saved
 from strata.llm.components import components
+from strata.llm.packed import joined, split, spread, spread_sorted, squeeze, squeeze_sorted
 from strata.llm.shingles import mix64, set_hash, shingle_sets
 
 HOT = 10                 # sets per signature that are compared pairwise
@@ -182,9 +183,10 @@ def _width(nodes: int):
 
 def _pack(groups: dict, n_buckets: int) -> Iterator[dict]:
     """groups: scheme -> [(signatures, node, flag)]; one row per bucket with
-    node table, signatures and node numbers.  A signature that more than HOT
+    node table, signatures and node numbers, compressed.  A signature that more than HOT
     nodes of the block share leaves one hub; the others go out as star rows."""
-    out: dict[int, list[bytes]] = {}
+    parts: dict[int, list] = {}
+    stars: dict[int, list] = {}
     for scheme, items in groups.items():
         sizes = [len(x[0]) for x in items]
         sig = np.concatenate([x[0] for x in items])
@@ -200,38 +202,42 @@ def _pack(groups: dict, n_buckets: int) -> Iterator[dict]:
             hub = np.repeat(node[start], size)
             rest = many & (node != hub)
             star = np.stack([_gid(bucket[rest], sig[rest] & np.uint64(0xFFFFFFFF)), hub[rest], node[rest]], 1)
-            spread = (mix64(star[:, 2].astype(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
-            for b in np.unique(spread).tolist():
-                mine = star[spread == b]
-                out.setdefault(-1 - b, []).append(np.array([scheme, len(mine)], np.int64).tobytes() + mine.tobytes())
+            spread_to = (mix64(star[:, 2].astype(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
+            for b in np.unique(spread_to).tolist():
+                stars.setdefault(-1 - b, []).append((scheme, star[spread_to == b]))
             flag = flag | (many.astype(np.uint8) << 1)
             keep = ~many | (node == hub)
             sig, node, flag, bucket = sig[keep], node[keep], flag[keep], bucket[keep]
         cut = _starts(bucket)
         for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(sig)]):
-            names, number = np.unique(node[a:z], return_inverse=True)
-            # inside a bucket the low half of a signature tells it apart; the
-            # flags are the low bits of the node number
-            number = (number << 2 | flag[a:z]).astype(_width(len(names)))
-            out.setdefault(int(bucket[a]), []).append(
-                np.array([scheme, z - a, len(names)], np.int64).tobytes() + names.tobytes()
-                + sig[a:z].astype(np.uint32).tobytes() + number.tobytes())
-    for b, blobs in out.items():
-        yield {"bucket": b, "blob": b"".join(blobs)}
+            # inside a bucket the low half of a signature tells it apart
+            low = sig[a:z].astype(np.uint32)
+            order = np.argsort(low, kind="stable")
+            parts.setdefault(int(bucket[a]), []).append((scheme, low[order], node[a:z][order], flag[a:z][order]))
+    for b, found in parts.items():
+        names, number = np.unique(np.concatenate([x[2] for x in found]), return_inverse=True)
+        # the flags are the low bits of the node number
+        number = (number << 2 | np.concatenate([x[3] for x in found])).astype(_width(len(names)))
+        sizes = np.array([len(names), *[n for x in found for n in (x[0], len(x[1]))]], np.int64).tobytes()
+        steps = np.concatenate([np.diff(x[1], prepend=np.uint32(0)) for x in found])
+        yield {"bucket": b, "blob": joined([sizes, squeeze_sorted(names.view(np.uint64)), squeeze(steps), squeeze(number)])}
+    for b, found in stars.items():
+        schemes = np.array([n for x in found for n in (x[0], len(x[1]))], np.int64).tobytes()
+        yield {"bucket": b, "blob": joined([schemes, squeeze(np.concatenate([x[1] for x in found]).T)])}
 
 
 def _unpack(blobs: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     found: dict[int, list] = {}
     for blob in blobs:
+        sizes, names, steps, number = split(blob)
+        k, *sizes = np.frombuffer(sizes, np.int64).tolist()
+        names, steps, number = spread_sorted(names).view(np.int64), spread(steps, np.uint32), spread(number, _width(k))
         at = 0
-        while at < len(blob):
-            scheme, n, k = np.frombuffer(blob, np.int64, 3, at).tolist()
-            at += 24
-            names = np.frombuffer(blob, np.int64, k, at)
-            sig = np.frombuffer(blob, np.uint32, n, at + 8 * k)
-            number = np.frombuffer(blob, _width(k), n, at + 8 * k + 4 * n)
-            at += 8 * k + 4 * n + number.nbytes
-            found.setdefault(scheme, []).append((sig, names[number >> 2], (number & 3).astype(np.uint8)))
+        for scheme, n in zip(sizes[::2], sizes[1::2]):
+            own = number[at:at + n]
+            found.setdefault(scheme, []).append(
+                (np.cumsum(steps[at:at + n], dtype=np.uint32), names[own >> 2], (own & 3).astype(np.uint8)))
+            at += n
     return {s: tuple(np.concatenate([x[i] for x in v]) for i in range(3)) for s, v in found.items()}
 
 
@@ -250,12 +256,11 @@ def _meetings(bucket: int, blobs: list[bytes]) -> Iterator[pa.Table]:
     of this bucket) and hub-member rows of a hot one (gid set)."""
     if bucket < 0:
         for blob in blobs:
-            at = 0
-            while at < len(blob):
-                scheme, n = np.frombuffer(blob, np.int64, 2, at).tolist()
-                star = np.frombuffer(blob, np.int64, 3 * n, at + 16).reshape(n, 3)
-                at += 16 + 24 * n
-                yield _rows(scheme, *(star[:, i].copy() for i in range(3)), np.ones(n, np.int64))
+            schemes, star = split(blob)
+            schemes, star, at = np.frombuffer(schemes, np.int64).tolist(), spread(star, np.int64).reshape(3, -1), 0
+            for scheme, n in zip(schemes[::2], schemes[1::2]):
+                yield _rows(scheme, *star[:, at:at + n], np.ones(n, np.int64))
+                at += n
         return
     for scheme, (sig, node, flag) in _unpack(blobs).items():
         order = np.lexsort((flag, node, flag & 1, sig))

@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from strata.llm.common import column, saved, shuffle_partitions
+from strata.llm.packed import spread, spread_sorted, squeeze, squeeze_sorted
 from strata.llm.shingles import BLOCK, _words, mix64, word_hashes
 
 DEPTH = 2                # words of the longest context
@@ -43,28 +43,6 @@ _M = np.uint64(0x9E3779B97F4A7C15)
 _U32 = np.uint64(32)
 
 
-# ---------------------------------------------------------------- packed arrays
-def _squeeze(a: np.ndarray) -> bytes:
-    """Byte planes, compressed: small numbers and small steps cost few bytes."""
-    a = np.ascontiguousarray(a).reshape(-1)
-    planes = a.view(np.uint8).reshape(len(a), a.itemsize).T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
-
-
-def _spread(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
-
-
-def _squeeze_sorted(a: np.ndarray) -> bytes:
-    return _squeeze(np.diff(a, prepend=np.uint64(0)))
-
-
-def _spread_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(_spread(data, np.uint64), dtype=np.uint64)
-
-
 # ---------------------------------------------------------------- blocks of texts
 def _rows_of_words(texts: pa.Array) -> Iterator[np.ndarray]:
     """Word hashes of every row, many short rows at once."""
@@ -109,7 +87,7 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
                 "held": np.array([p[1] for p in pieces], np.uint8).tobytes(),
                 "sizes": np.array([len(p[2]) for p in pieces], np.int64).tobytes(),
                 "carry": np.array([p[3] for p in pieces], np.uint8).tobytes(),
-                "words": _squeeze_sorted(words), "times": _squeeze(times.astype(np.uint32)), "numbers": _squeeze(number.astype(np.uint32))}], schema)
+                "words": squeeze_sorted(words), "times": squeeze(times.astype(np.uint32)), "numbers": squeeze(number.astype(np.uint32))}], schema)
 
         for b in batches:
             ids, held = column(b, "id").to_pylist(), column(b, "held").to_pylist()
@@ -140,9 +118,9 @@ class _Block:
     def __init__(self, table: pa.Table, depth: int):
         get = lambda c: column(table, c)[0].as_py()
         self.block, self.rows, self.ids = get("block"), column(table, "rows").flatten(), column(table, "ids").flatten()
-        self.words = _spread_sorted(get("words"))
-        at = _by_frequency(_spread(get("times"), np.uint32)).astype(np.int32)
-        self.number = at[_spread(get("numbers"), np.uint32)]
+        self.words = spread_sorted(get("words"))
+        at = _by_frequency(spread(get("times"), np.uint32)).astype(np.int32)
+        self.number = at[spread(get("numbers"), np.uint32)]
         self.held = np.frombuffer(get("held"), np.uint8).astype(bool)
         sizes, carry = np.frombuffer(get("sizes"), np.int64), np.frombuffer(get("carry"), np.uint8).astype(np.int64)
         self.starts = np.cumsum(sizes) - sizes
@@ -184,7 +162,7 @@ def _ask(block: int, kind: int, keys: np.ndarray, values: np.ndarray, n_buckets:
     cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.empty(0, np.int64)
     for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(keys)]):
         yield {"bucket": int(bucket[a]) * 8 + kind, "block": block, "kind": kind,
-               "keys": _squeeze_sorted(keys[a:z]), "values": _squeeze(values[a:z])}
+               "keys": squeeze_sorted(keys[a:z]), "values": squeeze(values[a:z])}
 
 
 def _answers(asked: DataFrame) -> DataFrame:
@@ -193,9 +171,9 @@ def _answers(asked: DataFrame) -> DataFrame:
     answer with the number of the best weight, 0 if none is positive."""
     def reduce(key, table):
         kind = column(table, "kind")[0].as_py()
-        keys = [_spread_sorted(x) for x in column(table, "keys").to_pylist()]
+        keys = [spread_sorted(x) for x in column(table, "keys").to_pylist()]
         form = np.dtype(np.uint32) if kind < 4 else np.dtype((np.float32, len(WEIGHTS)))
-        values = np.concatenate([_spread(x, form.base).reshape(-1, *form.shape) for x in column(table, "values").to_pylist()])
+        values = np.concatenate([spread(x, form.base).reshape(-1, *form.shape) for x in column(table, "values").to_pylist()])
         one = np.concatenate(keys)
         order = np.argsort(one, kind="stable")
         one = one[order]
@@ -213,7 +191,7 @@ def _answers(asked: DataFrame) -> DataFrame:
         out, at = [], 0
         for block, k in zip(column(table, "block").to_pylist(), keys):
             z = at + len(k)
-            out.append({"block": block, "kind": kind, "bucket": key[0].as_py(), "found": _squeeze(found[at:z]),
+            out.append({"block": block, "kind": kind, "bucket": key[0].as_py(), "found": squeeze(found[at:z]),
                         "owns": np.packbits(owns[at:z]).tobytes() if kind < 4 else None, "distinct": distinct if not at else 0})
             at = z
         return pa.Table.from_pylist(out, ANSWER)
@@ -225,7 +203,7 @@ def _heard(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray | None]]:
     """kind -> (values, owns) of a block, in the order of its keys."""
     parts: dict[int, list] = {}
     for r in sorted(table.to_pylist(), key=lambda r: r["bucket"]):
-        found = _spread(r["found"], np.uint64 if r["kind"] < 4 else np.uint8)
+        found = spread(r["found"], np.uint64 if r["kind"] < 4 else np.uint8)
         owns = np.unpackbits(np.frombuffer(r["owns"], np.uint8), count=len(found)) if r["owns"] is not None else None
         parts.setdefault(r["kind"], []).append((found, owns))
     return {k: (np.concatenate([x[0] for x in v]), np.concatenate([x[1] for x in v]).astype(bool) if k < 4 else None)
