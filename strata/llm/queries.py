@@ -44,7 +44,21 @@ def op2(spark, sf_dir):
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
-@query("op3_ngram_join")
+# All pairs that share a shingle; links reach further links until nothing is new.
+@query("op3_ngram_join", """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+              ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+              GROUP BY ALL),
+    links AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
+    reach AS (SELECT doc_id AS doc, doc_id AS other FROM n UNION SELECT r.doc, l.y FROM reach r JOIN links l ON l.x = r.other)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+           coalesce((SELECT min(other) FROM reach r WHERE r.doc = w.doc_id), w.doc_id) AS component_id
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id""")
 def op3(spark, sf_dir):
     """doc_id, n_shingles, component_id of every document."""
     return near_duplicates(documents(spark, sf_dir))
