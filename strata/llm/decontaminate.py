@@ -238,7 +238,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_id: str = "item_id", item_text: str = "text", q: int = Q,
                  max_error: float = MAX_ERROR) -> DataFrame:
     """One row per passage: id, item_id, start, end (code points of the text, end
-    exclusive), edits.
+    exclusive), edits.  Ids of both sides may have any type and keep it; where the
+    documents' id column is itself called item_id, start, end or edits, it comes out
+    as document_id.
 
     Case, punctuation and spacing don't count; an item matches with at most
     max_error edits per character.  Null and empty texts match nothing, nor do
@@ -249,15 +251,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / ITEM_BLOCK))
-    kind, item_kind = dict(docs.dtypes)[id_col], dict(items.dtypes)["item_id"]
-    schema = f"{id_col} {kind}, item_id {item_kind}, start long, end long, edits long"
+    out_col = "document_id" if id_col in ("item_id", "start", "end", "edits") else id_col
+    docs = docs.select(F.col(id_col).alias(out_col), F.col(text_col).cast("string").alias("__text"))
+    kind, item_kind = dict(docs.dtypes)[out_col], dict(items.dtypes)["item_id"]
+    item_type = items.select("item_id").limit(0).toArrow().schema.field(0).type
+    schema = f"`{out_col}` {kind}, item_id {item_kind}, start long, end long, edits long"
 
     def scan(held):
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = Items(held.value, q, max_error)
             for b in batches:
-                ids, texts = column(b, id_col), column(b, text_col)
-                item_type = pa.int64() if item_kind in ("bigint", "int") else pa.string()
+                ids, texts = column(b, out_col), column(b, "__text")
                 out, group, size = [], [], 0
                 for n, t in enumerate(texts):
                     t = t.as_py() or ""
@@ -272,14 +276,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         [ids.take(pa.array([x[0] for x in out])),
                          pa.array([table.items[x[1]][0] for x in out], item_type),
                          *(pa.array([x[i] for x in out], pa.int64()) for i in (2, 3, 4))],
-                        [id_col, "item_id", "start", "end", "edits"])
+                        [out_col, "item_id", "start", "end", "edits"])
         return rows
 
     result = None
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         held = spark.sparkContext.broadcast([(r.item_id, r.text) for r in mine])
-        part = docs.select(id_col, text_col).mapInArrow(scan(held), schema)
+        part = docs.mapInArrow(scan(held), schema)
         result = part if result is None else result.union(part)
     return result
 

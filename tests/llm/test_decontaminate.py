@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from strata.llm import decontaminate as D
 from strata.llm.decontaminate import contaminated
@@ -97,6 +98,27 @@ def test_passages_cut_at_the_bounds_of_documents(spark, docs):
         assert least(texts[x.doc_id][x.start:x.end]) == x.edits
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(10,2)", "date", "timestamp", "string", "boolean", "binary"])
+def test_ids_of_any_type(spark, docs, kind):
+    item = text_of(30, 1)
+    value = {"date": "2024-01-02", "timestamp": "2024-01-02 03:04:05", "boolean": "true"}.get(kind, "7")
+    bench = spark.createDataFrame([(value, item), (None, text_of(30, 2))], "k string, text string").selectExpr(f"CAST(k AS {kind}) AS item_id", "text")
+    got = contaminated(docs([item + " more", text_of(30, 2), "none"]), bench)
+    assert dict(got.dtypes)["item_id"] == kind
+    want = {r.item_id if kind != "binary" else bytes(r.item_id) for r in bench.where("item_id IS NOT NULL").collect()}
+    rows = {x.doc_id: x.item_id for x in got.collect()}
+    assert {bytes(rows[0]) if kind == "binary" else rows[0]} == want and rows[1] is None and len(rows) == 2
+
+
+def test_clashing_names(spark):
+    item = text_of(30, 1)
+    bench = spark.createDataFrame([(7, item, "x")], "item_id long, text string, start string")
+    df = spark.createDataFrame([("a", item, 1, 2)], "item_id string, text string, `end` int, edits int")
+    got = contaminated(df, bench, "item_id").collect()
+    assert [(r.document_id, r.item_id, r.edits) for r in got] == [("a", 7, 0)]
+    assert contaminated(df, bench, "end").columns == ["document_id", "item_id", "start", "end", "edits"]
+
+
 def test_align_against_full_table():
     r = random.Random(8)
     for _ in range(200):
