@@ -61,6 +61,21 @@ def null_as_empty(c: str = "text"):
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def first_by_hash(df: DataFrame, order: list[str], k: int) -> DataFrame:
+    """The k rows that are first by ``order``, whose first column is a 64-bit hash
+    that spreads evenly.  Rows beyond a bound that about 2k rows are expected below
+    are dropped where they are, so no task receives k rows of every partition; a
+    bound that was too low is doubled."""
+    n = df.count()
+    share = min(1.0, (2 * k + 100) / n) if n else 1.0
+    while share < 1:
+        near = df.where(F.col(order[0]) < int((share - 0.5) * 2.0 ** 64))
+        if near.count() >= k:
+            return near.orderBy(*order).limit(k)
+        share *= 2
+    return df.orderBy(*order).limit(k)
+
+
 def likely_in(wanted: DataFrame, key: str):
     """(column, keep): ``keep`` drops from an Arrow batch that has the column as
     ``__slot`` most rows whose key is not in ``wanted``, without a shuffle of the

@@ -15,7 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import null_as_empty, saved
+from strata.llm.common import first_by_hash, null_as_empty, saved
 
 SAMPLE = 20_000          # labelled rows that the model is fitted on, at most
 TREES, DEPTH = 24, 3
@@ -135,12 +135,16 @@ def train_part(id_col: str = "doc_id") -> Column:
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             label_col: str = "quality", sample: int = SAMPLE) -> RuleEnsemble:
     """The model from at most ``sample`` labelled rows of the training part, those
-    whose id hashes come first: a bound that lets the sample be broadcast."""
-    picked = (labels.where(train_part(id_col) & F.col(label_col).isin(0, 1))
-              .select(F.col(id_col).alias("key"), F.col(label_col).alias("label"))
-              .orderBy(F.xxhash64("key"), "key", "label").limit(sample))
+    whose id hashes come first: a bound that lets the sample be broadcast.  A label
+    that is repeated counts once, and of several documents of an id the smallest
+    text, so no more rows than that are fitted."""
+    picked = first_by_hash(
+        labels.where(train_part(id_col) & F.col(label_col).isin(0, 1))
+        .select(F.xxhash64(id_col).alias("hash"), F.col(id_col).alias("key"), F.col(label_col).alias("label")).distinct(),
+        ["hash", "key", "label"], sample)
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    return fit(statistics(texts.join(F.broadcast(picked), "key")))
+    one = texts.join(F.broadcast(picked), "key").groupBy("key", "label").agg(F.min(null_as_empty()).alias("text"))
+    return fit(statistics(one))
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,5 +1,6 @@
 """Rules, their compiled columns, and held-out accuracy."""
 import random
+import re
 import zlib
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import quality as Q
 from strata.llm.queries import op1
-from tests.conftest import SF_ORACLE
+from tests.conftest import SF_ORACLE, SF_SMALL
 
 
 def text_of(seed, bad):
@@ -29,6 +30,47 @@ def test_statistics_of_known_texts(spark, docs):
     assert rows[3].longest == 5000.0 and rows[4].repeats == 0.5 and rows[4].short_words == 1.0
 
 
+def by_hand(text):
+    """The 14 statistics, from their definitions."""
+    import math
+    import regex
+    t = text or ""
+    words = [w for w in re.split(r"[\x20\t-\r]+", t) if w]
+    lines = [x for x in t.split("\n") if x]
+    n, w, k = max(len(t), 1), max(len(words), 1), max(len(lines), 1)
+    found = lambda p: len(regex.findall(p, t))
+    return {"log_words": math.log1p(len(words)), "word_length": len(t) / w, "longest": max(map(len, words), default=0),
+            "upper": found(r"\p{Lu}") / n, "symbols": found(r"[#&$%*=<>{}\[\]\\~^_@+/]") / n,
+            "doubled": found(r"[^\p{L}\p{N}\s]{2,}") / w, "bars": t.count("|") / w, "digits": found("[0-9]") / n,
+            "stops": found("[.,;:]") / w, "distinct_words": len(set(words)) / w,
+            "repeats": sum(a == b for a, b in zip(words, words[1:])) / w, "distinct_lines": len(set(lines)) / k,
+            "line_words": len(words) / k, "short_words": sum(len(x) <= 3 for x in words) / w}
+
+
+def test_statistics_and_scores_by_hand(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    model = Q.learned(docs, labels)
+    scores = {r.doc_id: r.score for r in Q.scored(docs, labels).collect()}
+    assert model.rules and len(scores) == docs.count()
+    for r in Q.statistics(docs).collect():
+        want = by_hand(r.text)
+        assert {s: getattr(r, s) for s in Q.STATISTICS} == pytest.approx(want)
+        z = model.intercept + sum(weight for rule, weight in model.rules
+                                  if all((getattr(r, s) <= x) == low for s, low, x in rule))
+        assert scores[r.doc_id] == pytest.approx(1 / (1 + 2.718281828459045 ** -z))
+
+
+def test_repeated_ids_and_labels_keep_the_bound(spark, docs, monkeypatch):
+    texts = [text_of(i, i % 3) for i in range(60)] * 4
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] * 3, "doc_id long, quality int")
+    seen = []
+    fit = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda rows: (seen.append(rows.count()), fit(rows))[1])
+    Q.learned(docs(texts, ids=list(range(60)) * 4), labels, sample=30)
+    assert seen == [30]
+
+
 def test_rules_simplify_and_compile(spark):
     rule = Q.simplified((("a", True, 5.0), ("a", True, 3.0), ("b", False, 1.0), ("b", False, 2.0)))
     assert rule == (("a", True, 3.0), ("b", False, 2.0))
