@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import column, null_as_empty, saved
+from strata.llm.common import column, first_by_hash, null_as_empty, saved
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + len(KINDS)          # 0: none
@@ -260,8 +260,10 @@ def _candidates(text: Column) -> Column:
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """The model from at most ``sample`` nodes of all documents (those whose
-    documents' text hashes come first)."""
+    """The model from at most ``sample`` nodes, those that come first by a hash of
+    text and place.  Graphs are built for the first texts by hash only: ``sample`` of
+    them, twice as many until there are enough nodes or no more texts; equal texts
+    count once."""
     names = ["rank", "place", "features", "label", "before", "after", "similar"]
 
     def rows(batches):
@@ -284,12 +286,22 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
                     "features": pa.array(g.features, pa.list_(pa.int64())), "label": pa.array(g.label, pa.int64()),
                     **{k: pa.array(v, pa.list_(pa.int64())) for k, v in zip(names[4:], near)}})
 
-    nodes = (docs.select(_candidates(F.col(text_col)).alias("t"), F.xxhash64(text_col).alias("rank"))
-             .where("t is not null").mapInArrow(
-        rows, "rank long, place long, features array<long>, label long, before array<long>, "
-              "after array<long>, similar array<long>"))
-    picked = saved(nodes.orderBy("rank", "place").limit(sample)).orderBy("rank", "place").collect()
-    return train([(r.features, r.label, r.before, r.after, r.similar) for r in picked])
+    texts = (docs.select(_candidates(F.col(text_col)).alias("t"), F.xxhash64(text_col).alias("rank"))
+             .where("t is not null"))
+    hashes = saved(texts.select("rank").distinct())
+    n, wanted = hashes.count(), sample
+    while True:
+        bound = first_by_hash(hashes, ["rank"], wanted).agg(F.max("rank")).first()[0]
+        picked = texts.where(F.col("rank") <= bound).groupBy("rank").agg(F.min("t").alias("t"))
+        nodes = saved(picked.mapInArrow(
+            rows, "rank long, place long, features array<long>, label long, before array<long>, "
+                  "after array<long>, similar array<long>"))
+        if wanted >= n or nodes.count() >= sample:
+            break
+        wanted *= 2
+    # the sample is spread over the texts: one long text does not fill it
+    found = first_by_hash(nodes.withColumn("hash", F.xxhash64("rank", "place")), ["hash", "rank", "place"], sample).collect()
+    return train([(r.features, r.label, r.before, r.after, r.similar) for r in found])
 
 
 def find(docs: DataFrame, model: Model | None = None, text_col: str = "text",

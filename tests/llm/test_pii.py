@@ -111,6 +111,17 @@ def test_repeated_tokens_get_the_same_label(spark, docs):
         assert base == brute(t)
 
 
+def test_the_sample_counts_copies_once_and_stays_bounded(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(P, "train", lambda nodes: seen.append(nodes))
+    P.fit(docs(corpus()).repartition(7), sample=60)
+    P.fit(docs(corpus() + corpus()[:3] * 200).repartition(3), sample=60)
+    assert len(seen[0]) == 60 and seen[0] == seen[1]
+    P.fit(docs(["year 1999", "12", None, ""] * 30), sample=60)        # fewer nodes than asked for
+    P.fit(docs([]))
+    assert len(seen[2]) <= 60 and seen[3] == []
+
+
 def test_masks_and_digests(spark, docs):
     t = ["x a@b.co y 1.2.3.4", "é\U0001F600 +1 234 567 890 z", None, "", "nothing", "1.2.3.4@b.co"]
     none = P.Model(np.zeros((P.FEATURES, P.LABELS)), np.zeros((P.LABELS,) * 2), np.zeros((P.LABELS,) * 2))
