@@ -47,8 +47,9 @@ def test_every_stage_takes_effect(spark, docs, tmp_path):
     pieces = corpus_pipeline.STAGES[-1][1](spark, left, sf).collect()
     assert {p.doc_id for p in pieces} == set(kept["personal_data"])
     whole = corpus_pipeline.run(spark, sf).collect()
-    assert {(p.doc_id, p.start, p.length, p.ids_crc32) for p in whole if p.length == p.doc_tokens} \
-        >= {(p.doc_id, p.start, p.length, p.ids_crc32) for p in pieces if p.length == p.doc_tokens == 0}
+    uncut = lambda rows: {p.doc_id: p.ids_crc32 for p in rows if p.length == p.doc_tokens}
+    a, b = uncut(whole), uncut(pieces)
+    assert len(set(a) & set(b)) > 10 and all(a[i] == b[i] for i in set(a) & set(b))
     assert sum(p.length for p in whole) == sum(p.length for p in pieces)
 
 
