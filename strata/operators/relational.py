@@ -41,10 +41,10 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = Non
     if not order:
         return df.dropDuplicates(list(keys))
     rest = [c for c in df.columns if c not in set(order) | set(keys)]
-    rank_key = F.struct(*[F.col(c) for c in list(order) + rest])
-    row = F.struct(*[F.col(c) for c in df.columns])
-    pick = F.max_by(row, rank_key) if descending else F.min_by(row, rank_key)
-    return df.groupBy(*keys).agg(pick.alias("_w")).select("_w.*")
+    # the least (greatest) value of the order is the row itself, apart from its key
+    pick = (F.max if descending else F.min)(F.struct(*[F.col(c) for c in [*order, *rest]]))
+    own = set(keys) - set(order)
+    return df.groupBy(*keys).agg(pick.alias("_w")).select(*[F.col(c) if c in own else F.col(f"_w.{c}").alias(c) for c in df.columns])
 
 
 def dedupe_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:

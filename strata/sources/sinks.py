@@ -25,6 +25,12 @@ def overwrite_into(df: DataFrame, name: str) -> None:
     df.select(*cols).write.insertInto(name, overwrite=True)
 
 
+def stamped(df: DataFrame, as_of=None, name: str = "loaded_at") -> DataFrame:
+    """The load time as a column: ``as_of`` (a timestamp or its text), so a
+    re-run writes the same rows; the clock only if none is given."""
+    return df.withColumn(name, F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp"))
+
+
 def append_snapshot(df: DataFrame, path: str, ds_col: str = "ds") -> None:
     """Write one snapshot date with dynamic partition overwrite: a re-run
     for the same date replaces that date's partition only (idempotent)."""
