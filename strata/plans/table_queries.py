@@ -173,12 +173,12 @@ def j05_interval_join(t):
 
 # ------------------------------------------------------- layouts
 
-LAYOUT_COLUMNS = ["l_partkey", "l_suppkey"]
+LAYOUT_COLUMNS = ["l_partkey", "l_orderkey"]
 
 
 def written_layouts(t, n: int = 16) -> dict[str, str]:
     """Line items as three tables of ``n`` files: spread, by part, along a Z curve."""
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     tie = F.xxhash64(*lines.columns)
     orders = {"spread": [tie], "by_part": [F.col("l_partkey"), tie], "z_order": [F.col("_z"), tie]}
     zed = layouts.with_zorder(lines, LAYOUT_COLUMNS, "_z")
@@ -191,12 +191,12 @@ def written_layouts(t, n: int = 16) -> dict[str, str]:
 
 @query("l05_layouts", oracle="""
 SELECT layout, col AS "column", (SELECT COUNT(*) FROM lineitem) AS num_rows, skips
-FROM (VALUES ('spread', 'l_partkey', false), ('spread', 'l_suppkey', false), ('by_part', 'l_partkey', true),
-             ('by_part', 'l_suppkey', false), ('z_order', 'l_partkey', true), ('z_order', 'l_suppkey', true)) AS v(layout, col, skips)
+FROM (VALUES ('spread', 'l_partkey', false), ('spread', 'l_orderkey', false), ('by_part', 'l_partkey', true),
+             ('by_part', 'l_orderkey', false), ('z_order', 'l_partkey', true), ('z_order', 'l_orderkey', true)) AS v(layout, col, skips)
 """)
 def l05_layouts(t):
     """Three layouts of the line items: rows, and whether a reader of one part or
-    supplier skips at least half of them by row-group statistics (L5)."""
+    order skips at least half of them by row-group statistics (L5)."""
     groups = layouts.row_groups(t.spark, written_layouts(t), LAYOUT_COLUMNS)
     shares = layouts.read_share(groups, t.lineitem, LAYOUT_COLUMNS)
     return shares.select("layout", "column", "num_rows", (F.col("share") <= 0.5).alias("skips"))
