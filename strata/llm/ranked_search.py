@@ -257,11 +257,17 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, id_col: str = "doc_id
     find nothing.  Rows with one item id (null included) are one item of all their
     terms.  Rows that repeat a document id are documents of their own; a null id
     comes after all others of equal score.  Ids may have any type that sorts.
-    Other columns are ignored; an empty table on either side gives no rows."""
+    Other columns are ignored; an empty table on either side gives no rows.  An id
+    column whose name is taken (rank, score, the other id's) comes out as item_id or
+    document_id."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     asked = items.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).orderBy("item")
     spark, found = docs.sparkSession, None
     item_kind, doc_kind = dict(asked.dtypes)["item"], dict(texts.dtypes)["id"]
+    if item_col in ("rank", "score", id_col):
+        item_col = "item_id"
+    if id_col in ("rank", "score", item_col):
+        id_col = "document_id"
     for names, own in _blocks_of(asked):
         wanted = sorted({t for ts in own for t in ts})
         if not wanted:

@@ -278,12 +278,15 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Rows whose crc32(id as text) mod 7 is 2 are held out; a null id is not.  A
     null or empty text has its end only.  Repeated rows and ids are ordinary rows;
-    other columns are ignored; an empty table gives no rows.  ``min_count``:
+    other columns are ignored; an empty table gives no rows.  An id column with the
+    name of a result column comes out as document_id.  ``min_count``:
     occurrences that a context needs to be a state."""
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
     texts = docs.select(F.col(id_col).alias("id"), held.alias("held"), F.col(text_col).cast("string").alias("text"))
     kind = dict(texts.dtypes)["id"]
+    if id_col in ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "row"):
+        id_col = "document_id"
     blocks = (_blocks(texts, block_tokens).repartition(shuffle_partitions(spark), "block")
               .persist(StorageLevel.MEMORY_AND_DISK))
     size = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("train"), F.lit(0)).alias("train")).first()

@@ -65,6 +65,13 @@ def test_other_types_and_columns(spark, docs):
     assert got(search(df, items, 50, "name", "body", "q")) == want
 
 
+def test_taken_names(spark):
+    df = spark.createDataFrame([(1, "x y"), (2, "y")], "score long, text string")
+    items = spark.createDataFrame([(9, "x")], "score long, text string")
+    got = search(df, items, 50, "score", "text", "score")
+    assert got.columns == ["item_id", "rank", "document_id", "score"] and [(r.item_id, r.document_id) for r in got.collect()] == [(9, 1)]
+
+
 def test_empty_tables(spark, docs):
     items = spark.createDataFrame([(1, "x")], "item_id long, text string")
     assert search(docs([]), items).count() == 0 and search(docs(["", None]), items).count() == 0

@@ -110,4 +110,5 @@ def test_held_out_texts_gain(spark, docs):
 def test_empty_and_other_columns(spark, docs):
     assert suffix_tree_scores(docs([])).count() == 0
     df = spark.createDataFrame([("a", "x y", 1, True), (None, None, 2, None)], "doc_id string, text string, row int, held boolean")
+    assert suffix_tree_scores(df.withColumnRenamed("doc_id", "score"), "score").columns[0] == "document_id"
     assert [(r[0], r[2]) for r in got(suffix_tree_scores(df))] == [(None, 1), ("a", 3)]
