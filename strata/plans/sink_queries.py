@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions import udf
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query
-from strata.plans.report import last_day
+from strata.plans.report import LAST_DAY_SQL, last_day
 from strata.plans.stream_queries import _EV_SQL
 from strata.plans.table_queries import _event_stream, _fresh
 from strata.sources import adapters as A, readers, sinks
@@ -132,6 +132,32 @@ def t02_streamed_hits(t):
     return rows.where(F.col("batch_id") == last).select(F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), "host", "num_hits")
 
 
+@query("t06_late_rows", oracle=_EV_SQL + f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS event_hour, host, COUNT(host) AS num_hits FROM ev
+WHERE event_time >= {LAST_DAY_SQL} - 10 GROUP BY 1, 2
+""")
+def t06_late_rows(t):
+    """Tumbling hits of a stream whose third batch is ten days late and more: its
+    rows are behind the watermark and change nothing (T1, T6)."""
+    end, src = last_day(t), _fresh(t, "late")
+    day = lambda back: F.date_sub(F.lit(end).cast("date"), back).cast("timestamp_ntz")
+    ts = F.col("ts")
+    for part in ((ts >= day(10)) & (ts < day(5)), ts >= day(5), ts < day(10)):
+        t.events.where(part).coalesce(1).write.mode("append").parquet(src)
+
+    class Streamed:
+        events = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+    out = stream_sinks.BatchFiles(_fresh(t, "late-hits"))
+    hits = windows.tumbling_hits(stream_sources.with_event_time(A.web_stream_events(Streamed), "event_time"), "5 minutes", ["host"])
+    q = (hits.writeStream.outputMode("update").foreachBatch(stream_sinks.multi_sink({"hits": lambda b: b}, out.write, out.finished))
+             .option("checkpointLocation", _fresh(t, "late-checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = out.read(t.spark, "hits", "event_hour timestamp, host string, num_hits bigint")
+    return rows.groupBy(F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), "host").agg(
+        F.max_by("num_hits", "batch_id").alias("num_hits"))
+
+
 @query("t07_resumed_stream", oracle="""
 SELECT o_orderstatus AS status, COUNT(*) AS num_orders FROM orders GROUP BY 1
 """)
