@@ -83,5 +83,5 @@ def test_stages_take_empty_tables(spark, docs, tmp_path):
 def test_registration():
     import __spark_entry__ as E
     names = E.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert names["pipeline"] is corpus_pipeline.run and set(queries.ORACLE) <= set(E.oracle_sql())
