@@ -48,6 +48,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_KEPT: dict = {}
+
+
+def kept(key: str, make):
+    """What ``make`` gives, remembered by the worker process until another key asks:
+    workers serve stage after stage, so only one operator's cache may stay."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Gives back what an operator that ran in this worker before remembered."""
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

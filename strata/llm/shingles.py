@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from strata.llm.common import forget
+
 BLOCK = 1 << 19          # bytes of text that are hashed at once
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -93,6 +95,7 @@ def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
 def shingle_sets(texts: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
     """``shingle_set`` of every row; rows share blocks of at most about BLOCK
     bytes, so memory follows the block or the longest text."""
+    forget()
     texts = texts.cast(pa.large_binary()) if not pa.types.is_large_binary(texts.type) else texts
     if texts.null_count:
         texts = texts.fill_null(b"")

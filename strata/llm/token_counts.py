@@ -16,13 +16,12 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strata.llm.common import column
+from strata.llm.common import column, kept
 
 START = "▁"         # mark that pieces at the start of a word begin with
 CACHE = 300_000          # words that a worker remembers
 _ROOT, _INNER, _NONE = 0, 1, -1
 _UNKNOWN = 1 << 40       # added to a word's count of one if it has no pieces
-_MADE: dict = {}
 
 
 class Automaton:
@@ -113,10 +112,7 @@ def count_tokens(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id",
     kind = dict(docs.dtypes)[id_col]
 
     def rows(batches):
-        if key not in _MADE:
-            _MADE.clear()
-            _MADE[key] = _Counts(Automaton(held.value))
-        get = _MADE[key].__getitem__
+        get = kept(key, lambda: _Counts(Automaton(held.value))).__getitem__
         for b in batches:
             words, tokens, unknown = [], [], []
             for text in column(b, text_col):

@@ -15,6 +15,8 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import SparkSession
 
+from strata.llm.common import kept
+
 CACHE = 250_000          # parts that a worker remembers for certain, at most twice that in all
 # Fixed value: the split pattern for which the shortcuts below hold.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -22,7 +24,6 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^ \t\n\r\x0b\x0ca-zà-öø-ÿß0-9]+")
 _OTHER = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\|")
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-_MADE: dict = {}
 
 
 class WordIds:
@@ -36,10 +37,7 @@ class WordIds:
 
     def encoder(self) -> Callable[[str], bytes]:
         """text -> ids as little-endian unsigned 32-bit, without special tokens added."""
-        if self.key not in _MADE:
-            _MADE.clear()
-            _MADE[self.key] = _encoder(self.json.value)
-        return _MADE[self.key]
+        return kept(self.key, lambda: _encoder(self.json.value))
 
 
 def _encoder(json_text: str) -> Callable[[str], bytes]:
