@@ -300,7 +300,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
             break
         wanted *= 2
     # the sample is spread over the texts: one long text does not fill it
-    found = first_by_hash(nodes.withColumn("hash", F.xxhash64("rank", "place")), ["hash", "rank", "place"], sample).collect()
+    found = saved(first_by_hash(nodes.withColumn("hash", F.xxhash64("rank", "place")), ["hash", "rank", "place"], sample)).collect()
     return train([(r.features, r.label, r.before, r.after, r.similar) for r in found])
 
 
