@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import array_text
 from strata.operators import dims, growth, jobs, ordered, visitors
 from strata.operators.sample import sample_keys
-from strata.plans.dim_queries import _ACTORS_SQL, _YEARLY_SQL, actor_history
+from strata.plans.dim_queries import _ACTORS_SQL, _YEARLY_SQL
 from strata.plans.growth_queries import _GA_SQL
 from strata.plans.oracle_views import with_views
 from strata.plans.registry import query
