@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -36,9 +37,19 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files that no table refers to any more.  It
+    does so when the driver collects garbage, which a driver with little to do puts
+    off while executors' disks fill; many steps later that is all of their shuffles."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def prepare(spark: SparkSession) -> None:
     """Session settings that every query of the subpackage runs with: UTC, and
-    Arrow batches bounded in bytes, so long texts don't fill a worker."""
+    Arrow batches bounded in bytes, so long texts don't fill a worker.  What earlier
+    queries of the session shuffled is released."""
+    release(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     use_checkpoint_dir(spark)

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import column, likely_in, saved
+from strata.llm.common import column, likely_in, release, saved
 from strata.llm.components import components
 from strata.llm.packed import joined, split, spread, spread_sorted, squeeze, squeeze_sorted
 from strata.llm.shingles import mix64, set_hash, shingle_sets
@@ -513,6 +513,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "scheme", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     links = _links(pairs.union(hubs).distinct(), docs, classes, threshold)
     groups = components(links)
+    release(docs.sparkSession)
 
     # short sets: what is lost in empty segments and in hot ones whose members
     # are still in different components could hide a partner
@@ -537,6 +538,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     extra = _short_links(docs, short, classes, groups, links, threshold)
     if extra is not None:
         groups = components(links.union(extra))
+    release(docs.sparkSession)
 
     edge = classes.select("node", "id").join(groups, "node")
     smallest = edge.groupBy("component").agg(F.min("id").alias("least"))
@@ -620,6 +622,7 @@ def _short_links(docs, short, classes, groups, links, threshold):
              .join(comp(groups, "u"), "u", "left").join(comp(groups, "v"), "v", "left").where(apart))
     found = _links(stars.select(*ordered).distinct(), docs, classes, threshold)
     groups = components(links.union(found))
+    release(docs.sparkSession)
 
     members = saved(probes.join(groups, "node", "left").select(
         "sig", "node", "n", "place", F.coalesce("component", "node").alias("label")))
