@@ -460,9 +460,11 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int
                    .select("u", "v", "ukey", "vkey", "un", "vn", which("u").alias("ubytes"), which("v").alias("vbytes"))
                    .mapInArrow(possible, "u long, v long, ukey long, vkey long"))
     sets = saved(_sets(docs, keys(likely)))
-    return saved(likely.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u")
-                 .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
-                 .select("u", "v", "a", "b").mapInArrow(linked, "u long, v long"))
+    found = saved(likely.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u")
+                  .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
+                  .select("u", "v", "a", "b").mapInArrow(linked, "u long, v long"))
+    release(docs.sparkSession)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -486,6 +488,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_buckets = max(4, math.ceil(total / BUCKET_ENTRIES))
     met = saved(_met(_entries(docs, n_buckets, threshold)))
+    release(docs.sparkSession)
 
     pairs = met.where("gid is null").groupBy("scheme", "u", "v").agg(F.sum("n").alias("n"))
     stars = met.where("gid is not null")
@@ -637,6 +640,7 @@ def _short_links(docs, short, classes, groups, links, threshold):
                     & ~((F.col("low") == F.col("high")) & (F.col("low2") == F.col("high2")) & (F.col("low") == F.col("low2"))))
              .select("sig", "n", "place", "n2", "place2"))
     kinds = saved(kinds)
+    release(docs.sparkSession)
     # a pair is listed once, at the first of the shingles that both probe
     listed = members.join(kinds.select("sig").distinct(), "sig", "left_semi")
     bits = _parity_words(docs, classes.join(listed.select("node").distinct(), "node", "left_semi").select("key"))
