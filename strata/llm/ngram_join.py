@@ -42,6 +42,7 @@ SPREAD = 0.55            # segments as a share of the band's upper size
 BUCKET_ENTRIES = 1_000_000  # signatures that one reduce group holds
 COUNTERS = 1 << 22       # of the sketch that ranks shingles of short sets: 4 MB, whatever the data
 BLOCK_SHINGLES = 1_000_000  # shingles whose signatures a task packs together
+TASK_ROWS = 50_000       # rows of a few numbers that a task reads, where their number is known
 THRESHOLD = 75           # per cent
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _U32 = np.uint64(32)
@@ -422,9 +423,20 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("text", slot).mapInArrow(rows, "node long, items binary").dropDuplicates(["node"])
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The links (u, v) among pairs (scheme, u, v): sizes and parities must allow
-    one, then the whole sets decide."""
+def _sided(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """pairs (u, v) plus key, n and band of both."""
+    side = lambda s: classes.select(F.col("node").alias(s), *[F.col(c).alias(s + c) for c in ("key", "n", "band")])
+    return pairs.join(side("u"), "u").join(side("v"), "v")
+
+
+def _read_by(df: DataFrame, rows: int) -> DataFrame:
+    """The table read by as many tasks as its rows need, however many wrote it."""
+    return df.coalesce(max(1, math.ceil(rows / TASK_ROWS)))
+
+
+def _links(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+    """The links (u, v) among pairs (scheme, u, v and what ``_sided`` adds): sizes
+    and parities must allow one, then the whole sets decide."""
     bands = Bands(threshold)
 
     def possible(batches):
@@ -447,19 +459,20 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: int
                 keep.append(100 * common >= threshold * (len(p) + len(q) - common))
             yield b.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
 
-    side = lambda s: classes.select(F.col("node").alias(s), *[F.col(c).alias(s + c) for c in ("key", "n", "band")])
-    pairs = saved(pairs.join(side("u"), "u").join(side("v"), "v")
-                  .where(((F.least("uband", "vband") == F.col("scheme")) | (F.col("scheme") < 0))
-                         & (F.least("un", "vn") * 100 >= F.greatest("un", "vn") * threshold))
+    pairs = saved(pairs.where(((F.least("uband", "vband") == F.col("scheme")) | (F.col("scheme") < 0))
+                        & (F.least("un", "vn") * 100 >= F.greatest("un", "vn") * threshold))
                   .withColumn("scheme", F.least("uband", "vband")))
-    keys = lambda p: p.select(F.col("ukey").alias("key")).union(p.select("vkey"))
+    release(docs.sparkSession)       # of what ended a step ago: Spark holds the last query a little longer
+    keys = lambda p: p.select(F.explode(F.array("ukey", "vkey")).alias("key"))
     held = saved(_parities(docs, keys(pairs), threshold))
+    release(docs.sparkSession)
     part = lambda s: held.select(F.col("node").alias(s), F.col("own").alias(f"{s}own"), F.col("low").alias(f"{s}low"))
     which = lambda s: F.when(F.col(f"{s}band") == F.col("scheme"), F.col(f"{s}own")).otherwise(F.col(f"{s}low"))
     likely = saved(pairs.join(part("u"), "u").join(part("v"), "v")
                    .select("u", "v", "ukey", "vkey", "un", "vn", which("u").alias("ubytes"), which("v").alias("vbytes"))
                    .mapInArrow(possible, "u long, v long, ukey long, vkey long"))
     sets = saved(_sets(docs, keys(likely)))
+    release(docs.sparkSession)
     found = saved(likely.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u")
                   .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
                   .select("u", "v", "a", "b").mapInArrow(linked, "u long, v long"))
@@ -485,36 +498,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = ["n", "band", "gaps", "low_gaps"]
     classes = saved(nodes.where("n > 0").groupBy("node").agg(
         F.min("id").alias("id"), F.min("key").alias("key"), *[F.first(c).alias(c) for c in rest]))
-    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, n_classes = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    classes = _read_by(classes, n_classes)
     n_buckets = max(4, math.ceil(total / BUCKET_ENTRIES))
     met = saved(_met(_entries(docs, n_buckets, threshold)))
+    met = _read_by(met, met.count())
     release(docs.sparkSession)
 
-    pairs = met.where("gid is null").groupBy("scheme", "u", "v").agg(F.sum("n").alias("n"))
+    # a hub and its member have met in no segment that counts, unless also as a pair
+    pairs = (met.where("u <> v").select("scheme", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"),
+                                        F.when(F.col("gid").isNull(), F.col("n")).otherwise(0).alias("n"))
+             .groupBy("scheme", "u", "v").agg(F.sum("n").alias("n")))
     stars = met.where("gid is not null")
     hot = stars.select("scheme", F.col("v").alias("node")).groupBy("scheme", "node").agg(
         F.count(F.lit(1)).alias("hot"))
     # segments in which a linked pair must meet besides the empty and hot ones
-    # it may share; pairs below that number of meetings cannot link
-    room = (classes.select("node", F.col("band").alias("scheme"), F.col("n").alias("size"), F.col("gaps").alias("empty"))
-            .union(classes.where("band > 0").select("node", F.col("band") - 1, "n", "low_gaps"))
+    # it may share; pairs, hubs and members below that number of meetings cannot link
+    own = ["node", "key", "n", "band"]
+    room = (classes.select(*own, F.col("band").alias("scheme"), F.col("gaps").alias("empty"))
+            .union(classes.where("band > 0").select(*own, F.col("band") - 1, "low_gaps"))
             .join(hot, ["scheme", "node"], "left")
-            .select("scheme", "node", "size", (F.col("empty") + F.coalesce("hot", F.lit(0))).alias("lost")))
+            .select("scheme", *own, (F.col("empty") + F.coalesce("hot", F.lit(0))).alias("lost")))
     top_band = classes.agg(F.max("band")).first()[0]
     all_bands = range((top_band or 0) + 1)
     segments = F.array(*[F.lit(bands.segments(b)) for b in all_bands])
     by_neighbour = F.array(*[F.lit(bands.neighbourhoods(b)) for b in all_bands])
     of_band = lambda a: F.element_at(a, (F.col("scheme") + 1).cast("int"))
-    side = lambda s: room.select("scheme", F.col("node").alias(s), F.col("size").alias(f"{s}size"),
-                                 F.col("lost").alias(f"{s}lost"))
-    need = F.when(of_band(by_neighbour), F.lit(1)).otherwise(
-        of_band(segments) - F.floor((F.col("usize") + F.col("vsize")) * (100 - threshold) / (100 + threshold))
+    side = lambda s: room.select("scheme", F.col("node").alias(s),
+                                 *[F.col(c).alias(s + c) for c in ("key", "n", "band", "lost")])
+    need = F.when(of_band(by_neighbour), F.lit(0)).otherwise(
+        of_band(segments) - F.floor((F.col("un") + F.col("vn")) * (100 - threshold) / (100 + threshold))
         - F.least("ulost", "vlost"))
     pairs = (pairs.join(side("u"), ["scheme", "u"]).join(side("v"), ["scheme", "v"])
-             .where(F.col("n") >= need).select("scheme", "u", "v"))
-    hubs = stars.where("u <> v").select(
-        "scheme", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    links = _links(pairs.union(hubs).distinct(), docs, classes, threshold)
+             .where(F.col("n") >= need).drop("n", "ulost", "vlost"))
+    links = _links(pairs, docs, threshold)
     groups = components(links)
     release(docs.sparkSession)
 
@@ -535,7 +552,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     worst = F.floor((F.col("n") + largest) * (100 - threshold) / (100 + threshold))
     spare = F.when(of_band(by_neighbour), of_band(wide) - F.floor(worst / 2)).otherwise(of_band(segments) - worst)
     short = saved(room.join(open_hot, ["scheme", "node"], "left").join(hot, ["scheme", "node"], "left")
-                  .join(classes.select("node", "key", "n", "band"), "node")
                   .where(spare <= F.col("lost") - F.coalesce("hot", F.lit(0)) + F.coalesce("open", F.lit(0)))
                   .select("node", "key").distinct())
     extra = _short_links(docs, short, classes, groups, links, threshold)
@@ -623,7 +639,7 @@ def _short_links(docs, short, classes, groups, links, threshold):
     apart = F.coalesce("uc", "u") != F.coalesce("vc", "v")
     stars = (probes.select(F.col("hub").alias("u"), F.col("node").alias("v")).where("u <> v").distinct()
              .join(comp(groups, "u"), "u", "left").join(comp(groups, "v"), "v", "left").where(apart))
-    found = _links(stars.select(*ordered).distinct(), docs, classes, threshold)
+    found = _links(_sided(stars.select(*ordered).distinct(), classes), docs, threshold)
     groups = components(links.union(found))
     release(docs.sparkSession)
 
@@ -656,4 +672,4 @@ def _short_links(docs, short, classes, groups, links, threshold):
                     & (differ * (100 + threshold) <= (F.col("n") + F.col("n2")) * (100 - threshold)) & (F.get(F.array_intersect("up", "vp"), 0) == F.col("sig"))
                     & ((F.col("n") < F.col("n2")) | (F.col("place") < F.col("place2")) | (F.col("u") < F.col("v"))))
              .select(*ordered).distinct())
-    return found.union(_links(pairs, docs, classes, threshold))
+    return found.union(_links(_sided(pairs, classes), docs, threshold))

@@ -165,3 +165,21 @@ def test_null_ids_link_and_bridge(docs):
     assert sum(c is not None and i is None for i, _, c in want) >= 6 and any(i == 2 and c == 1 for i, _, c in want)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(docs(texts, [i for i, _ in rows])).collect()]
     assert sorted(got, key=str) == want
+
+
+def test_hubs_and_members_that_cannot_link_are_not_verified(spark, monkeypatch):
+    """Texts share a passage: its segments are hot, and no two texts are alike."""
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+    passage = words(60)
+    rows = [(i, f"{words(70)} {passage} {words(70)}") for i in range(30)]
+    listed, links = [], J._links
+
+    def counted(pairs, *rest):
+        listed.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(J, "_links", counted)
+    out = J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(i, i) for i, _ in rows]
+    assert listed[0] == 0
