@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from strata.llm.common import first_by_hash, null_as_empty, saved
 
 SAMPLE = 20_000          # labelled rows that the model is fitted on, at most
+FIT_TASKS = 8            # tasks that each pass of the fit over these rows takes, at most
 TREES, DEPTH = 24, 3
 LASSO = 0.0015
 
@@ -108,6 +109,8 @@ def fit(rows: DataFrame, label: str = "label", seed: int = 7) -> RuleEnsemble:
     if n == 0 or ones in (0, n):
         share = 0.5 if n == 0 else min(max(ones / n, 0.001), 0.999)
         return RuleEnsemble(_logit(share), ())
+    # the sample is bounded, the fit reads it some hundred times: a few tasks each time, whatever wrote it
+    rows = rows.coalesce(FIT_TASKS)
     vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="x").transform(rows)
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
                                     featureSubsetStrategy="sqrt", subsamplingRate=0.7, seed=seed).fit(vectors)
