@@ -31,9 +31,19 @@ def dedupe_details(details: DataFrame) -> DataFrame:
     return dedupe(details, ["player_id", "game_id"], order=["team_id"])
 
 
+def _keyed():
+    return F.col("player_id").isNotNull() & F.col("game_id").isNotNull()
+
+
+def _details_apart(details: DataFrame) -> DataFrame:
+    """``dedupe_details``, rows with both keys apart from the others: the edges
+    that join on the keys need the former only, and all edges share one shuffle."""
+    return dedupe_details(details.where(_keyed())).unionByName(dedupe_details(details.where(~_keyed())))
+
+
 def player_game_edges(details: DataFrame) -> DataFrame:
     """``plays_in`` edges player -> game with a property map."""
-    d = dedupe_details(details)
+    d = _details_apart(details)
     return d.select(
         F.col("player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -54,8 +64,8 @@ def player_player_edges(details: DataFrame) -> DataFrame:
     partition on both sides of the inner join, so its pairs are spread over
     many tasks; the pair aggregate then has a map-side partial step.
     """
-    d = dedupe_details(details).select("game_id", "player_id", "player_name",
-                                       "team_abbreviation", "pts")
+    d = dedupe_details(details.where(_keyed())).select("game_id", "player_id", "player_name",
+                                                       "team_abbreviation", "pts")
     a, b = d.alias("a"), d.alias("b")
     j = a.join(b, (F.col("a.game_id") == F.col("b.game_id"))
                   & (F.col("a.player_id") > F.col("b.player_id"))
@@ -95,7 +105,7 @@ def game_vertices(games: DataFrame) -> DataFrame:
 
 def player_team_edges(details: DataFrame) -> DataFrame:
     """``plays_on`` edges player -> team with the games played for it."""
-    d = dedupe_details(details)
+    d = _details_apart(details)
     agg = d.groupBy("player_id", "team_id").agg(F.count(F.lit(1)).alias("num_games"),
                                                 F.sum("pts").alias("pts"))
     return agg.select(

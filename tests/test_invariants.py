@@ -76,3 +76,25 @@ def test_plans_push_filters_and_avoid_cartesian(spark):
     plan = step._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "IsNotNull(ts)" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_graph_edges_deduplicate_details_in_one_shuffle(spark, tmp_path):
+    """Rows with both keys are shuffled once for the three kinds of edges; rows
+    without a key keep their place in the kinds that do not join."""
+    import re
+    from collections import Counter
+
+    from strata.operators import graph
+    rows = [(g, g % 2, f"T{g % 2}", p, f"n{p}", 1, 5 + p, 1, 1) for g in range(4) for p in range(3)] * 2
+    rows += [(None, 1, "T1", 7, "n7", 1, 3, 1, 1), (2, 1, "T1", None, None, 1, 4, 1, 1)] * 2
+    cols = ("game_id long, team_id long, team_abbreviation string, player_id long, player_name string, "
+            "start_position_no long, pts long, reb long, ast long")
+    spark.createDataFrame(rows, cols).write.parquet(str(tmp_path / "details"))
+    details = spark.read.parquet(str(tmp_path / "details"))
+    teams = spark.createDataFrame([], "team_id long, abbreviation string, nickname string, city string, arena string, yearfounded long")
+    games = spark.createDataFrame([], "game_id long, season long, home_team_id long, visitor_team_id long, home_team_wins boolean")
+    edges = graph.graph_union(details, teams, games)[1]
+    assert Counter(r.edge_type for r in edges.collect()) == {"plays_in": 14, "shares_team": 3, "plays_on": 8}
+    plan = edges._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the other side of the join and both kinds without one; rows without keys once more
+    assert len(re.findall(r"ReusedExchange \[player_id#\d+L, game_id#\d+L", plan)) == 4
