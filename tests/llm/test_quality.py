@@ -124,3 +124,19 @@ def test_held_out_accuracy(spark):
     assert sum(r.predicted == r.quality for r in rows) >= 0.93 * len(rows)
     pairs = [(a.score, b.score) for a in rows for b in rows if a.quality > b.quality]
     assert sum((x > y) + 0.5 * (x == y) for x, y in pairs) >= 0.95 * len(pairs)
+
+
+def test_fit_reads_its_sample_with_few_tasks(spark, monkeypatch):
+    """However many partitions the labelled rows come in."""
+    rows = spark.range(200).select((F.col("id") % 2).alias("label"), *[
+        (F.col("id") % 2 * 5 + F.col("id") % 7).cast("double").alias(c) for c in Q.STATISTICS]).repartition(40)
+    tasks, saved = [], Q.saved
+
+    def counted(df):
+        out = saved(df)
+        tasks.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(Q, "saved", counted)
+    assert Q.fit(rows).rules
+    assert tasks == [40, Q.FIT_TASKS]
