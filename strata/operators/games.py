@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators.graph import dedupe_details
-from strata.operators.relational import keyed_sequence
+from strata.operators.relational import keyed_sequence, parts_for
 
 
 def team_games(details: DataFrame, games: DataFrame) -> DataFrame:
@@ -24,19 +24,25 @@ def game_grouping_sets(details: DataFrame, games: DataFrame) -> DataFrame:
     """Points by (player, team), (player, season) and (team) in one
     aggregation; games won counted once per (team, game).
 
-    Games join the distinct (team, game) rows, these join the details once,
-    and the grouping sets expand sums per (player, team, season), not games."""
-    d = dedupe_details(details).select("game_id", "team_id", "player_id", "pts")
+    The details join the games once, and the grouping sets expand sums per
+    (player, team, season), not games.  Every step's rows are dealt out in as many
+    parts as the details need, so no task's sorts and sums grow with the input; a
+    game has one row per player then, so none outgrows the players."""
+    n = parts_for(details)
+    d = (dedupe_details(details, n).select("game_id", "team_id", "player_id", "pts")
+         .where(F.col("team_id").isNotNull()).repartition(n, "game_id"))
     # one representative row per (team, game) -- its lowest player -- lets the
     # team set count each won game once without a DISTINCT aggregate; a player
     # has one row per game, so the player sets count won games with a plain sum
+    first = F.row_number().over(Window.partitionBy("game_id", "team_id").orderBy(F.col("player_id").asc_nulls_last()))
+    d = d.withColumn("_rep", (first == 1) & F.col("player_id").isNotNull())
     won = (((F.col("team_id") == F.col("home_team_id")) & F.col("home_team_wins"))
            | ((F.col("team_id") == F.col("visitor_team_id")) & ~F.col("home_team_wins")))
-    played = (d.groupBy("team_id", "game_id").agg(F.min("player_id").alias("_rep"))
-              .join(games, "game_id").select("team_id", "game_id", "season", "_rep", won.cast("int").alias("_won")))
-    fine = (d.join(played, ["team_id", "game_id"]).groupBy("player_id", "team_id", "season").agg(
+    played = (d.join(games.repartition(n, "game_id"), "game_id")
+              .select("player_id", "team_id", "season", "pts", "_rep", won.cast("int").alias("_won")))
+    fine = played.repartition(n, "player_id", "team_id", "season").groupBy("player_id", "team_id", "season").agg(
         F.sum("pts").alias("_pts"), F.sum("_won").alias("_won"),
-        F.sum(F.when(F.col("player_id") == F.col("_rep"), F.col("_won")).otherwise(0)).alias("_team_won")))
+        F.sum(F.when(F.col("_rep"), F.col("_won")).otherwise(0)).alias("_team_won"))
     g = fine.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
                           "player_id", "team_id", "season").agg(
         F.sum("_pts").alias("total_points"),

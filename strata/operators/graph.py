@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from strata.functions.columns import properties_map
-from strata.operators.relational import dedupe
+from strata.operators.relational import dedupe, parts_for
 
 # The vertex and edge type enumerations.
 VERTEX_TYPES = ("player", "team", "game")
@@ -26,9 +26,16 @@ def team_vertices(teams: DataFrame) -> DataFrame:
                         ("year_founded", "yearfounded")]).alias("properties"))
 
 
-def dedupe_details(details: DataFrame) -> DataFrame:
-    """One row per (player, game): the first by team, then all other columns."""
-    return dedupe(details, ["player_id", "game_id"], order=["team_id"])
+def dedupe_details(details: DataFrame, parts: int | None = None) -> DataFrame:
+    """One row per (player, game): the first by team, then all other columns.
+
+    The pick sorts its rows (a struct with names is no hash aggregate's buffer), so
+    they are dealt out by key first, in as many parts as they need: a task sorts a
+    part, neither a file split nor a fixed share of all rows.  Only copies of one
+    key stay together; many of them spill."""
+    keys = ["player_id", "game_id"]
+    d = details.select(*keys, *[c for c in details.columns if c not in keys])
+    return dedupe(d.repartition(parts or parts_for(d), *keys), keys, order=["team_id"]).select(*details.columns)
 
 
 def _keyed():
