@@ -25,9 +25,10 @@ def game_grouping_sets(details: DataFrame, games: DataFrame) -> DataFrame:
     aggregation; games won counted once per (team, game).
 
     The details join the games once, and the grouping sets expand sums per
-    (player, team, season), not games.  Every step's rows are dealt out in as many
-    parts as the details need, so no task's sorts and sums grow with the input; a
-    game has one row per player then, so none outgrows the players."""
+    (player, team, season), not games.  Their rows are dealt out in as many parts as
+    the details need, so these tasks do not grow with the input; the sets' last sums
+    take the session's shuffle partitions.  A game has one row per player when it is
+    joined, so none outgrows the players."""
     n = parts_for(details)
     d = (dedupe_details(details, n).select("game_id", "team_id", "player_id", "pts")
          .where(F.col("team_id").isNotNull()).repartition(n, "game_id"))
